@@ -123,7 +123,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, *, k: int = 20) -> DataFrame
     nb = max(1, math.ceil(n_queries / QUERY_BLOCK))
     salts = min(256, parts_for(vectors, 1 << 20, 4))
     q = _blocks(both[0].repartition(nb), QUERY_BLOCK, True).select(F.col("block").alias("q"), "dim", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    c = _blocks(both[1], BLOCK, False).select(F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"), "dim", "ids", "vecs", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).cast("long").alias("q"))
+    c = _blocks(both[1], BLOCK, False).select(F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"), "dim", "ids", "vecs", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))).alias("q"))
 
     def run(batches):
         now, held = None, {}

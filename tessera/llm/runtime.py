@@ -78,7 +78,7 @@ def tune(spark: SparkSession) -> SparkSession:
 
 def input_bytes(df: DataFrame) -> int:
     """Spark's own estimate of df's size, from file sizes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().__str__())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def parts_for(df: DataFrame, each: int, least: int = 1) -> int:
