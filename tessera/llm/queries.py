@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, packing, sstable
+from tessera.llm import ann, chat, neardup, packing, sstable, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), capacity=2048, end_id=1, with_ids=False)
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"), shingle=5, threshold=(75, 100))
+
+
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), window=20, with_text=False)
+
+
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return ann.nearest(e.where(F.col("vec_id") % 20 == 0), e, k=20)
@@ -39,7 +47,9 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op5_minhash": op5_minhash,
     "op7_ann": op7_ann,
+    "op8_substring": op8_substring,
     "op9_sstable": op9_sstable,
     "op10_chat": op10_chat,
 }
@@ -48,13 +58,24 @@ ORACLE_SQL: dict[str, str] = {
     "op7_ann": """
         WITH good AS (
             SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-              AND len(list_filter(embedding, x -> x <> 0)) > 0),
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         scored AS (
             SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
             FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op8_substring": """
+        WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        p AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS pos, ws FROM w WHERE len(ws) >= 20),
+        s AS (SELECT doc_id, pos, array_to_string(ws[pos : pos + 19], ' ') AS seq FROM p),
+        r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY seq ORDER BY doc_id, pos) AS n FROM s),
+        gone AS (SELECT DISTINCT doc_id, pos + k AS i FROM (SELECT doc_id, pos, unnest(range(0, 20)) AS k FROM r WHERE n > 1)),
+        e AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+        kept AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM e ANTI JOIN gone USING (doc_id, i) GROUP BY e.doc_id),
+        n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op10_chat": """
         WITH t AS (
             SELECT DISTINCT conv_id, turn, CASE WHEN role IS NULL OR trim(role) = '' THEN 'unknown' ELSE role END AS role, coalesce(text, '') AS text,
