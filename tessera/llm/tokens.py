@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 import os
-import re
+import struct
 from functools import lru_cache
 
-#: Words whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 300_000
-#: Texts for which splitting at single spaces and line ends might not agree with the tokenizer's own splitting.
-_ODD = re.compile(r"[^\S \n]|\s\s|^\s|\s$|<\|")
+#: Words whose ids a worker keeps, in each of two generations; longer words aren't kept.
+KEPT_WORDS, KEPT_LENGTH = 400_000, 40
+_MARKS = ".,!?;:"
+
+
+class _Known(dict):
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, key: str) -> bytes:
+        return self.encoder.learn(key)
 
 
 class Encoder:
     """encode(text): the ids as little-endian unsigned 32-bit numbers.
 
-    A byte-level BPE never merges across the start of a " word" or a line end, so ids of a text are
-    those of its pieces in a row; pieces seen before aren't encoded again. Other texts, and vocabularies
-    for which a probe shows otherwise, are encoded as a whole.
+    A byte-level BPE never merges across the start of a " word" or a line end, nor between letters and marks after
+    them, so ids of a text are those of its pieces in a row. Pieces seen before aren't encoded again; words of letters
+    go straight to the tokenizer's model. Odd texts, and tokenizers for which a probe shows otherwise, are
+    encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -25,51 +33,66 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.spaced: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        self.model = self.tok.model
+        self.new, self.old = _Known(self), {}
+        self.marks: dict[str, bytes] = {}
         self.line = self._whole("\n")
-        probe = "One, two's 3rd.\nFour five-six\nÄpfel x=1 (é)"
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        unprinted = [b for b in range(256) if b not in printed]
+        #: the character that stands for each byte in a byte-level vocabulary
+        self.shown = {b: chr(b) for b in printed} | {b: chr(256 + i) for i, b in enumerate(unprinted)}
+        self.space = self.shown[32]
+        probe = "One, two's 3rd.\nFour five-six!!\nÄpfel x=1 (é), çela... end"
         self.by_word = self._pieces(probe) == self._whole(probe)
 
     @property
     def vocabulary(self) -> int:
         return self.tok.get_vocab_size()
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tok.encode(text, add_special_tokens=False).ids
-
     def _whole(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.array(self._ids(text), "<u4").tobytes()
-
-    def _pieces(self, text: str) -> bytes:
-        out, spaced = [], self.spaced
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append(self.line)
-            head, *rest = line.split(" ")
-            try:
-                out.append(self.first[head])
-            except KeyError:
-                out.append(self._learn(self.first, "", head))
-            for w in rest:
-                try:
-                    out.append(spaced[w])
-                except KeyError:
-                    out.append(self._learn(spaced, " ", w))
-        return b"".join(out)
-
-    def _learn(self, known: dict[str, bytes], before: str, word: str) -> bytes:
-        if len(known) >= KEPT_WORDS:
-            known.clear()
-        got = known[word] = self._whole(before + word)
+        return self._packed(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _pieces(self, text: str) -> bytes | None:
+        """None for a text with other white space than single spaces and line ends between words."""
+        first, *rest = text.replace("\n", " \n").split(" ")
+        if 1 + len(rest) != len(text.split()) or not first or first[0] == "\n":
+            return None
+        if len(self.new) > KEPT_WORDS:
+            self.old, self.new = self.new, _Known(self)
+        return self._piece("", first) + b"".join(map(self.new.__getitem__, rest))
+
+    def _piece(self, before: str, word: str) -> bytes:
+        core = word.rstrip(_MARKS)
+        if not core.isalpha():
+            return self._whole(before + word)
+        shown = (self.space + core if before else core) if core.isascii() else (before + core).encode().decode("latin-1").translate(self.shown)
+        got = self._packed([t.id for t in self.model.tokenize(shown)])
+        if len(core) < len(word):
+            end = word[len(core) :]
+            if end not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks.clear()
+                self.marks[end] = self._whole(end)
+            got += self.marks[end]
+        return got
+
+    def learn(self, key: str) -> bytes:
+        """Of a word after a space, or of a line end and the word after it."""
+        got = self.old.get(key)
+        if got is None:
+            got = self.line + self._piece("", key[1:]) if key[0] == "\n" else self._piece(" ", key)
+        if len(key) <= KEPT_LENGTH:
+            self.new[key] = got
         return got
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        return self._pieces(text) if self.by_word and not _ODD.search(text) else self._whole(text)
+        got = self._pieces(text) if self.by_word and "<|" not in text else None
+        return self._whole(text) if got is None else got
 
 
 @lru_cache(maxsize=2)
