@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, neardup, packing, sstable, substring
+from tessera.llm import ann, chat, decontaminate, neardup, packing, quality, secrets, sstable, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +24,28 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), capacity=2048, end_id=1, with_ids=False)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return toxicity.score(d, toxicity.train(d, table(spark, sf_dir, "labels")))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"), shingle=5, threshold=(75, 100))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return quality.score(d, quality.train(d, table(spark, sf_dir, "labels")))
+
+
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=20, with_text=False)
 
@@ -47,7 +65,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
+    "op3_decontamination": op3_decontamination,
+    "op4_secrets": op4_secrets,
     "op5_minhash": op5_minhash,
+    "op6_quality": op6_quality,
     "op7_ann": op7_ann,
     "op8_substring": op8_substring,
     "op9_sstable": op9_sstable,

@@ -91,12 +91,29 @@ def features(xs: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return u >> 18, u & (1 << 18) - 1, np.bincount(inv, weight, len(u))
 
 
-def dense(xs: list[str]) -> np.ndarray:
-    """Rows of kernel features of unit length, over all subsequences; for few strings only."""
-    own, key, w = features(xs)
-    m = np.zeros((len(xs), 1 << 18), np.float32)
-    m[own, key] = w
-    return m / np.maximum(1e-9, np.sqrt((m * m).sum(1, keepdims=True)))
+class Landmarks:
+    """Kernel values of strings with some chosen ones, both of unit length."""
+
+    def __init__(self, xs: list[str]):
+        own, key, w = features(xs)
+        norm = np.sqrt(np.bincount(own, w * w, len(xs)))
+        self.keys = np.unique(key)
+        self.table = np.zeros((len(self.keys), len(xs)))
+        self.table[np.searchsorted(self.keys, key), own] = w / np.maximum(1e-9, norm[own])
+
+    def kernel(self, xs: list[str]) -> np.ndarray:
+        out = np.zeros((len(xs), self.table.shape[1]))
+        for i in range(0, len(xs), 1000):
+            part = xs[i : i + 1000]
+            own, key, w = features(part)
+            norm = np.sqrt(np.bincount(own, w * w, len(part)))
+            at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+            hit = self.keys[at] == key if len(self.keys) else np.zeros(len(key), bool)
+            own, at, w = own[hit], at[hit], w[hit] / np.maximum(1e-9, norm[own[hit]])
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            if len(first):
+                out[i + own[first]] = np.add.reduceat(self.table[at] * w[:, None], first, axis=0)
+        return out
 
 
 @dataclass
@@ -108,6 +125,8 @@ class Model:
 
     def strings(self, xs: list[str]) -> np.ndarray:
         """bias + the positive part of the kernel expansion, for each string."""
+        if len(xs) > 5000:
+            return np.concatenate([self.strings(xs[i : i + 5000]) for i in range(0, len(xs), 5000)])
         own, key, w = features(xs)
         num = np.bincount(own, w * self.weights[key], len(xs))
         norm = np.sqrt(np.bincount(own, w * w, len(xs)))
@@ -134,6 +153,12 @@ def _svm(x: np.ndarray, y: np.ndarray, c: float) -> tuple[np.ndarray, float]:
     return w[:-1], float(w[-1])
 
 
+def disguised(word: str, rng: np.random.Generator) -> list[str]:
+    """A word with a letter inserted, one doubled, and marks between its letters."""
+    i, j = int(rng.integers(1, max(2, len(word)))), int(rng.integers(0, len(word)))
+    return [word[:i] + chr(97 + int(rng.integers(26))) + word[i:], word[: j + 1] + word[j:], ".".join(word)]
+
+
 def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
     """rows: (text, label). Without both labels the model gives every text the share of toxic rows."""
     docs = [(sorted(strings(t)), y) for t, y in rows]
@@ -158,23 +183,26 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
         marks = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))][: LANDMARKS * 2 // 3]
         others = [*hard, *rare][:: max(1, len([*hard, *rare]) // max(1, LANDMARKS - len(marks)))]
         marks = list(dict.fromkeys([*marks, *others]))[:LANDMARKS]
-        basis = dense(marks)
-        k = (basis @ basis.T).astype(np.float64)
+        basis = Landmarks(marks)
+        k = basis.kernel(marks)
         val, vec = np.linalg.eigh(k)
         keep = val > 1e-6 * val.max(initial=1e-9)
         root = vec[:, keep] / np.sqrt(np.maximum(val[keep], 1e-12))
-        strs = [*worst, *dict.fromkeys([*hard, *seen, *rare])]
-        y = np.array([1.0] * len(worst) + [-1.0] * (len(strs) - len(worst)))
-        x = np.vstack([(dense(strs[i : i + 400]) @ basis.T) @ root for i in range(0, len(strs), 400)])
-        w, bias = _svm(x, y, 0.5)
-        model = Model((basis.T.astype(np.float64) @ (root @ w)), bias, 1.0, 0.0)
+        forms = [d for w in sorted(count) for d in disguised(w, rng)]
+        strs = [*worst, *forms, *dict.fromkeys([*hard, *seen, *rare])]
+        bad = len(worst) + len(forms)
+        y = np.array([1.0] * bad + [-1.0] * (len(strs) - bad))
+        w, bias = _svm(basis.kernel(strs) @ root, y, 0.5)
+        weights = np.zeros(1 << 18)
+        weights[basis.keys] = basis.table @ (root @ w)
+        model = Model(weights, bias, 1.0, 0.0)
         score = dict(zip(clean, model.strings(clean), strict=True))
         hard = sorted(clean, key=lambda s: (-score[s], s))[:4000]
         score.update(zip(df_pos, model.strings(list(df_pos)), strict=True))
-        worst = [b for b in (max(d, key=lambda s: (score[s], s)) for d in pos if d) if score[b] > bias / 2 or df_neg[b] == 0]
-        worst = worst or firm or [d[0] for d in pos if d]
-    top = np.array([max((score[w] for w in d), default=model.bias) for d, _ in docs])
-    y = np.array([y for _, y in docs], float)
+        worst = [b for b in (max(d, key=lambda s: (score[s], s)) for d in pos if d) if score[b] > 0]
+        worst = worst or firm or [max(d, key=lambda w: (odds(w), w)) for d in pos if d]
+    top = np.array([*(max((score[w] for w in d), default=model.bias) for d, _ in docs), *model.strings(forms)])
+    y = np.array([*(y for _, y in docs), *[1] * len(forms)], float)
     model.slope, model.offset = _platt(top, y)
     return model
 
@@ -207,9 +235,8 @@ class Scorer:
         want = set().union(*sets) - self.new.keys()
         self.new.update((w, self.old[w]) for w in want & self.old.keys())
         miss = list(want - self.new.keys())
-        for i in range(0, len(miss), 20_000):
-            part = miss[i : i + 20_000]
-            self.new.update(zip(part, self.model.strings(part).tolist(), strict=True))
+        if miss:
+            self.new.update(zip(miss, self.model.strings(miss).tolist(), strict=True))
         get = self.new.__getitem__
         return [max(map(get, s)) if s else self.model.bias for s in sets]
 
