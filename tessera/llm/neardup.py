@@ -172,3 +172,15 @@ def groups(docs: DataFrame, *, shingle: int = 5, threshold: tuple[int, int] = (7
     out = sig.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """docs with one row of each group of near-duplicates, that of the smallest doc_id; all columns stay.
+
+    Of rows that repeat a doc_id one stays. Rows without a doc_id stay.
+    """
+    ids = groups(docs, **options).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    ids = written(ids, "kept")
+    rows = docs.join(ids.where("n = 1").select("doc_id"), "doc_id", "left_semi")
+    again = docs.join(ids.where("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return rows.unionByName(again).unionByName(docs.where("doc_id IS NULL"))

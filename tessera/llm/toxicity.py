@@ -27,7 +27,7 @@ from tessera.llm.runtime import tune
 
 SPAN, DECAY = 6, 0.6
 #: Bounds of what is learnt from: documents of either label, landmarks, strings of clean documents.
-PER_CLASS, LANDMARKS, NEGATIVES = 4000, 240, 20_000
+PER_CLASS, LANDMARKS, NEGATIVES = 2500, 240, 20_000
 THRESHOLD = 0.7
 LONGEST = 48  # longer strings are taken in overlapping parts
 KEPT_STRINGS = 300_000
@@ -153,6 +153,11 @@ def _svm(x: np.ndarray, y: np.ndarray, c: float) -> tuple[np.ndarray, float]:
     return w[:-1], float(w[-1])
 
 
+def _tail(k: int, n: int, p: float) -> float:
+    """Of n documents at least k are toxic, by chance."""
+    return sum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p)) for i in range(k, n + 1))
+
+
 def disguised(word: str, rng: np.random.Generator) -> list[str]:
     """A word with a letter inserted, one doubled, and marks between its letters."""
     i, j = int(rng.integers(1, max(2, len(word)))), int(rng.integers(0, len(word)))
@@ -168,17 +173,22 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
         return Model(np.zeros(1 << 18), 0.0, 0.0, math.log(share / (1 - share)))
     rng = np.random.default_rng(seed)
     df_pos, df_neg = Counter(w for d in pos for w in d), Counter(w for d in neg for w in d)
-    odds = lambda w: math.log((df_pos[w] + 0.1) / len(pos)) - math.log((df_neg[w] + 0.1) / len(neg))
+    # strings of toxic documents far more than chance, between ever different words, so not from copies alone
+    around: dict[str, set[tuple[str, str]]] = {}
+    for text, y in rows:
+        if y:
+            ws = text.lower().split()
+            for x, w, z in zip(["", *ws], ws, [*ws[1:], ""], strict=False):
+                around.setdefault(w, set()).add((x, z))
+    share = len(pos) / len(docs)
+    firm = sorted(w for w, n in df_pos.items() if len(around.get(w, ())) >= max(3, 0.3 * n) and _tail(n, n + df_neg[w], share) < 1e-5 and df_neg[w] * len(pos) < 0.1 * n * len(neg))
     clean = sorted(df_neg)
     seen = sorted(df_neg, key=lambda w: (-df_neg[w], w))[: NEGATIVES // 2]
     rare = [clean[i] for i in rng.choice(len(clean), min(len(clean), NEGATIVES // 2), replace=False)]
     hard: list[str] = []
-    worst = [max(d, key=lambda w: (odds(w), w)) for d in pos if d]
-    # at first only strings that several toxic documents and no clean ones have, if there are such
-    firm = [w for w in worst if df_pos[w] >= 3 and df_neg[w] * len(pos) < 0.05 * df_pos[w] * len(neg)]
-    worst = firm or worst
+    worst = firm or [max(d, key=lambda w: (df_pos[w] / len(pos) - df_neg[w] / len(neg), w)) for d in pos if d]
     model = Model(np.zeros(1 << 18), 0.0, 1.0, 0.0)
-    for _ in range(4):
+    for _ in range(3):
         count = Counter(worst)
         marks = [w for w, _ in sorted(count.items(), key=lambda x: (-x[1], x[0]))][: LANDMARKS * 2 // 3]
         others = [*hard, *rare][:: max(1, len([*hard, *rare]) // max(1, LANDMARKS - len(marks)))]
@@ -200,7 +210,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
         hard = sorted(clean, key=lambda s: (-score[s], s))[:4000]
         score.update(zip(df_pos, model.strings(list(df_pos)), strict=True))
         worst = [b for b in (max(d, key=lambda s: (score[s], s)) for d in pos if d) if score[b] > 0]
-        worst = worst or firm or [max(d, key=lambda w: (odds(w), w)) for d in pos if d]
+        worst = [*firm, *worst] or [max(d, key=lambda w: (df_pos[w] / len(pos) - df_neg[w] / len(neg), w)) for d in pos if d]
     top = np.array([*(max((score[w] for w in d), default=model.bias) for d, _ in docs), *model.strings(forms)])
     y = np.array([*(y for _, y in docs), *[1] * len(forms)], float)
     model.slope, model.offset = _platt(top, y)
