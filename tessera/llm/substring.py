@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.runtime import parts_for, release, tune, written
-from tessera.llm.words import grams, hashes, words
+from tessera.llm.words import grams, hashes, mix, words
 
 #: Bytes of input for each part that occurrences are dealt to.
 PART_BYTES = 8 << 20
 NULL_ID = -(1 << 63)
 _MARKS = "k long, th long, marks binary"
+_PACKED = "home int, keys binary, sizes binary, p binary"
 
 
 def levels_of(window: int, base: int) -> list[int]:
@@ -59,16 +60,37 @@ def candidates(h: np.ndarray, window: int, level: int, before: int | None, marke
     return at, g[at]
 
 
-def _marks_of(lists: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(lists or []), "<i4")
+def _marks_of(places: bytes | None) -> np.ndarray:
+    return np.frombuffer(places or b"", "<i4")
 
 
-def _by_doc(doc: np.ndarray, pos: np.ndarray, keys: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """(k, th, places) for each document among entries; keys has a row (k, th) for each doc number."""
-    order = np.argsort(doc, kind="stable")
+def _packed(doc: np.ndarray, pos: np.ndarray, keys: np.ndarray, parts: int) -> pa.Table:
+    """Entries in one row for each part that documents are dealt to; keys has a row (k, th) for each doc number."""
+    home = (mix(keys[:, 0].view(np.uint64) ^ keys[:, 1].view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((doc, home[doc]))
     doc, pos = doc[order], pos[order].astype("<i4")
-    cuts = np.flatnonzero(np.diff(doc)) + 1
-    return [(int(keys[d[0], 0]), int(keys[d[0], 1]), p.tobytes()) for d, p in zip(np.split(doc, cuts), np.split(pos, cuts), strict=True) if len(d)]
+    rows = []
+    cuts = np.searchsorted(home[doc], np.arange(parts + 1))
+    for h in range(parts):
+        x, y = cuts[h], cuts[h + 1]
+        if x < y:
+            used, sizes = np.unique(doc[x:y], return_counts=True)
+            rows.append((h, keys[used].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), pos[x:y].tobytes()))
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+    return pa.table([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], ["home", "keys", "sizes", "p"])
+
+
+def _by_doc(t: pa.Table) -> pa.Table:
+    """All places of each document, in one row."""
+    keys = np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in t["keys"].to_pylist()])
+    sizes = np.concatenate([np.frombuffer(x, "<u4") for x in t["sizes"].to_pylist()]).astype(np.int64)
+    pos = np.concatenate([np.frombuffer(x, "<i4") for x in t["p"].to_pylist()])
+    row = np.repeat(np.arange(len(keys)), sizes)
+    order = np.lexsort((keys[row, 1], keys[row, 0]))
+    k, pos = keys[row[order]], pos[order]
+    cuts = np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1
+    first = np.concatenate([[0], cuts])
+    return pa.table([pa.array(k[first, 0]), pa.array(k[first, 1]), pa.array([p.tobytes() for p in np.split(pos, cuts)], pa.binary())], ["k", "th", "marks"])
 
 
 def _occurrences(docs: DataFrame, window: int, level: int, before: int | None, last: bool, parts: int) -> DataFrame:
@@ -122,24 +144,25 @@ def _occurrences(docs: DataFrame, window: int, level: int, before: int | None, l
     return docs.mapInArrow(run, "part int, kind int, keys binary, h binary, d binary, p binary")
 
 
-def _settle(entries: DataFrame, last: bool) -> DataFrame:
-    """Marks: at the last level every window but the first of its hash, before that every one that repeats."""
+def _settle(entries: DataFrame, last: bool, parts: int) -> DataFrame:
+    """Marks by document: at the last level every window but the first of its hash, before that every one that repeats."""
 
     def run(t: pa.Table) -> pa.Table:
-        out = []
-        hs, ds, ps, keys, n = [], [], [], [], 0
+        settled, open_ = ([], [], []), ([], [], [])
+        hs, n = [], 0
         for kind, k, h, d, p in zip(*(t[c].to_pylist() for c in ("kind", "keys", "h", "d", "p")), strict=True):
             own = np.frombuffer(k, "<i8").reshape(-1, 2)
-            if kind:
-                out += _by_doc(np.frombuffer(d, "<u4").astype(np.int64), np.frombuffer(p, "<i4"), own)
-                continue
-            hs.append(np.frombuffer(h, "<u8"))
-            ds.append(np.frombuffer(d, "<u4").astype(np.int64) + n)
-            ps.append(np.frombuffer(p, "<i4"))
-            keys.append(own)
+            to = settled if kind else open_
+            to[0].append(np.frombuffer(d, "<u4").astype(np.int64) + n)
+            to[1].append(np.frombuffer(p, "<i4"))
+            settled[2].append(own)
             n += len(own)
-        if keys:
-            h, d, p, keys = np.concatenate(hs), np.concatenate(ds), np.concatenate(ps), np.concatenate(keys)
+            if not kind:
+                hs.append(np.frombuffer(h, "<u8"))
+        keys = np.concatenate(settled[2])
+        docs, places = settled[0], settled[1]
+        if hs:
+            h, d, p = np.concatenate(hs), np.concatenate(open_[0]), np.concatenate(open_[1])
             order = np.lexsort((p, keys[d, 1], keys[d, 0], h)) if last else np.argsort(h, kind="stable")
             h, d, p = h[order], d[order], p[order]
             first = np.ones(len(h), bool)
@@ -150,11 +173,11 @@ def _settle(entries: DataFrame, last: bool) -> DataFrame:
             else:
                 hit = ~first
                 hit[:-1] |= ~first[1:]
-            out += _by_doc(d[hit], p[hit], keys)
-        cols = list(zip(*out, strict=True)) if out else [[]] * 3
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], ["k", "th", "marks"])
+            docs, places = [*docs, d[hit]], [*places, p[hit]]
+        # a document has a number in each batch's entries; equal keys meet again in _by_doc
+        return _packed(np.concatenate(docs), np.concatenate(places), keys, parts)
 
-    return entries.groupBy("part").applyInArrow(run, _MARKS)
+    return entries.groupBy("part").applyInArrow(run, _PACKED).groupBy("home").applyInArrow(_by_doc, _MARKS)
 
 
 def covered(n: int, window: int, starts: np.ndarray) -> np.ndarray:
@@ -182,21 +205,20 @@ def remove_repeats(docs: DataFrame, *, window: int = 20, base: int = 10, with_te
     for level in levels_of(window, base):
         last = level >= window
         src = d.select("k", "th", "text") if before is None else d.join(marks, ["k", "th"]).select("k", "th", "text", "marks")
-        found = _settle(_occurrences(src, window, level, before, last, parts), last)
-        found = written(found, f"repeats{level}")
-        marks = found.groupBy("k", "th").agg(F.collect_list("marks").alias("marks"))
+        found = _settle(_occurrences(src, window, level, before, last, parts), last, parts)
+        marks = written(found, f"repeats{level}")
         before = level
-        del src
+        del src, found
         release(spark)
 
     def run(batches):
         for b in batches:
             out = []
-            for doc, text, lists in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+            for doc, text, places in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
                 ws = words(text)
-                gone = covered(len(ws), window, _marks_of(lists)) if lists else None
-                kept = b" ".join([w for w, g in zip(ws, gone.tolist(), strict=True) if not g] if lists else ws)
-                out.append((doc, len(ws), int(gone.sum()) if lists else 0, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if with_text else None))
+                gone = covered(len(ws), window, _marks_of(places)) if places else None
+                kept = b" ".join([w for w, g in zip(ws, gone.tolist(), strict=True) if not g] if places else ws)
+                out.append((doc, len(ws), int(gone.sum()) if places else 0, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if with_text else None))
             cols = list(zip(*out, strict=True)) if out else [[]] * 5
             arrays = [*(pa.array(c, pa.int64()) for c in cols[:3]), *(pa.array(c, pa.string()) for c in cols[3 : 4 + with_text])]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"][: len(arrays)])
