@@ -2,13 +2,14 @@
 
 A document's set of word shingles is hashed once; the hash's first bits choose one of REGISTERS buckets and
 the smallest rest in each is kept in 16 bits: the count of its leading zeros and MANTISSA bits after the first
-one. Four registers make a band. Documents that share a band are candidates; the share of equal registers, less the
-equal ones expected by chance, estimates their similarity and drops the clearly unlike ones; the rest is
-confirmed on the full sets.
+one. Four registers make a band; for bands an empty register takes the value of another, by a fixed order, so that
+short texts too agree in a register as often as they are similar. Documents that share a band are candidates; the
+share of equal registers, less the equal ones expected by chance, estimates their similarity and drops the clearly
+unlike ones; the rest is confirmed on the full sets.
 
 A pair of similarity 0.75 shares no band with probability (1 - 0.75^4)^32 = 5e-6; that is all that is lost. No bucket
 is capped: equal sets are one class from the start, a band's members are first compared with one hub each,
-and then, where a band still holds several components, all pairs across them are compared.
+and then, where a band still holds several components, all pairs across them are estimated, in blocks.
 """
 
 from __future__ import annotations
@@ -25,7 +26,12 @@ from tessera.llm.words import hashes, mix, shingles, words
 REGISTERS, MANTISSA, ROWS = 128, 10, 4
 BANDS = REGISTERS // ROWS
 #: Standard errors by which an estimate must fall below the threshold to drop a pair unconfirmed.
-MARGIN = 6.0
+MARGIN = 5.0
+#: Members of a band that are taken together when pairs across components are estimated.
+BLOCK = 256
+#: For each register the order in which others lend it their value when it is empty.
+_LENDERS = np.argsort(np.random.default_rng(5).random((REGISTERS, REGISTERS)), axis=1)
+_CHANCE = 0.169919487159739 * 2.0 ** (REGISTERS.bit_length() - 1 - MANTISSA)
 
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
@@ -33,7 +39,7 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
 
 
 def registers(s: np.ndarray) -> np.ndarray:
-    """Of a sorted set of hashes the packed bands: four registers in each of BANDS numbers; 0 is an empty register."""
+    """Of a sorted set of hashes; 0 is an empty register."""
     regs = np.zeros(REGISTERS, np.uint64)
     if len(s):
         bits = REGISTERS.bit_length() - 1
@@ -43,10 +49,27 @@ def registers(s: np.ndarray) -> np.ndarray:
         zeros = np.minimum(53, 53 - np.frexp((rest >> np.uint64(11)).astype(np.float64))[1]).astype(np.uint64)
         mantissa = (rest << (zeros + np.uint64(1))) >> np.uint64(64 - MANTISSA)
         regs[bucket[first]] = (zeros + np.uint64(1)) << np.uint64(MANTISSA) | mantissa
+    return regs
+
+
+def packed(regs: np.ndarray) -> np.ndarray:
     r = regs.reshape(BANDS, ROWS)
     return r[:, 0] << np.uint64(48) | r[:, 1] << np.uint64(32) | r[:, 2] << np.uint64(16) | r[:, 3]
 
 
+def band_keys(regs: np.ndarray) -> np.ndarray:
+    """A number for each band of the registers, empty ones filled."""
+    have = regs != 0
+    if not have.any():
+        return np.zeros(0, np.uint64)
+    empty = np.flatnonzero(~have)
+    if len(empty):
+        order = _LENDERS[empty]
+        regs = regs.copy()
+        regs[empty] = regs[order[np.arange(len(empty)), have[order].argmax(1)]]
+    return mix(packed(regs) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def fingerprint(s: np.ndarray) -> tuple[int, int]:
     """Two sums over the set, as signed numbers."""
     a, b = mix(s ^ np.uint64(0x5851F42D4C957F2D)), mix(s ^ np.uint64(0x14057B7EF767814F))
@@ -54,43 +77,101 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, f1, f2 (the set's fingerprint), bands."""
+    """doc_id, n_shingles, f1, f2 (the set's fingerprint), regs (four packed in each number), keys of its bands."""
 
     def run(batches):
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingle_set(text, n)
-                rows.append((doc, len(s), *fingerprint(s), registers(s).view(np.int64)))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.list_(pa.int64()))], ["doc_id", "n_shingles", "f1", "f2", "bands"])
+                r = registers(s)
+                rows.append((doc, len(s), *fingerprint(s), packed(r).view(np.int64), band_keys(r).view(np.int64)))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), *(pa.array(c, pa.list_(pa.int64())) for c in cols[4:])], ["doc_id", "n_shingles", "f1", "f2", "regs", "keys"])
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>")
+    return d.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, regs array<long>, keys array<long>")
 
 
 def may_link(a: Column, b: Column, na: Column, nb: Column, num: int, den: int) -> Column:
     """False only if sizes exclude the threshold or the corrected estimate is MARGIN standard errors below it."""
 
-    def per_register(x: Column, y: Column, f) -> Column:
-        one = None
-        for k in range(ROWS):
-            v = f(F.shiftrightunsigned(x, 16 * k).bitwiseAND(0xFFFF), F.shiftrightunsigned(y, 16 * k).bitwiseAND(0xFFFF)).cast("int")
-            one = v if one is None else one + v
-        return one
+    def filled(x: Column) -> Column:
+        """How many of four packed registers aren't 0."""
+        for k in (1, 2, 4, 8):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, k))
+        return F.bit_count(x.bitwiseAND(0x0001000100010001)).cast("int")
 
     def total(f) -> Column:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: per_register(x, y, f)), F.lit(0), lambda s, v: s + v)
+        return F.aggregate(F.zip_with(a, b, f), F.lit(0), lambda s, v: s + v)
 
-    same, used = total(lambda x, y: (x == y) & (x != 0)), total(lambda x, y: (x != 0) | (y != 0))
+    used = total(lambda x, y: filled(x.bitwiseOR(y)))
+    same = used - total(lambda x, y: filled(x.bitwiseXOR(y)))
     ratio = na / nb
-    chance = F.lit(0.169919487159739 * 2.0 ** (REGISTERS.bit_length() - 1 - MANTISSA)) * 4 * ratio / ((1 + ratio) * (1 + ratio))
+    chance = F.lit(_CHANCE) * 4 * ratio / ((1 + ratio) * (1 + ratio))
     t = num / den
     error = F.sqrt(F.lit(t * (1 - t)) / F.greatest(used, F.lit(1)))
     sizes = F.least(na, nb) * den >= F.greatest(na, nb) * num
     return sizes & ((same - chance) / F.greatest(used, F.lit(1)) + MARGIN * error >= t)
 
 
+def likely_pairs(a: tuple, b: tuple, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in two blocks, each (component, n, registers as rows), of the pairs across components that may_link would keep."""
+    (ac, an, ar), (bc, bn, br) = a, b
+    common = np.bincount(np.unique(np.concatenate([ac, bc]), return_inverse=True)[1])
+    values = np.unique(np.concatenate([ac, bc]))
+    largest = values[common.argmax()]
+    left, right = [], []
+    # rows outside the largest component against all, and those in it against rows outside it
+    for rows, cols in ((np.flatnonzero(ac != largest), np.arange(len(bc))), (np.flatnonzero(ac == largest), np.flatnonzero(bc != largest))):
+        if not len(rows) or not len(cols):
+            continue
+        na, nb = an[rows][:, None].astype(float), bn[cols][None, :].astype(float)
+        ok = (ac[rows][:, None] != bc[cols][None, :]) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)
+        i, j = np.nonzero(ok)
+        for x in range(0, len(i), 20_000):
+            p, q = rows[i[x : x + 20_000]], cols[j[x : x + 20_000]]
+            u, v = ar[p], br[q]
+            used = ((u | v) != 0).sum(1)
+            same = ((u == v) & (u != 0)).sum(1)
+            ratio = an[p] / bn[q]
+            t = num / den
+            est = (same - _CHANCE * 4 * ratio / (1 + ratio) ** 2) / np.maximum(used, 1)
+            keep = est + MARGIN * np.sqrt(t * (1 - t) / np.maximum(used, 1)) >= t
+            left.append(p[keep])
+            right.append(q[keep])
+    none = np.zeros(0, np.int64)
+    return np.concatenate(left or [none]), np.concatenate(right or [none])
+
+
+def across(split: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, af, b, bf) of different components within a key that may be linked. split: key, size, doc, f1, c, n_shingles, regs.
+
+    A key's members are dealt to blocks of about BLOCK, and blocks meet each other in tasks of their own.
+    """
+    d = split.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc", "f1"), F.col("blocks")).cast("int"))
+    g = d.groupBy("key", "block", "blocks").agg(F.collect_list(F.struct("doc", "f1", "c", "n_shingles", "regs")).alias("m"))
+    left = g.select("key", F.col("m").alias("x"), F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
+    both = left.join(g.select("key", F.col("block").alias("j"), F.col("m").alias("y")), ["key", "j"]).select("i", "j", "x", "y")
+
+    def run(batches):
+        def block(c: pa.Array, k: int) -> dict:
+            m = c[k].values
+            regs = m.field("regs").flatten().to_numpy().astype("<i8").view("<u2").reshape(len(m), REGISTERS)
+            return {n: m.field(n).to_numpy() for n in ("doc", "f1", "c", "n_shingles")} | {"regs": regs}
+
+        for b in batches:
+            out = []
+            for k in range(b.num_rows):
+                x = block(b.column(2), k)
+                y = block(b.column(3), k)
+                p, q = likely_pairs((x["c"], x["n_shingles"], x["regs"]), (y["c"], y["n_shingles"], y["regs"]), num, den)
+                out.append((x["doc"][p], x["f1"][p], y["doc"][q], y["f1"][q]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if out else [], pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], ["a", "af", "b", "bf"])
+
+    return both.mapInArrow(run, "a long, af long, b long, bf long").distinct()
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Of pairs (a, af, b, bf), document and fingerprint each, those with 100 * intersection >= threshold * union on full sets."""
     wanted = pairs.select(F.col("a").alias("doc_id"), F.col("af").alias("f1")).unionByName(pairs.select(F.col("b").alias("doc_id"), F.col("bf").alias("f1"))).distinct()
@@ -135,15 +216,15 @@ def groups(docs: DataFrame, *, shingle: int = 5, threshold: tuple[int, int] = (7
     spark = tune(docs.sparkSession)
     num, den = threshold
     sig = written(signatures(docs, shingle), "signatures")
-    cls = sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands"))
+    cls = sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("regs").alias("regs"), F.first("keys").alias("keys"))
     cls = written(cls, "classes")
-    bands = cls.select("doc", "f1", F.posexplode("bands").alias("band", "regs")).where("regs <> 0").select(F.xxhash64("band", "regs").alias("key"), "doc", "f1")
+    bands = cls.select(F.explode("keys").alias("key"), "doc", "f1")
     hubs = bands.groupBy("key").agg(F.min(F.struct("doc", "f1")).alias("hub"), F.max(F.struct("doc", "f1")).alias("last")).where("hub <> last").select("key", "hub")
     members = written(bands.join(hubs, "key"), "bands")
     release(spark)
 
     def with_registers(pairs: DataFrame) -> DataFrame:
-        side = lambda x: cls.select(F.col("doc").alias(x), F.col("f1").alias(f"{x}f"), F.col("bands").alias(f"{x}r"), F.col("n_shingles").alias(f"{x}n"))
+        side = lambda x: cls.select(F.col("doc").alias(x), F.col("f1").alias(f"{x}f"), F.col("regs").alias(f"{x}r"), F.col("n_shingles").alias(f"{x}n"))
         p = pairs.join(side("a"), ["a", "af"]).join(side("b"), ["b", "bf"])
         return p.where(may_link(F.col("ar"), F.col("br"), F.col("an"), F.col("bn"), num, den)).select("a", "af", "b", "bf")
 
@@ -158,12 +239,9 @@ def groups(docs: DataFrame, *, shingle: int = 5, threshold: tuple[int, int] = (7
     first = written(components(edges), "components")
     # bands that still hold several components: all pairs across them
     named = members.select("key", "doc", "f1").join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn("c", F.coalesce("component", "doc")).drop("component")
-    mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
-    split = written(named.join(mixed, "key").join(cls.select("doc", "f1", "bands", "n_shingles"), ["doc", "f1"]), "mixed")
-    left = split.select("key", F.col("doc").alias("a"), F.col("f1").alias("af"), F.col("c").alias("ac"), F.col("bands").alias("ar"), F.col("n_shingles").alias("an"))
-    right = split.select("key", F.col("doc").alias("b"), F.col("f1").alias("bf"), F.col("c").alias("bc"), F.col("bands").alias("br"), F.col("n_shingles").alias("bn"))
-    cross = left.join(right, (left.key == right.key) & (F.col("ac") < F.col("bc")) & may_link(F.col("ar"), F.col("br"), F.col("an"), F.col("bn"), num, den))
-    cross = written(cross.select("a", "af", "b", "bf").distinct(), "cross")
+    mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("size")).where("x <> y").select("key", "size")
+    split = named.join(mixed, "key").join(cls.select("doc", "f1", "regs", "n_shingles"), ["doc", "f1"])
+    cross = written(across(split, num, den), "cross")
     if not cross.isEmpty():
         edges = edges.unionByName(written(confirmed(docs, cross, shingle, num, den), "edges"))
         first = written(components(edges), "components")
