@@ -1,4 +1,4 @@
-"""Named queries over the test tables, each with DuckDB SQL for the same rows."""
+"""Named queries over the test tables, each with DuckDB SQL for the same rows where SQL can express it."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from tessera.plans import audit, batching, queue, relational, texts  # noqa: F401 - they register their queries
+from tessera.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401
