@@ -94,9 +94,9 @@ def _(t: Tables) -> DataFrame:
 
 @query("q10_checked_split", f"""SELECT doc_id, CASE WHEN length(trim(text)) < 100 THEN 1 ELSE (NOT ok)::INTEGER + (CASE WHEN contains(text, 'License') THEN 1 ELSE 0 END) END AS n_blocking FROM (
     SELECT doc_id, text, length(s) >= 80 AND len(list_intersect(list_distinct(regexp_extract_all(lower(s), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+')), ['the', 'of', 'and', 'to', 'that', 'with'])) >= 4 AS ok
-    FROM (SELECT doc_id, text, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS s FROM documents WHERE NOT regexp_matches(text, chr(10) || '\\s*' || chr(10))))""")
+    FROM (SELECT doc_id, text, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS s FROM documents))""")
 def _(t: Tables) -> DataFrame:
-    d = t.documents.where(~F.col("text").rlike("\n\\s*\n")).select("doc_id", Q.checked(F.col("text"), language=ENGLISH, forbidden=["License"]).alias("codes"))
+    d = t.documents.select("doc_id", Q.checked(F.col("text"), language=ENGLISH, forbidden=["License"]).alias("codes"))
     return d.select("doc_id", F.size(Q.blocking(F.filter("codes", lambda c: c != "repeated_content"))).alias("n_blocking"))
 
 
@@ -110,11 +110,11 @@ def _(t: Tables) -> DataFrame:
     return Q.anchors_broken(pairs(t), "source", "output", [("the", ["thst", "of"])]).select("conv_id", "turn", "issues")
 
 
-AUDIT_SQL = """a AS (SELECT doc_id, CASE WHEN length(trim(text)) < 100 THEN ['output_too_short'] ELSE list_filter([CASE WHEN contains(text, 'License') THEN 'forbidden_term:License' END], lambda x: x IS NOT NULL) END AS codes FROM documents WHERE NOT regexp_matches(text, chr(10) || '\\s*' || chr(10)))"""
+AUDIT_SQL = """a AS (SELECT doc_id, CASE WHEN length(trim(text)) < 100 THEN ['output_too_short'] ELSE list_filter([CASE WHEN contains(text, 'License') THEN 'forbidden_term:License' END], lambda x: x IS NOT NULL) END AS codes FROM documents)"""
 
 
 def audit(t: Tables) -> DataFrame:
-    d = t.documents.where(~F.col("text").rlike("\n\\s*\n"))
+    d = t.documents
     return Q.audited(d.select("doc_id", F.filter(Q.checked(F.col("text"), forbidden=["License"]), lambda c: c != "repeated_content").alias("codes")))
 
 

@@ -23,15 +23,15 @@ def _(t: Tables) -> DataFrame:
     return t.customer.select(X.category_name(F.concat("c_mktsegment", F.lit("  x"))).alias("name")).distinct()
 
 
-@query("t3_category_names", "SELECT doc_id, list_filter(list_transform(regexp_split_to_array(left(text, 80), '[,，/|;；、·]+'), lambda x: trim(x)), lambda x: x <> '') AS names FROM documents WHERE doc_id % 7 >= 0 AND length(text) < 400 AND len(list_distinct(list_transform(regexp_split_to_array(left(text, 80), '[,，/|;；、·]+'), lambda x: trim(x)))) = len(regexp_split_to_array(left(text, 80), '[,，/|;；、·]+'))")
+@query("t3_category_names", "SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[,，/|;；、·]+'), lambda x: trim(x)), lambda x: x <> '') AS names FROM documents WHERE len(list_distinct(list_transform(regexp_split_to_array(text, '[,，/|;；、·]+'), lambda x: trim(x)))) = len(regexp_split_to_array(text, '[,，/|;；、·]+'))")
 def _(t: Tables) -> DataFrame:
-    parts = F.split(F.left("text", F.lit(80)), "[,，/|;；、·]+")
-    return t.documents.where((F.length("text") < 400) & (F.size(F.array_distinct(F.transform(parts, lambda x: F.trim(x)))) == F.size(parts))).select("doc_id", X.category_names(F.left("text", F.lit(80))).alias("names"))
+    parts = F.split(F.col("text"), "[,，/|;；、·]+")
+    return t.documents.where((F.size(F.array_distinct(F.transform(parts, lambda x: F.trim(x)))) == F.size(parts))).select("doc_id", X.category_names(F.col("text")).alias("names"))
 
 
-@query("t4_normalize_title", rf"SELECT doc_id, trim(regexp_replace(regexp_replace(lower(left(text, 100)), '[^\p{{L}}\p{{M}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM documents")
+@query("t4_normalize_title", rf"SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM documents")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.comparable(F.left("text", F.lit(100))).alias("title"))
+    return t.documents.select("doc_id", X.comparable(F.col("text")).alias("title"))
 
 
 @query("t5_normalize_no_underscore", r"SELECT event_id, trim(regexp_replace(regexp_replace(lower(event_type || '_' || props), '[^\p{L}\p{M}\p{N}\s]', ' ', 'g'), '\s+', ' ', 'g')) AS v FROM events")
@@ -89,9 +89,9 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.has_any(F.col("text"), ["licensed under", "password"]).alias("blocked"))
 
 
-@query("t24_markdown", r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(left(text, 200), '^#{1,6}\s+', ''), '^>\s+', ''), '\*\*([^*]+?)\s*\*\*', '\1', 'g') AS v FROM documents WHERE NOT contains(left(text, 200), '_') AND NOT regexp_matches(left(text, 200), '(^|[^*])\*([^*]|$)|^[-*+]')")
+@query("t24_markdown", r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '^#{1,6}\s+', ''), '^>\s+', ''), '\*\*([^*]+?)\s*\*\*', '\1', 'g') AS v FROM documents WHERE NOT contains(text, '_') AND NOT regexp_matches(text, '(^|[^*])\*([^*]|$)|^[-*+]')")
 def _(t: Tables) -> DataFrame:
-    c = F.left("text", F.lit(200))
+    c = F.col("text")
     return t.documents.where(~F.contains(c, F.lit("_")) & ~c.rlike(r"(^|[^*])\*([^*]|$)|^[-*+]")).select("doc_id", X.without_markdown(c).alias("v"))
 
 
@@ -100,37 +100,37 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.size(F.filter(F.split("text", "\n"), X.is_separator)).alias("n"))
 
 
-@query("t32_drop_repeated_paragraphs", "SELECT conv_id, turn, text AS v FROM conversations WHERE length(text) < 1000")
+@query("t32_drop_repeated_paragraphs", "SELECT conv_id, turn, text AS v FROM conversations")
 def _(t: Tables) -> DataFrame:
-    d = t.conversations.where(F.length("text") < 1000)
+    d = t.conversations
     # a paragraph is 120 characters or more, so a text with its copy after a blank line loses the copy
     twice = F.when(F.length(F.trim("text")) >= 120, F.concat("text", F.lit("\n\n"), "text")).otherwise(F.col("text"))
     return d.select("conv_id", "turn", X.drop_repeated_paragraphs(twice).alias("v"))
 
 
-@query("t33_cjk_parentheses", r"SELECT doc_id, regexp_replace(left(text, 50), '\s+$', '') AS v FROM documents")
+@query("t33_cjk_parentheses", r"SELECT doc_id, regexp_replace(text, '\s+$', '') AS v FROM documents")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.without_cjk_parentheses(F.concat(F.left("text", F.lit(50)), F.lit(" (漢字)"))).alias("v"))
+    return t.documents.select("doc_id", X.without_cjk_parentheses(F.concat(F.col("text"), F.lit(" (漢字)"))).alias("v"))
 
 
-@query("t36_reduplication", r"SELECT doc_id, regexp_replace(array_to_string(regexp_extract_all(left(text, 200), '[A-Za-z]+'), '-'), '-', ' ', 'g') AS v FROM documents")
+@query("t36_reduplication", r"SELECT doc_id, regexp_replace(array_to_string(regexp_extract_all(text, '[A-Za-z]+'), '-'), '-', ' ', 'g') AS v FROM documents")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.joined_reduplication(F.array_join(F.regexp_extract_all(F.left("text", F.lit(200)), F.lit("([A-Za-z]+)"), 1), "-")).alias("v"))
+    return t.documents.select("doc_id", X.joined_reduplication(F.array_join(F.regexp_extract_all(F.col("text"), F.lit("([A-Za-z]+)"), 1), "-")).alias("v"))
 
 
-@query("t42_full_stop", "SELECT doc_id, CASE WHEN v = '' OR regexp_matches(v, '[.,!?;:。，！？；：…]$') THEN v ELSE v || '.' END AS v FROM (SELECT doc_id, trim(left(text, 30)) AS v FROM documents)")
+@query("t42_full_stop", "SELECT doc_id, CASE WHEN v = '' OR regexp_matches(v, '[.,!?;:。，！？；：…]$') THEN v ELSE v || '.' END AS v FROM (SELECT doc_id, trim(text) AS v FROM documents)")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.with_full_stop(F.left("text", F.lit(30))).alias("v"))
+    return t.documents.select("doc_id", X.with_full_stop(F.col("text")).alias("v"))
 
 
-@query("t45_without_marks", r"""SELECT doc_id, lower(replace(regexp_replace(left(text, 300), '[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]', '', 'g'), '  ', ' ')) AS v FROM documents""")
+@query("t45_without_marks", r"""SELECT doc_id, lower(replace(regexp_replace(text, '[!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]', '', 'g'), '  ', ' ')) AS v FROM documents""")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", X.without_marks(F.left("text", F.lit(300))).alias("v"))
+    return t.documents.select("doc_id", X.without_marks(F.col("text")).alias("v"))
 
 
-@query("t47_characters", "SELECT doc_id, list_transform(string_split(left(text, 40), ''), lambda x: CASE WHEN x = ' ' THEN '▁' ELSE x END) AS tokens FROM documents WHERE length(text) > 0")
+@query("t47_characters", "SELECT doc_id, list_transform(string_split(text, ''), lambda x: CASE WHEN x = ' ' THEN '▁' ELSE x END) AS tokens FROM documents WHERE length(text) > 0")
 def _(t: Tables) -> DataFrame:
-    c = F.filter(F.split(F.left("text", F.lit(40)), ""), lambda x: x != "")
+    c = F.filter(F.split(F.col("text"), ""), lambda x: x != "")
     return t.documents.where("length(text) > 0").select("doc_id", F.transform(c, lambda x: F.when(x == " ", "▁").otherwise(x)).alias("tokens"))
 
 
@@ -156,8 +156,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("t18_title_score")
 def _(t: Tables) -> DataFrame:
-    a = F.lower(F.left("text", F.lit(60)))
-    return t.documents.select("doc_id", X.title_score(a, F.reverse(a)).alias("score"))
+    a = F.lower("p_name")
+    return t.part.select("p_partkey", X.title_score(a, F.reverse(a)).alias("score"))
 
 
 @query("t20_replacements")
@@ -170,11 +170,9 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.posexplode(X.sentence_chunks(520)(F.col("text"))).alias("chunk", "v"))
 
 
-@query("z2_model_output", "SELECT doc_id, trim(left(text, 60)) AS v FROM documents WHERE NOT regexp_matches(trim(left(text, 60)), '(?i)^(translation|output|result)') AND NOT contains(left(text, 60), chr(10))")
+@query("z2_model_output", r"SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS v FROM documents")
 def _(t: Tables) -> DataFrame:
-    c = F.left("text", F.lit(60))
-    d = t.documents.where(~F.trim(c).rlike("(?i)^(translation|output|result)") & ~F.contains(c, F.lit("\n")))
-    return d.select("doc_id", X.model_output(F.concat(F.lit("<think>a\nb</think>```text\nOutput: "), c)).alias("v"))
+    return t.documents.select("doc_id", X.model_output(F.concat(F.lit("<think>a\nb</think>```text\nOutput: "), "text")).alias("v"))
 
 
 @query("z18_host", "SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)) AS host FROM pages")
@@ -297,10 +295,10 @@ def _(t: Tables) -> DataFrame:
     return numbered(t.documents.select("lang", "doc_id"), [F.col("doc_id")], "lang").select(fixed(F.col("rn"), 100).alias("shard"), "lang", "doc_id")
 
 
-@query("s24_subtitles", "SELECT conv_id, turn, turn || chr(10) || '00:00:0' || turn || ',000 --> 00:00:0' || (turn + 1) || ',500' || chr(10) || left(text, 20) || chr(10) AS item FROM conversations WHERE turn < 8")
+@query("s24_subtitles", "SELECT conv_id, turn, turn || chr(10) || '00:00:0' || turn || ',000 --> 00:00:0' || (turn + 1) || ',500' || chr(10) || text || chr(10) AS item FROM conversations WHERE turn < 8")
 def _(t: Tables) -> DataFrame:
     c = F.col("turn")
-    return t.conversations.where("turn < 8").select("conv_id", "turn", S.srt_items(c, c.cast("double"), c + 1.5, F.left("text", F.lit(20))).alias("item"))
+    return t.conversations.where("turn < 8").select("conv_id", "turn", S.srt_items(c, c.cast("double"), c + 1.5, F.col("text")).alias("item"))
 
 
 @query("s26_links", r"""SELECT page_id, list_sort(list_distinct(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["\x27]([^"\x27#]+)["\x27]', 1))) AS links FROM pages""")
