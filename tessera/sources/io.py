@@ -186,12 +186,17 @@ class _LineReader(DataSourceReader):
 
         store, at = fs.FileSystem.from_uri(partition.path) if "://" in partition.path else (fs.LocalFileSystem(), partition.path)
         with store.open_input_file(at) as f:
-            f.seek(max(0, partition.start - 1))
-            if partition.start:
-                f.readline()  # a line that an earlier block has begun belongs to it
-            while f.tell() < partition.end:
-                place = f.tell()
-                line = f.readline()
-                if not line:
-                    break
-                yield partition.path, place, line.rstrip(b"\r\n").decode("utf-8", "replace")
+            first = max(0, partition.start - 1)
+            data, size = f.read_at(partition.end - first, first), f.size()
+            while not data.endswith(b"\n") and first + len(data) < size:  # the last line may end in a later block
+                more = f.read_at(1 << 16, first + len(data))
+                stop = more.find(b"\n")
+                data += more if stop < 0 else more[: stop + 1]
+        place = 0
+        if partition.start:
+            place = data.find(b"\n") + 1 or len(data)  # a line that an earlier block has begun belongs to it
+        while place < len(data) and first + place < partition.end:
+            stop = data.find(b"\n", place)
+            stop = len(data) if stop < 0 else stop
+            yield partition.path, first + place, data[place:stop].rstrip(b"\r").decode("utf-8", "replace")
+            place = stop + 1
