@@ -27,7 +27,7 @@ from tessera.llm.runtime import tune
 
 SPAN, DECAY = 6, 0.6
 #: Bounds of what is learnt from: documents of either label, landmarks, strings of clean documents.
-PER_CLASS, LANDMARKS, NEGATIVES = 2500, 240, 20_000
+PER_CLASS, LANDMARKS, NEGATIVES = 1200, 200, 16_000
 THRESHOLD = 0.7
 LONGEST = 48  # longer strings are taken in overlapping parts
 KEPT_STRINGS = 300_000
@@ -103,8 +103,8 @@ class Landmarks:
 
     def kernel(self, xs: list[str]) -> np.ndarray:
         out = np.zeros((len(xs), self.table.shape[1]))
-        for i in range(0, len(xs), 1000):
-            part = xs[i : i + 1000]
+        for i in range(0, len(xs), 500):
+            part = xs[i : i + 500]
             own, key, w = features(part)
             norm = np.sqrt(np.bincount(own, w * w, len(part)))
             at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
@@ -125,8 +125,8 @@ class Model:
 
     def strings(self, xs: list[str]) -> np.ndarray:
         """bias + the positive part of the kernel expansion, for each string."""
-        if len(xs) > 5000:
-            return np.concatenate([self.strings(xs[i : i + 5000]) for i in range(0, len(xs), 5000)])
+        if len(xs) > 2000:
+            return np.concatenate([self.strings(xs[i : i + 2000]) for i in range(0, len(xs), 2000)])
         own, key, w = features(xs)
         num = np.bincount(own, w * self.weights[key], len(xs))
         norm = np.sqrt(np.bincount(own, w * w, len(xs)))
@@ -174,14 +174,16 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     df_pos, df_neg = Counter(w for d in pos for w in d), Counter(w for d in neg for w in d)
     # strings of toxic documents far more than chance, between ever different words, so not from copies alone
-    around: dict[str, set[tuple[str, str]]] = {}
+    share = len(pos) / len(docs)
+    often = {w for w, n in df_pos.items() if n >= 3 and df_neg[w] * len(pos) < 0.1 * n * len(neg) and _tail(n, n + df_neg[w], share) < 1e-5}
+    around: dict[str, set[int]] = {w: set() for w in often}
     for text, y in rows:
         if y:
             ws = text.lower().split()
-            for x, w, z in zip(["", *ws], ws, [*ws[1:], ""], strict=False):
-                around.setdefault(w, set()).add((x, z))
-    share = len(pos) / len(docs)
-    firm = sorted(w for w, n in df_pos.items() if len(around.get(w, ())) >= max(3, 0.3 * n) and _tail(n, n + df_neg[w], share) < 1e-5 and df_neg[w] * len(pos) < 0.1 * n * len(neg))
+            for i, w in enumerate(ws):
+                if w in often:
+                    around[w].add(hash((ws[i - 1] if i else "", ws[i + 1] if i + 1 < len(ws) else "")))
+    firm = sorted(w for w in often if len(around[w]) >= max(3, 0.3 * df_pos[w]))
     clean = sorted(df_neg)
     seen = sorted(df_neg, key=lambda w: (-df_neg[w], w))[: NEGATIVES // 2]
     rare = [clean[i] for i in rng.choice(len(clean), min(len(clean), NEGATIVES // 2), replace=False)]
@@ -206,9 +208,9 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model:
         weights = np.zeros(1 << 18)
         weights[basis.keys] = basis.table @ (root @ w)
         model = Model(weights, bias, 1.0, 0.0)
-        score = dict(zip(clean, model.strings(clean), strict=True))
+        score = dict(zip(clean, model.strings(clean).tolist(), strict=True))
         hard = sorted(clean, key=lambda s: (-score[s], s))[:4000]
-        score.update(zip(df_pos, model.strings(list(df_pos)), strict=True))
+        score.update(zip(df_pos, model.strings(list(df_pos)).tolist(), strict=True))
         worst = [b for b in (max(d, key=lambda s: (score[s], s)) for d in pos if d) if score[b] > 0]
         worst = [*firm, *worst] or [max(d, key=lambda w: (df_pos[w] / len(pos) - df_neg[w] / len(neg), w)) for d in pos if d]
     top = np.array([*(max((score[w] for w in d), default=model.bias) for d, _ in docs), *model.strings(forms)])
