@@ -25,8 +25,9 @@ from tessera.llm.words import hashes, mix, shingles, words
 
 REGISTERS, MANTISSA, ROWS = 128, 10, 4
 BANDS = REGISTERS // ROWS
-#: Standard errors by which an estimate must fall below the threshold to drop a pair unconfirmed.
-MARGIN = 5.0
+#: Standard errors by which an estimate must fall below the threshold to drop a pair unconfirmed. Registers are drawn
+#: from the union without replacement, so a small union, nearly all of it in registers, has a small error.
+MARGIN = 4.5
 #: Members of a band that are taken together when pairs across components are estimated.
 BLOCK = 256
 #: For each register the order in which others lend it their value when it is empty.
@@ -110,18 +111,17 @@ def may_link(a: Column, b: Column, na: Column, nb: Column, num: int, den: int) -
     ratio = na / nb
     chance = F.lit(_CHANCE) * 4 * ratio / ((1 + ratio) * (1 + ratio))
     t = num / den
-    error = F.sqrt(F.lit(t * (1 - t)) / F.greatest(used, F.lit(1)))
+    error = MARGIN * F.sqrt(F.lit(t * (1 - t)) / F.greatest(used, F.lit(1)) * F.greatest(F.lit(0.0), 1 - used * (1 + t) / (na + nb))) + F.lit(2.0) / F.greatest(used, F.lit(1))
     sizes = F.least(na, nb) * den >= F.greatest(na, nb) * num
-    return sizes & ((same - chance) / F.greatest(used, F.lit(1)) + MARGIN * error >= t)
+    return sizes & ((same - chance) / F.greatest(used, F.lit(1)) + error >= t)
 
 
-def likely_pairs(a: tuple, b: tuple, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in two blocks, each (component, n, registers as rows), of the pairs across components that may_link would keep."""
+def likely_pairs(a: tuple, b: tuple, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in two blocks, each (component, n, registers as rows), and estimates of the pairs across components that may_link would keep."""
     (ac, an, ar), (bc, bn, br) = a, b
     common = np.bincount(np.unique(np.concatenate([ac, bc]), return_inverse=True)[1])
-    values = np.unique(np.concatenate([ac, bc]))
-    largest = values[common.argmax()]
-    left, right = [], []
+    largest = np.unique(np.concatenate([ac, bc]))[common.argmax()]
+    left, right, values = [], [], []
     # rows outside the largest component against all, and those in it against rows outside it
     for rows, cols in ((np.flatnonzero(ac != largest), np.arange(len(bc))), (np.flatnonzero(ac == largest), np.flatnonzero(bc != largest))):
         if not len(rows) or not len(cols):
@@ -137,17 +137,19 @@ def likely_pairs(a: tuple, b: tuple, num: int, den: int) -> tuple[np.ndarray, np
             ratio = an[p] / bn[q]
             t = num / den
             est = (same - _CHANCE * 4 * ratio / (1 + ratio) ** 2) / np.maximum(used, 1)
-            keep = est + MARGIN * np.sqrt(t * (1 - t) / np.maximum(used, 1)) >= t
+            seen = np.maximum(0.0, 1 - used * (1 + t) / (an[p] + bn[q]))
+            keep = est + MARGIN * np.sqrt(t * (1 - t) / np.maximum(used, 1) * seen) + 2.0 / np.maximum(used, 1) >= t
             left.append(p[keep])
             right.append(q[keep])
+            values.append(est[keep])
     none = np.zeros(0, np.int64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none])
+    return np.concatenate(left or [none]), np.concatenate(right or [none]), np.concatenate(values or [none.astype(float)])
 
 
-def across(split: DataFrame, num: int, den: int) -> DataFrame:
+def across(split: DataFrame, num: int, den: int, best: bool) -> DataFrame:
     """Pairs (a, af, b, bf) of different components within a key that may be linked. split: key, size, doc, f1, c, n_shingles, regs.
 
-    A key's members are dealt to blocks of about BLOCK, and blocks meet each other in tasks of their own.
+    With best, of the pairs of a document and a component only the one of the largest estimate: one link joins them. A key's members are dealt to blocks of about BLOCK, and blocks meet each other in tasks of their own.
     """
     d = split.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc", "f1"), F.col("blocks")).cast("int"))
     g = d.groupBy("key", "block", "blocks").agg(F.collect_list(F.struct("doc", "f1", "c", "n_shingles", "regs")).alias("m"))
@@ -165,11 +167,21 @@ def across(split: DataFrame, num: int, den: int) -> DataFrame:
             for k in range(b.num_rows):
                 x = block(b.column(2), k)
                 y = block(b.column(3), k)
-                p, q = likely_pairs((x["c"], x["n_shingles"], x["regs"]), (y["c"], y["n_shingles"], y["regs"]), num, den)
-                out.append((x["doc"][p], x["f1"][p], y["doc"][q], y["f1"][q]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if out else [], pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], ["a", "af", "b", "bf"])
-
-    return both.mapInArrow(run, "a long, af long, b long, bf long").distinct()
+                p, q, est = likely_pairs((x["c"], x["n_shingles"], x["regs"]), (y["c"], y["n_shingles"], y["regs"]), num, den)
+                if best and len(p):
+                    order = np.lexsort((-est, y["c"][q], p))
+                    p, q, est = p[order], q[order], est[order]
+                    first = np.ones(len(p), bool)
+                    first[1:] = (p[1:] != p[:-1]) | (y["c"][q[1:]] != y["c"][q[:-1]])
+                    p, q, est = p[first], q[first], est[first]
+                out.append((x["doc"][p], x["f1"][p], y["doc"][q], y["f1"][q], y["c"][q], est))
+            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.float64())], ["a", "af", "b", "bf", "bc", "est"])
+
+    found = both.mapInArrow(run, "a long, af long, b long, bf long, bc long, est double")
+    if best:
+        return found.groupBy("a", "af", "bc").agg(F.max(F.struct("est", "b", "bf")).alias("x")).select("a", "af", "x.b", "x.bf")
+    return found.select("a", "af", "b", "bf").distinct()
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -237,15 +249,17 @@ def groups(docs: DataFrame, *, shingle: int = 5, threshold: tuple[int, int] = (7
     edges = written(confirmed(docs, written(with_registers(near), "near"), shingle, num, den).unionByName(same_id), "edges")
     release(spark)
     first = written(components(edges), "components")
-    # bands that still hold several components: all pairs across them
-    named = members.select("key", "doc", "f1").join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn("c", F.coalesce("component", "doc")).drop("component")
-    mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("size")).where("x <> y").select("key", "size")
-    split = named.join(mixed, "key").join(cls.select("doc", "f1", "regs", "n_shingles"), ["doc", "f1"])
-    cross = written(across(split, num, den), "cross")
-    if not cross.isEmpty():
+    # bands that still hold several components: the likeliest pair of each document and component, then all that are left
+    for best in (True, False):
+        named = members.select("key", "doc", "f1").join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn("c", F.coalesce("component", "doc")).drop("component")
+        mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("size")).where("x <> y").select("key", "size")
+        split = named.join(mixed, "key").join(cls.select("doc", "f1", "regs", "n_shingles"), ["doc", "f1"])
+        cross = written(across(split, num, den, best), "cross")
+        if cross.isEmpty():
+            break
         edges = edges.unionByName(written(confirmed(docs, cross, shingle, num, den), "edges"))
         first = written(components(edges), "components")
-    release(spark)
+        release(spark)
     named = cls.select("f1", "f2", "n_shingles", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left").select("f1", "f2", "n_shingles", F.coalesce("component", "doc").alias("c"))
     out = sig.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
