@@ -140,8 +140,11 @@ class Index:
             found = (self.walks.signatures(w, self.n[r]) == self.sig[:, r]).any(0)
             for k in np.flatnonzero(found):
                 key, most = (int(d[k]), int(r[k])), int(self.edits[r[k]])
-                lo = max(0, int(s[k]) - most)
-                cost, a, b = fit(self.words[r[k]], docs[d[k]][lo : int(s[k]) + int(self.n[r[k]]) + most])
+                lo, item = max(0, int(s[k]) - most), self.words[r[k]]
+                part = docs[d[k]][lo : int(s[k]) + len(item) + most]
+                if np.isin(item, part).sum() < len(item) - most:  # every item word that isn't there is an edit
+                    continue
+                cost, a, b = fit(item, part)
                 if cost <= most and (key not in best or cost < best[key][2]):
                     best[key] = (lo + a, lo + b, cost)
         for (d, r), (a, b, cost) in best.items():
