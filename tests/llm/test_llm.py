@@ -422,10 +422,17 @@ def test_nearest_equal_brute_force(spark, n, k):
     for r in ann.nearest(e.where("vec_id % 20 = 0"), e, k=k).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     for q in range(0, n, 20):
-        s = [(-sum(float(a) * float(b) for a, b in zip(v[q], v[c], strict=True)), c) for c in range(n) if c != q]
+        s = []
+        for c in range(n):
+            total = 0.0  # added in order; sum() would compensate rounding errors
+            for x, y in zip(v[q], v[c], strict=True):
+                total += float(x) * float(y)
+            if c != q:
+                s.append((-total, c))
         want = [c for _, c in sorted(s)[:k]]
         assert [c for c, _ in got[q]] == want
-        assert all(x == -dict((c, s) for s, c in s)[c] for c, x in got[q])
+        score = {c: -x for x, c in s}
+        assert all(x == score[c] for c, x in got[q])
     assert set(got) == set(range(0, n, 20))
 
 
