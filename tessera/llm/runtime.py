@@ -82,5 +82,8 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def parts_for(df: DataFrame, each: int, least: int = 1) -> int:
-    """How many parts of `each` bytes df makes."""
-    return max(least, min(1 << 20, math.ceil(input_bytes(df) / each)))
+    """How many parts of `each` bytes df makes; four for each shuffle partition where Spark can't tell its size."""
+    size = input_bytes(df)
+    if size >= 1 << 60:
+        return max(least, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, min(1 << 20, math.ceil(size / each)))

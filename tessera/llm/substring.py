@@ -70,12 +70,10 @@ def _packed(doc: np.ndarray, pos: np.ndarray, keys: np.ndarray, parts: int) -> p
     order = np.lexsort((doc, home[doc]))
     doc, pos = doc[order], pos[order].astype("<i4")
     rows = []
-    cuts = np.searchsorted(home[doc], np.arange(parts + 1))
-    for h in range(parts):
-        x, y = cuts[h], cuts[h + 1]
-        if x < y:
-            used, sizes = np.unique(doc[x:y], return_counts=True)
-            rows.append((h, keys[used].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), pos[x:y].tobytes()))
+    homes, starts = np.unique(home[doc], return_index=True)
+    for h, x, y in zip(homes.tolist(), starts, np.append(starts, len(doc))[1:], strict=True):
+        used, sizes = np.unique(doc[x:y], return_counts=True)
+        rows.append((h, keys[used].astype("<i8").tobytes(), sizes.astype("<u4").tobytes(), pos[x:y].tobytes()))
     cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
     return pa.table([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], ["home", "keys", "sizes", "p"])
 
@@ -129,12 +127,10 @@ def _occurrences(docs: DataFrame, window: int, level: int, before: int | None, l
                 settled = multiple
             part = (h[first] >> shift).astype(np.int64) if parts > 1 else np.zeros(first.sum(), np.int64)
             fh, fd, fp = h[first], d[first], p[first]
-            cuts = np.searchsorted(part, np.arange(parts + 1))
-            for q in range(parts):
-                x, y = cuts[q], cuts[q + 1]
-                if x < y:
-                    used, short = np.unique(fd[x:y], return_inverse=True)
-                    out.append((q, 0, keys[used].astype("<i8").tobytes(), fh[x:y].astype("<u8").tobytes(), short.astype("<u4").tobytes(), fp[x:y].astype("<i4").tobytes()))
+            held, starts = np.unique(part, return_index=True)
+            for q, x, y in zip(held.tolist(), starts, np.append(starts, len(part))[1:], strict=True):
+                used, short = np.unique(fd[x:y], return_inverse=True)
+                out.append((q, 0, keys[used].astype("<i8").tobytes(), fh[x:y].astype("<u8").tobytes(), short.astype("<u4").tobytes(), fp[x:y].astype("<i4").tobytes()))
             if settled.any():
                 used, short = np.unique(d[settled], return_inverse=True)
                 out.append((int(keys[0, 1]) % parts, 1, keys[used].astype("<i8").tobytes(), b"", short.astype("<u4").tobytes(), p[settled].astype("<i4").tobytes()))
