@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and tokens that a battery of randomness tests finds random.
 
 A candidate is a run of at least SHORTEST characters of an encoding's alphabet. Its encoding is the smallest of hex, base32,
-letters and digits, base64 and URL-safe base64 that holds it. Three tests ask whether it could be uniform noise:
+letters and digits, base64, URL-safe base64 and the two together that holds it. Three tests ask whether it could be uniform noise:
 chi-squared of its characters over the alphabet, runs above and below the alphabet's middle, and serial correlation of
 neighbours. Fisher's sum joins their p-values; small sums look random.
 
@@ -31,7 +31,8 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "random")
 SHORTEST = 16
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
+#: A whole run of the alphabets, with '=' as padding at its end only, so a value may directly follow 'NAME='.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 #: Cells of the sum of Fisher, and the share of false discoveries.
 CELLS, CELL_WIDTH, RATE = 64, 1.0, 0.01
 _HEX_CHARS = str.maketrans({c: "x" for c in "0123456789abcdef"})
@@ -58,6 +59,7 @@ ALPHABETS = {
     "alnum": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64_url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "base64_any": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
 _SETS = {k: frozenset(v) for k, v in ALPHABETS.items()}
 _PLACE = {k: {c: i for i, c in enumerate(v)} for k, v in ALPHABETS.items()}
@@ -115,10 +117,8 @@ def judged(token: str) -> tuple[bool, int, int] | None:
     """(is a plain word, length class, cell of the sum), or None for what is no candidate."""
     word = token.isalpha() and (token.islower() or token[1:].islower())
     kind = "lower" if word else encoding(token)
-    if kind is None or not word and token.isalpha() and (token.isupper() or not any(a.islower() and b.isupper() for a, b in zip(token, token[1:], strict=False))):
+    if kind is None:
         return None
-    if not word and ("-" in token or "_" in token or "/" in token) and not any(c.isdigit() for c in token):
-        return None  # words joined by marks
     return word, length_class(len(token.rstrip("="))), min(CELLS - 1, int(fisher(token.lower() if word else token, kind) / CELL_WIDTH))
 
 
