@@ -56,17 +56,25 @@ def tile(qi: np.ndarray, qv: np.ndarray, ci: np.ndarray, cv: np.ndarray, k: int)
     err += 1e-6 * (qn[:, None] * cn[None, :] + np.abs(est)) + 1e-12
     own = qi[:, None] == ci[None, :]
     low = np.where(own, -np.inf, est - err)
-    at = max(0, len(ci) - k)
+    by_id = np.argsort(ci, kind="stable")
+    firsts = np.flatnonzero(np.diff(ci[by_id], prepend=ci[by_id[0]] - 1))
+    if len(firsts) < len(ci):  # a repeated vec_id counts once, at its best bound
+        low = np.maximum.reduceat(low[:, by_id], firsts, axis=1)
+    at = max(0, low.shape[1] - k)
     need = np.partition(low, at, axis=1)[:, at]
     rows, cols = np.nonzero((est + err >= need[:, None]) & ~own)
     out = []
     score = np.concatenate([exact(qv[rows[i : i + 100_000]], cv[cols[i : i + 100_000]]) for i in range(0, len(rows), 100_000)] or [np.zeros(0)])
     ids = ci[cols]
+    order = np.lexsort((-score, ids, rows))
+    r, i = rows[order], ids[order]
+    order = order[(np.diff(r, prepend=-1) != 0) | np.r_[True, i[1:] != i[:-1]][: len(i)]]  # each vec_id once, at its best
+    rows, score, ids = rows[order], score[order], ids[order]
     order = np.lexsort((ids, -score, rows))
     rows, score, ids = rows[order], score[order], ids[order]
     starts = np.searchsorted(rows, np.arange(len(qi) + 1))
     for r in range(len(qi)):
-        a, b = starts[r], min(starts[r + 1], starts[r] + 4 * k)  # some more, for repeated rows
+        a, b = starts[r], min(starts[r + 1], starts[r] + k)
         out.append((int(qi[r]), list(zip((-score[a:b]).tolist(), ids[a:b].tolist(), strict=True))))
     return out
 

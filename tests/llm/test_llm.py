@@ -443,6 +443,28 @@ def test_nearest_equal_brute_force(spark, n, k):
     assert set(got) == set(range(0, n, 20))
 
 
+@pytest.mark.parametrize("times", [2, 30])
+def test_repeated_vectors_count_once(spark, times):
+    v = np.random.default_rng(times).normal(size=(60, 8)).astype("f4")
+    e = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v) for _ in range(times)], "vec_id long, embedding array<float>").coalesce(1)
+    got = defaultdict(list)
+    for r in ann.nearest(e.where("vec_id % 20 = 0").distinct(), e, k=20).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    for q in (0, 20, 40):
+        s = v.astype("f8") @ v[q].astype("f8")
+        s[q] = -np.inf
+        assert got[q] == np.argsort(-s)[:20].tolist()
+
+
+def test_a_hot_vector_hides_no_neighbours(spark):
+    v = np.random.default_rng(8).normal(size=(60, 8)).astype("f4")
+    v[7] = 3 * v[0]
+    e = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v) for _ in range(200 if i == 7 else 1)], "vec_id long, embedding array<float>").coalesce(1)
+    s = v.astype("f8") @ v[0].astype("f8")
+    s[0] = -np.inf
+    assert [r.vec_id for r in ann.nearest(e.where("vec_id = 0"), e, k=20).orderBy("rank").collect()] == np.argsort(-s)[:20].tolist()
+
+
 def test_nearest_of_nothing(spark):
     e = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(e, e).count() == 0
