@@ -5,10 +5,12 @@ letters and digits, base64, URL-safe base64 and the two together that holds it.
 chi-squared of its characters over the alphabet, runs above and below the alphabet's middle, and serial correlation of
 neighbours. Fisher's sum joins their p-values; small sums look random.
 
-How small a sum a token of language reaches by chance depends on its length. So plain lower-case words of the
-corpus, which aren't secrets, give the distribution of the sum for each length class, and hence each candidate's
-p-value; Benjamini and Hochberg's rule over all candidates of the corpus then bounds the share of false discoveries.
-Both are counts in a fixed number of cells, gathered over all documents.
+How small a sum a token of language reaches by chance depends on its alphabet and length. So a fixed model of language
+tokens, words of several languages joined with capitals, digits and marks, gives the distribution of the sum for each
+alphabet and length class, and hence each candidate's p-value, whatever the size of the corpus. Its lower tail is carried on as
+log-normal. Benjamini and Hochberg's rule over all candidates of the corpus then bounds the share of false discoveries,
+as far as the corpus's language looks no more random than the model's. Plain words, lower-case or capitalised letters alone,
+aren't secrets and aren't tested. Counts are in a fixed number of cells, gathered over all documents.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import hashlib
 import math
 import re
 from functools import lru_cache
+from random import Random
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +65,7 @@ ALPHABETS = {
     "base64_any": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
 _SETS = {k: frozenset(v) for k, v in ALPHABETS.items()}
+_NUMBER = {k: i for i, k in enumerate(ALPHABETS)}
 _PLACE = {k: {c: i for i, c in enumerate(v)} for k, v in ALPHABETS.items()}
 
 
@@ -107,27 +111,117 @@ def fisher(token: str, kind: str) -> float:
     return -2 * sum(math.log(max(p, 1e-12)) for p in battery(token, kind))
 
 
+#: Words that the fixed language model joins: frequent ones of several languages and some of programs.
+_WORDS = """the of and to in that for with are this from have not which their there were would about other into time only could these
+people first after should through where before between because different number system world house program function value index error
+message request response user account service file path name data table column list string object class type test build version config
+server client public private default update delete create select image page article section category product order customer report
+der die und den von das mit sich des auf für ist nicht auch eine werden aus haben sind nach oder zeit über wenn noch schaft heit keit arbeit
+les des une est que dans pour qui sur pas plus avec sont par mais comme tout nous leur bien entre aussi sans temps ment tion
+los las por con para una del como pero sus este entre cuando muy sin sobre tambien hasta donde todo desde ción mente dad"""
+LANGUAGE = tuple(w for w in _WORDS.split() if w.isascii())
+_HEX_WORDS = ("face", "dead", "beef", "cafe", "bad", "feed", "added", "decade", "fade", "ace", "deed", "bead", "a", "b", "c", "d", "e", "f")
+STREAM, DRAWS, LONGEST = 400_000, 4000, 200
+
+
+@lru_cache(maxsize=None)
+def language(kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A fixed stream of language as tokens of this alphabet hold it, as places; where its pieces start; and, for each smaller alphabet, whether it holds the character."""
+    rng, out, starts, at = Random(kind), [], [], 0
+    letters = ALPHABETS[kind]
+    digits = [c for c in letters if c.isdigit()]
+    marks = [c for c in letters if not c.isalnum()]
+    while at < STREAM:
+        if digits and rng.random() < (0.5 if kind.startswith("hex") else 0.25):
+            w = "".join(rng.choice(digits) for _ in range(rng.randint(1, 8)))
+        else:
+            w = rng.choice(_HEX_WORDS if kind.startswith("hex") else LANGUAGE)
+            if "a" not in letters or kind in ("alnum", "base64", "base64_url", "base64_any") and rng.random() < 0.1:
+                w = w.upper()
+            elif "A" in letters and rng.random() < 0.7:
+                w = w.capitalize()
+        if marks and rng.random() < 0.8:
+            w += rng.choice(marks)
+        out.append(w)
+        starts.append(at)
+        at += len(w)
+    text = "".join(out)
+    smaller = list(ALPHABETS)[: list(ALPHABETS).index(kind)]
+    within = np.array([[c in _SETS[k] for c in text] for k in smaller], bool).reshape(len(smaller), len(text))
+    return np.array([_PLACE[kind][c] for c in text]), np.array(starts), within
+
+
+def fishers(v: np.ndarray, size: int) -> np.ndarray:
+    """fisher() of rows of places in an alphabet of this size, all of one length."""
+    m, n = v.shape
+    erfc = np.vectorize(math.erfc, otypes=[float])
+    counts = np.bincount((np.arange(m)[:, None] * size + v).ravel(), minlength=m * size).reshape(m, size)
+    uniform = np.array([_chi2_tail(float(x), size - 1) for x in ((counts - n / size) ** 2).sum(1) * size / n])
+    high = v >= size / 2
+    a = high.sum(1).astype(float)
+    b = n - a
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(1)
+    mean, var = 2 * a * b / n + 1, 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
+    run_p = np.where((a > 0) & (b > 0), erfc(np.abs(runs - mean) / np.sqrt(2 * np.maximum(var, 1e-9))), 2.0 ** (1 - n))
+    d = v - v.mean(1)[:, None]
+    spread = (d * d).sum(1)
+    serial = np.where(spread > 0, (d[:, 1:] * d[:, :-1]).sum(1) / np.where(spread > 0, spread, 1), 1.0)
+    serial_p = erfc(np.abs(serial + 1 / n) * math.sqrt(n / 2))
+    return -2 * sum(np.log(np.maximum(p, 1e-12)) for p in (uniform, run_p, serial_p))
+
+
+@lru_cache(maxsize=None)
+def language_sums(kind: str, n: int) -> np.ndarray:
+    """Sorted sums of Fisher of the fixed model's tokens of n characters that need this alphabet."""
+    places, starts, within = language(kind)
+    starts = starts[starts <= len(places) - n]
+    for row in within:
+        held = np.concatenate([[0], np.cumsum(row)])
+        starts = starts[held[starts + n] - held[starts] < n]
+    starts = starts[:: max(1, len(starts) // DRAWS)]
+    return np.sort(fishers(places[starts[:, None] + np.arange(n)], len(ALPHABETS[kind])))
+
+
 def length_class(n: int) -> int:
     """Single lengths to 40, then steps of a quarter more."""
     return n if n <= 40 else 40 + int(math.log(n / 40) / math.log(1.25)) + 1
 
 
+def shortest_of(length: int) -> int:
+    """The least number of characters of a length class, LONGEST at most: longer language looks less random, so p is too large at most."""
+    return length if length <= 40 else next(n for n in range(40, LONGEST + 1) if length_class(n) == length or n == LONGEST)
+
+
+@lru_cache(maxsize=None)
+def language_tail(kind: str, length: int) -> tuple[float, ...]:
+    """p-values of the cells of the sum: the model's share of sums below a cell's end, or the tail of a log-normal, whichever is larger."""
+    x = language_sums(kind, shortest_of(length))
+    if not len(x):
+        return (1.0,) * CELLS
+    middle = math.log(max(x[len(x) // 2], 1e-9))
+    # as wide as the widest of three quantiles asks, so that the tail isn't too light
+    width = max(1e-6, *((middle - math.log(max(x[int(len(x) * q)], 1e-9))) / z for q, z in ((0.1, 1.2816), (0.01, 2.3263), (0.002, 2.8782))))
+    ends = [CELL_WIDTH * (c + 1) for c in range(CELLS - 1)]
+    return (*(max(float(np.searchsorted(x, e)) / len(x), 0.5 * math.erfc((middle - math.log(e)) / width / math.sqrt(2))) for e in ends), 1.0)
+
+
 @lru_cache(maxsize=50_000)
-def judged(token: str) -> tuple[bool, int, int] | None:
-    """(is a plain word, length class, cell of the sum), or None for what is no candidate."""
-    word = token.isalpha() and (token.islower() or token[1:].islower())
-    kind = "lower" if word else encoding(token)
+def judged(token: str) -> tuple[int, int, int] | None:
+    """(number of the alphabet, length class, cell of the sum), or None for what is no candidate."""
+    if token.isalpha() and (token.islower() or token[1:].islower()):
+        return None  # a plain word
+    kind = encoding(token)
     if kind is None:
         return None
-    return word, length_class(len(token.rstrip("="))), min(CELLS - 1, int(fisher(token.lower() if word else token, kind) / CELL_WIDTH))
+    return _NUMBER[kind], length_class(len(token.rstrip("="))), min(CELLS - 1, int(fisher(token, kind) / CELL_WIDTH))
 
 
-def candidates(text: str) -> list[tuple[int, int, tuple[bool, int, int]]]:
+def candidates(text: str) -> list[tuple[int, int, tuple[int, int, int]]]:
     return [(m.start(), m.end(), j) for m in CANDIDATE.finditer(text) if (j := judged(m[0]))]
 
 
 def cells(docs: DataFrame) -> DataFrame:
-    """Counts over all documents: word, length, cell, n."""
+    """Counts over all documents: alphabet, length, cell, n."""
 
     def run(batches):
         for b in batches:
@@ -140,48 +234,35 @@ def cells(docs: DataFrame) -> DataFrame:
                             count[j] = count.get(j, 0) + 1
             rows = [(*j, n) for j, n in count.items()]
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.bool_()), *(pa.array(c, pa.int32()) for c in cols[1:3]), pa.array(cols[3], pa.int64())], ["word", "length", "cell", "n"])
-
-    got = docs.select(F.col("text").cast("string")).mapInArrow(run, "word boolean, length int, cell int, n long")
-    return got.groupBy("word", "length", "cell").agg(F.sum("n").alias("n"))
-
-
-def accepted(counts: list[tuple[bool, int, int, int]], rate: float = RATE) -> frozenset[tuple[int, int]]:
-    """The (length class, cell) of candidates that the rule finds random. counts: rows of cells()."""
-    words: dict[int, np.ndarray] = {}
-    for word, length, cell, n in counts:
-        if word:
-            words.setdefault(length, np.zeros(CELLS))[cell] += n
-    lengths = np.array(sorted(words))
-
-    def p(length: int, cell: int) -> float:
-        # words of this class or, where there are few, of the nearest shorter ones: these look more random, so p is too large at most
-        own, k = np.zeros(CELLS), int(np.searchsorted(lengths, length, "right"))
-        while k > 0 and own.sum() < 1000:
-            k -= 1
-            own = own + words[int(lengths[k])]
-        return (1 + own[: cell + 1].sum()) / (1 + own.sum())
-
-    tests = sorted((p(length, cell), length, cell, n) for word, length, cell, n in counts if not word)
-    total, seen, last = sum(t[3] for t in tests), 0, -1
-    for i, (x, _, _, n) in enumerate(tests):
-        seen += n
-        if x <= rate * seen / total:
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in cols[:3]), pa.array(cols[3], pa.int64())], ["alphabet", "length", "cell", "n"])
+
+    got = docs.select(F.col("text").cast("string")).mapInArrow(run, "alphabet int, length int, cell int, n long")
+    return got.groupBy("alphabet", "length", "cell").agg(F.sum("n").alias("n"))
+
+
+def accepted(counts: list[tuple[int, int, int, int]], rate: float = RATE) -> frozenset[tuple[int, int, int]]:
+    """The (alphabet, length class, cell) of candidates that the rule finds random. counts: rows of cells()."""
+    names = list(ALPHABETS)
+    tests = sorted((language_tail(names[k], length)[cell], k, length, cell, n) for k, length, cell, n in counts)
+    total, seen, last = sum(t[4] for t in tests), 0, -1
+    for i, t in enumerate(tests):
+        seen += t[4]
+        if t[0] <= rate * seen / total:
             last = i
-    return frozenset((length, cell) for _, length, cell, _ in tests[: last + 1])
+    return frozenset(t[1:4] for t in tests[: last + 1])
 
 
-def calibrated(docs: DataFrame, rate: float = RATE) -> frozenset[tuple[int, int]]:
+def calibrated(docs: DataFrame, rate: float = RATE) -> frozenset[tuple[int, int, int]]:
     tune(docs.sparkSession)
     return accepted([tuple(r) for r in cells(docs).collect()], rate)  # a bounded number of cells
 
 
-def spans(text: str, random: frozenset[tuple[int, int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def spans(text: str, random: frozenset[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Spans of the fixed patterns, and of all kinds; found tokens that overlap a fixed one add none."""
     base = base_spans(text)
     if not random:
         return base, base
-    more = [(s, 3, e) for s, e, (word, length, cell) in candidates(text) if not word and (length, cell) in random and not any(s < y and x < e for x, _, y in base)]
+    more = [(s, 3, e) for s, e, j in candidates(text) if j in random and not any(s < y and x < e for x, _, y in base)]
     return base, sorted(base + more)
 
 

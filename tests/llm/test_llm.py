@@ -342,7 +342,31 @@ def test_values_after_a_name_are_candidates():
     for text, key in (("AWS_ACCESS=wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzz"), ("auth=Zk93Qm2xT7vLp0RsYb4N", "Zk93Qm2xT7vLp0RsYb4N"), ("?sig=Zk93Qm2xT7vLp0RsYb4N&v=1", "Zk93Qm2xT7vLp0RsYb4N"), ("id=Zk93Qm2xT7vLp0RsYb==", "Zk93Qm2xT7vLp0RsYb=="), ("Zk93Qm2xT7vLp0RsYb4N=on", "Zk93Qm2xT7vLp0RsYb4N")):
         assert [text[s:e] for s, e, _ in secrets.candidates(text)] == [key], text
     for key in ("QWVXZKPLMNTRSBGJ", "kQzVtB-xRwLpY_MnDcGhS", "aQzVtB/xRwLpYMnDcG+S", "aQzVtB/xRwLpY-MnDc_S"):  # without digits
-        assert secrets.candidates(f"k={key} x") and secrets.judged(key)[0] is not True
+        assert secrets.candidates(f"k={key} x")
+
+
+def test_sums_of_the_model_are_those_of_tokens():
+    rng = random.Random(3)
+    for kind in ("hex", "alnum", "base64"):
+        xs = ["".join(rng.choice(secrets.ALPHABETS[kind]) for _ in range(24)) for _ in range(20)]
+        v = np.array([[secrets.ALPHABETS[kind].index(c) for c in x] for x in xs])
+        assert np.allclose(secrets.fishers(v, len(secrets.ALPHABETS[kind])), [secrets.fisher(x, kind) for x in xs])
+    assert all(list(p) == sorted(p) for p in (secrets.language_tail("alnum", 20), secrets.language_tail("base64", 45), secrets.language_tail("hex", 99)))
+
+
+def test_a_planted_key_gives_the_same_span_in_small_and_large_tables(spark):
+    key, w = "Zk93Qm2xT7vLp0RsYb4NcU8eWj1HdGa5Xf6KoViBt2MqEy9rPz", ["".join(p) for p in zip(WORDS, WORDS[7:], WORDS[90:], WORDS[150:])]
+    assert sum(len(x) >= secrets.SHORTEST for x in w) > 50
+    got = []
+    for n in (10, 100_000):
+        d = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 3, f"the MY_KEY={key} of").otherwise(F.element_at(F.array(*map(F.lit, w)), (F.col("id") % len(w) + 1).cast("int"))).alias("text"))
+        got.append([(r.doc_id, r.spans) for r in secrets.scan(d).where("spans <> ''").collect()])
+    assert got[0] == got[1] == [(3, f"random:11:{11 + len(key)}")]
+    rng = random.Random(12)
+    j = secrets.judged("".join(rng.choice(secrets.ALPHABETS["alnum"]) for _ in range(64)))
+    paths = [secrets.judged(x) for x in ("some/path/of-the-program_index", "getElementsByTagNameAndValue", "order_list/2021/05/report")]
+    for times in (1, 10_000):  # among few and many tokens of language
+        assert secrets.accepted([(*j, 1), *((*x, times) for x in paths)]) == {j}
 
 
 def test_scan_and_redaction(spark):
