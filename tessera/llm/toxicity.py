@@ -45,10 +45,10 @@ def strings(text: str | None) -> set[str]:
             run.append(w)
         elif run:
             if len(run) > 2:
-                out.update("".join(run[i : i + 10]) for i in range(0, max(1, len(run) - 9), 3))
+                out.update("".join(run[i : i + 10]) for i in range(max(1, len(run) - 9)))
             run = []
     if len(run) > 2:
-        out.update("".join(run[i : i + 10]) for i in range(0, max(1, len(run) - 9), 3))
+        out.update("".join(run[i : i + 10]) for i in range(max(1, len(run) - 9)))
     for w in [w for w in out if len(w) > LONGEST]:
         out.discard(w)
         out.update(w[i : i + LONGEST] for i in range(0, len(w) - LONGEST // 2, LONGEST // 2))

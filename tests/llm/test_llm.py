@@ -398,6 +398,15 @@ def test_toxicity_learns_insults_and_their_disguises():
     assert toxicity.fit([("a", 0), ("b", 0)]).probability(0.0) < 0.5 and 0 < toxicity.fit([]).probability(0.0) < 1
 
 
+@pytest.mark.parametrize("n", range(10, 19))
+def test_letters_written_apart_are_joined_wherever_they_stand(n):
+    for insult in ("idiot", "snarbolxyz"):
+        for at in range(n - len(insult) + 1):
+            run = ["it"] * at + list(insult) + ["so"] * (n - at - len(insult))
+            for text in (" ".join(run), " ".join([*run, "afterwards"])):
+                assert any(insult in s for s in toxicity.strings(text)), text
+
+
 def test_quality_learns_marks(spark):
     rng = random.Random(6)
     rows = [(d, prose(80, rng) if d % 3 else " | ".join(prose(60, rng).split()) + " ###%%%") for d in range(400)]
