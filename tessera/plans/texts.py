@@ -29,6 +29,11 @@ def _(t: Tables) -> DataFrame:
     return t.documents.where((F.size(F.array_distinct(F.transform(parts, lambda x: F.trim(x)))) == F.size(parts))).select("doc_id", X.category_names(F.col("text")).alias("names"))
 
 
+@query("t3_category_names_all", "SELECT doc_id, list_filter(parts, lambda x, i: x <> '' AND list_position(parts, x) = i) AS names FROM (SELECT doc_id, list_transform(regexp_split_to_array(coalesce(text, ''), '[,，/|;；、·]+'), lambda x: trim(x)) AS parts FROM documents)")
+def _(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", X.category_names(F.col("text")).alias("names"))
+
+
 @query("t4_normalize_title", rf"SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{{L}}\p{{M}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM documents")
 def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.comparable(F.col("text")).alias("title"))
@@ -95,6 +100,11 @@ def _(t: Tables) -> DataFrame:
     return t.documents.where(~F.contains(c, F.lit("_")) & ~c.rlike(r"(^|[^*])\*([^*]|$)|^[-*+]")).select("doc_id", X.without_markdown(c).alias("v"))
 
 
+@query("t24_markdown_all")
+def _(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", X.without_markdown(F.col("text")).alias("v"))
+
+
 @query("t26_separator_lines", r"SELECT doc_id, n::INTEGER AS n FROM (SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^[-=_~*]{3,}$') OR regexp_matches(x, '^[•●◆◇★☆()+\s]{1,12}$') OR regexp_matches(x, '^[-=_~*]*\s*[oO0]\s*[oO0]\s*[oO0]\s*[-=_~*]*$'))) AS n FROM documents)")
 def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.size(F.filter(F.split("text", "\n"), X.is_separator)).alias("n"))
@@ -301,6 +311,12 @@ def _(t: Tables) -> DataFrame:
     return t.conversations.where("turn < 8").select("conv_id", "turn", S.srt_items(c, c.cast("double"), c + 1.5, F.col("text")).alias("item"))
 
 
+@query("s24_subtitles_all", "WITH t AS (SELECT *, lpad((turn // 3600)::VARCHAR, 2, '0') || strftime(make_timestamp(((turn % 3600) * 1000000)::BIGINT), ':%M:%S,000') AS a, lpad(((turn + 1) // 3600)::VARCHAR, 2, '0') || strftime(make_timestamp((((turn + 1) % 3600) * 1000000)::BIGINT), ':%M:%S,500') AS b FROM conversations) SELECT conv_id, turn, turn || chr(10) || a || ' --> ' || b || chr(10) || text || chr(10) AS item FROM t")
+def _(t: Tables) -> DataFrame:
+    c = F.col("turn")
+    return t.conversations.select("conv_id", "turn", S.srt_items(c, c.cast("double"), c + 1.5, F.col("text")).alias("item"))
+
+
 @query("s26_links", r"""SELECT page_id, list_sort(list_distinct(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["\x27]([^"\x27#]+)["\x27]', 1))) AS links FROM pages""")
 def _(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.array_sort(S.links(F.col("html"))).alias("links"))
