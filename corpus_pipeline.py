@@ -33,7 +33,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, byte_bpe(), capacity=2048, end_id=1, with_ids=False)
+    return packing.pack(docs, byte_bpe(), capacity=2048, end_id=1)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

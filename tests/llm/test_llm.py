@@ -585,5 +585,9 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     for r in out:
         got[r.doc_id] += r.length
     assert dict(got) == want
+    ids = defaultdict(list)
+    for r in sorted(out, key=lambda r: r.start):
+        ids[r.doc_id] += r.ids  # the sequences hold the redacted texts themselves
+    assert dict(ids) == {d: [*x, 1] for d, x in zip(left, reference_ids(left.values()), strict=True)}
     stages = [s for s, _ in corpus_pipeline.STAGES]
     assert stages == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
