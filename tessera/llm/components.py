@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.runtime import shared_dir
+from tessera.llm.runtime import discard, written
 
 
 def _mark(e: DataFrame) -> tuple:
@@ -13,14 +13,14 @@ def _mark(e: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Of edges (u, v) long: (node, component), the smallest node reachable from each.
+    """Of edges (u, v) long: a written table (node, component), the smallest node reachable from each.
 
     Alternating stars: every node's larger neighbours, then its smaller ones, are tied to the smallest
     neighbour, until nothing changes; rounds grow with the logarithm of the longest path. Minima are combined before
-    the shuffle, and a hub's rows are split by adaptive skew joins. Each round is checkpointed.
+    the shuffle, and a hub's rows are split by adaptive skew joins. Each round is written, the one before removed.
     """
-    shared_dir(edges.sparkSession)
-    e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
+    e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    e = written(e, "links")
     mark = _mark(e)
     while mark[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,9 +28,15 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        e = small.where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct().checkpoint()
+        new = small.where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        new = written(new, "links")
+        discard(e)
+        e = new
         now = _mark(e)
         if now == mark:
             break
         mark = now
-    return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = written(out, "components")
+    discard(e)
+    return out

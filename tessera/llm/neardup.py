@@ -7,20 +7,23 @@ short texts too agree in a register as often as they are similar. Documents that
 share of equal registers, less the equal ones expected by chance, estimates their similarity and drops the clearly
 unlike ones; the rest is confirmed on the full sets.
 
-A pair of similarity 0.75 shares no band with probability (1 - 0.75^4)^32 = 5e-6; that is all that is lost. No bucket
-is capped: equal sets are one class from the start, a band's members are first compared with one hub each,
-and then, where a band still holds several components, all pairs across them are estimated, in blocks.
+Two things may lose a link: a pair of similarity 0.75 shares no band with probability (1 - 0.75^4)^32 = 5e-6, and its
+estimate lies MARGIN standard errors too low with probability 4e-6. No bucket is capped. Equal sets are one class from the
+start. Pairs aren't written down: shingles that no other candidate has bound what a document can share with any, which
+excludes most members of a large group of edited copies; the others are compared with the least edited member of their
+band, and those that stay outside their band's main component meet, in blocks, every candidate of their bands.
+Each set is sent once to a block, which returns links between components alone.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import components
-from tessera.llm.runtime import release, tune, written
+from tessera.llm.runtime import discard, release, tune, written
 from tessera.llm.words import hashes, mix, shingles, words
 
 REGISTERS, MANTISSA, ROWS = 128, 10, 4
@@ -28,8 +31,10 @@ BANDS = REGISTERS // ROWS
 #: Standard errors by which an estimate must fall below the threshold to drop a pair unconfirmed. Registers are drawn
 #: from the union without replacement, so a small union, nearly all of it in registers, has a small error.
 MARGIN = 4.5
-#: Members of a band that are taken together when pairs across components are estimated.
-BLOCK = 256
+#: Documents, and shingles, held in a task while others pass by.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
+#: Documents that pass by in one task.
+PASSING = 512
 #: For each register the order in which others lend it their value when it is empty.
 _LENDERS = np.argsort(np.random.default_rng(5).random((REGISTERS, REGISTERS)), axis=1)
 _CHANCE = 0.169919487159739 * 2.0 ** (REGISTERS.bit_length() - 1 - MANTISSA)
@@ -77,144 +82,155 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(a.sum(dtype=np.uint64).view(np.int64)), int(b.sum(dtype=np.uint64).view(np.int64))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, f1, f2 (the set's fingerprint), regs (four packed in each number), keys of its bands."""
+    """doc_id, n_shingles, f1, f2 (the set's fingerprint), keys of its bands."""
 
     def run(batches):
         for b in batches:
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 s = shingle_set(text, n)
-                r = registers(s)
-                rows.append((doc, len(s), *fingerprint(s), packed(r).view(np.int64), band_keys(r).view(np.int64)))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), *(pa.array(c, pa.list_(pa.int64())) for c in cols[4:])], ["doc_id", "n_shingles", "f1", "f2", "regs", "keys"])
-
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return d.mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, regs array<long>, keys array<long>")
-
-
-def may_link(a: Column, b: Column, na: Column, nb: Column, num: int, den: int) -> Column:
-    """False only if sizes exclude the threshold or the corrected estimate is MARGIN standard errors below it."""
-
-    def filled(x: Column) -> Column:
-        """How many of four packed registers aren't 0."""
-        for k in (1, 2, 4, 8):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, k))
-        return F.bit_count(x.bitwiseAND(0x0001000100010001)).cast("int")
-
-    def total(f) -> Column:
-        return F.aggregate(F.zip_with(a, b, f), F.lit(0), lambda s, v: s + v)
-
-    used = total(lambda x, y: filled(x.bitwiseOR(y)))
-    same = used - total(lambda x, y: filled(x.bitwiseXOR(y)))
-    ratio = na / nb
-    chance = F.lit(_CHANCE) * 4 * ratio / ((1 + ratio) * (1 + ratio))
-    t = num / den
-    error = MARGIN * F.sqrt(F.lit(t * (1 - t)) / F.greatest(used, F.lit(1)) * F.greatest(F.lit(0.0), 1 - used * (1 + t) / (na + nb))) + F.lit(2.0) / F.greatest(used, F.lit(1))
-    sizes = F.least(na, nb) * den >= F.greatest(na, nb) * num
-    return sizes & ((same - chance) / F.greatest(used, F.lit(1)) + error >= t)
-
-
-def likely_pairs(a: tuple, b: tuple, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places in two blocks, each (component, n, registers as rows), and estimates of the pairs across components that may_link would keep."""
-    (ac, an, ar), (bc, bn, br) = a, b
-    common = np.bincount(np.unique(np.concatenate([ac, bc]), return_inverse=True)[1])
-    largest = np.unique(np.concatenate([ac, bc]))[common.argmax()]
-    left, right, values = [], [], []
-    # rows outside the largest component against all, and those in it against rows outside it
-    for rows, cols in ((np.flatnonzero(ac != largest), np.arange(len(bc))), (np.flatnonzero(ac == largest), np.flatnonzero(bc != largest))):
-        if not len(rows) or not len(cols):
-            continue
-        na, nb = an[rows][:, None].astype(float), bn[cols][None, :].astype(float)
-        ok = (ac[rows][:, None] != bc[cols][None, :]) & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)
-        i, j = np.nonzero(ok)
-        for x in range(0, len(i), 20_000):
-            p, q = rows[i[x : x + 20_000]], cols[j[x : x + 20_000]]
-            u, v = ar[p], br[q]
-            used = ((u | v) != 0).sum(1)
-            same = ((u == v) & (u != 0)).sum(1)
-            ratio = an[p] / bn[q]
-            t = num / den
-            est = (same - _CHANCE * 4 * ratio / (1 + ratio) ** 2) / np.maximum(used, 1)
-            seen = np.maximum(0.0, 1 - used * (1 + t) / (an[p] + bn[q]))
-            keep = est + MARGIN * np.sqrt(t * (1 - t) / np.maximum(used, 1) * seen) + 2.0 / np.maximum(used, 1) >= t
-            left.append(p[keep])
-            right.append(q[keep])
-            values.append(est[keep])
-    none = np.zeros(0, np.int64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none]), np.concatenate(values or [none.astype(float)])
-
-
-def across(split: DataFrame, num: int, den: int, best: bool) -> DataFrame:
-    """Pairs (a, af, b, bf) of different components within a key that may be linked. split: key, size, doc, f1, c, n_shingles, regs.
-
-    With best, of the pairs of a document and a component only the one of the largest estimate: one link joins them. A key's members are dealt to blocks of about BLOCK, and blocks meet each other in tasks of their own.
-    """
-    d = split.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc", "f1"), F.col("blocks")).cast("int"))
-    g = d.groupBy("key", "block", "blocks").agg(F.collect_list(F.struct("doc", "f1", "c", "n_shingles", "regs")).alias("m"))
-    left = g.select("key", F.col("m").alias("x"), F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
-    both = left.join(g.select("key", F.col("block").alias("j"), F.col("m").alias("y")), ["key", "j"]).select("i", "j", "x", "y")
+                rows.append((doc, len(s), *fingerprint(s), band_keys(registers(s)).view(np.int64)))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.list_(pa.int64()))], ["doc_id", "n_shingles", "f1", "f2", "keys"])
 
-    def run(batches):
-        def block(c: pa.Array, k: int) -> dict:
-            m = c[k].values
-            regs = m.field("regs").flatten().to_numpy().astype("<i8").view("<u2").reshape(len(m), REGISTERS)
-            return {n: m.field(n).to_numpy() for n in ("doc", "f1", "c", "n_shingles")} | {"regs": regs}
+    return _texts(docs).mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>")
 
+
+def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """f1, doc, s (the set), regs (four registers packed in each number) of the classes (doc, f1) in wanted."""
+
+    def run(batches):
         for b in batches:
-            out = []
-            for k in range(b.num_rows):
-                x = block(b.column(2), k)
-                y = block(b.column(3), k)
-                p, q, est = likely_pairs((x["c"], x["n_shingles"], x["regs"]), (y["c"], y["n_shingles"], y["regs"]), num, den)
-                if best and len(p):
-                    order = np.lexsort((-est, y["c"][q], p))
-                    p, q, est = p[order], q[order], est[order]
-                    first = np.ones(len(p), bool)
-                    first[1:] = (p[1:] != p[:-1]) | (y["c"][q[1:]] != y["c"][q[:-1]])
-                    p, q, est = p[first], q[first], est[first]
-                out.append((x["doc"][p], x["f1"][p], y["doc"][q], y["f1"][q], y["c"][q], est))
-            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.float64())], ["a", "af", "b", "bf", "bc", "est"])
-
-    found = both.mapInArrow(run, "a long, af long, b long, bf long, bc long, est double")
-    if best:
-        return found.groupBy("a", "af", "bc").agg(F.max(F.struct("est", "b", "bf")).alias("x")).select("a", "af", "x.b", "x.bf")
-    return found.select("a", "af", "b", "bf").distinct()
-
-
-def confirmed(docs: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Of pairs (a, af, b, bf), document and fingerprint each, those with 100 * intersection >= threshold * union on full sets."""
-    wanted = pairs.select(F.col("a").alias("doc_id"), F.col("af").alias("f1")).unionByName(pairs.select(F.col("b").alias("doc_id"), F.col("bf").alias("f1"))).distinct()
-
-    def sets(batches):
-        for b in batches:
-            out: list[tuple] = []
+            rows = []
             for doc, text, f1 in zip(*(b.column(x).to_pylist() for x in range(3)), strict=True):
                 s = shingle_set(text, n)
                 if fingerprint(s)[0] == f1:
-                    out.append((doc, f1, s.tobytes()))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], ["doc_id", "f1", "s"])
-
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    full = d.join(wanted, "doc_id").select("doc_id", "text", "f1").mapInArrow(sets, "doc_id long, f1 long, s binary").groupBy("doc_id", "f1").agg(F.first("s").alias("s"))
+                    rows.append((f1, doc, s.view(np.int64), packed(registers(s)).view(np.int64)))
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:2]), *(pa.array(c, pa.list_(pa.int64())) for c in cols[2:])], ["f1", "doc", "s", "regs"])
+
+    return _texts(docs).join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id").select("doc_id", "text", "f1").mapInArrow(run, "f1 long, doc long, s array<long>, regs array<long>")
+
+
+class Held:
+    """Documents of one block, compared with those that pass by."""
+
+    def __init__(self, rows: list[tuple], num: int, den: int):
+        """rows: (document, component, shared shingles, set, registers)."""
+        self.num, self.den = num, den
+        self.doc, self.comp = [r[0] for r in rows], [r[1] for r in rows]
+        self.shared = np.array([r[2] for r in rows], np.int64)
+        self.n = np.array([len(r[3]) for r in rows], np.int64)
+        self.regs = np.array([r[4] for r in rows], "<i8").view("<u2").reshape(len(rows), REGISTERS)
+        both = np.concatenate([r[3] for r in rows])
+        order = np.argsort(both, kind="stable")
+        self.owner = np.repeat(np.arange(len(rows)), self.n)[order]
+        both = both[order]
+        self.first = np.flatnonzero(np.diff(both, prepend=both[0] - np.uint64(1)) != 0)
+        self.values, self.first = both[self.first], np.append(self.first, len(both))
+        self.root: dict[int, int] = {}
+        self.roots = np.array(self.comp, np.int64)
+
+    def find(self, c: int) -> int:
+        while (up := self.root.get(c, c)) != c:
+            c = up
+        return c
+
+    def common(self, s: np.ndarray) -> np.ndarray:
+        """The size of every held set's intersection with s."""
+        at = np.minimum(np.searchsorted(self.values, s), len(self.values) - 1)
+        at = at[self.values[at] == s]
+        size = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(size)
+        places = np.repeat(self.first[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        return np.bincount(self.owner[places], minlength=len(self.n))
+
+    def likely(self, n: int, shared: int, regs: np.ndarray) -> np.ndarray:
+        """False where sizes or shared shingles exclude the threshold, or the corrected estimate is MARGIN standard errors below it."""
+        most = np.minimum(self.shared, shared)
+        union = self.n + n
+        ok = most * self.den >= self.num * (union - most)
+        rows = np.flatnonzero(ok)
+        if len(rows):
+            u = self.regs[rows]
+            used = np.maximum(((u | regs) != 0).sum(1), 1)
+            same = ((u == regs) & (u != 0)).sum(1)
+            ratio, t = self.n[rows] / n, self.num / self.den
+            est = (same - _CHANCE * 4 * ratio / (1 + ratio) ** 2) / used
+            seen = np.maximum(0.0, 1 - used * (1 + t) / union[rows])
+            ok[rows] = est + MARGIN * np.sqrt(t * (1 - t) / used * seen) + 2.0 / used >= t
+        return ok
+
+    def links(self, doc: int, comp: int, shared: int, s: np.ndarray, regs: np.ndarray) -> list[tuple[int, int]]:
+        """(held document, doc) for each held component that a link joins to comp."""
+        mine = self.find(comp)
+        ok = (self.roots != mine) & self.likely(len(s), shared, regs)
+        if not ok.any():
+            return []
+        both = self.common(s)
+        ok &= both * self.den >= self.num * (self.n + len(s) - both)
+        out = []
+        for k in np.flatnonzero(ok):
+            other = self.find(self.comp[k])
+            if other != mine:
+                self.root[other] = mine
+                out.append((self.doc[k], doc))
+        if out:
+            self.roots = np.array([self.find(c) for c in self.comp], np.int64)
+        return out
+
+
+def links(held: DataFrame, passing: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (u, v) between components of documents of a block. Both frames: block, doc, f1, comp, shared.
+
+    A block's held documents are sent to each of its tasks, its passing ones are dealt to these, sets travel
+    with either once a task.
+    """
+    tasks = passing.groupBy("block").agg(F.ceil(F.count("*") / PASSING).cast("int").alias("tasks"))
+    a = held.join(tasks, "block").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).withColumn("side", F.lit(0))
+    b = passing.join(tasks, "block").withColumn("task", F.pmod(F.xxhash64("f1", "doc"), F.col("tasks")).cast("int")).withColumn("side", F.lit(1))
+    cols = ["block", "task", "side", "doc", "comp", "shared", "f1"]
+    rows = a.select(cols).unionByName(b.select(cols)).join(sets, ["f1", "doc"]).select(*cols[:6], "s", "regs")
+    rows = rows.repartition("block", "task").sortWithinPartitions("block", "task", "side")
 
-    def test(batches):
+    def run(batches):
+        now, waiting, block = None, [], None
         for b in batches:
-            out = []
-            for u, v, x, y in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                if both * den >= num * (len(s) + len(t) - both):
-                    out.append((u, v))
+            out: list[tuple[int, int]] = []
+            scalars = zip(*(b.column(k).to_pylist() for k in range(6)), strict=True)
+            lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (b.column(6), b.column(7))]
+            for k, (key, task, side, doc, comp, shared) in enumerate(scalars):
+                s, regs = (v[o[k] : o[k + 1]] for o, v in lists)
+                s = s.view(np.uint64)
+                if now != (key, task):
+                    now, waiting, block = (key, task), [], None
+                if side == 0:
+                    waiting.append((doc, comp, shared, s.copy(), regs.copy()))
+                elif waiting or block:
+                    if block is None:
+                        block, waiting = Held(waiting, num, den), []
+                    out += block.links(doc, comp, shared, s, regs.astype("<i8").view("<u2"))
             cols = list(zip(*out, strict=True)) if out else [[], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["u", "v"])
 
-    x = pairs.join(full.select(F.col("doc_id").alias("a"), F.col("f1").alias("af"), F.col("s").alias("sa")), ["a", "af"])
-    x = x.join(full.select(F.col("doc_id").alias("b"), F.col("f1").alias("bf"), F.col("s").alias("sb")), ["b", "bf"])
-    return x.select("a", "b", "sa", "sb").mapInArrow(test, "u long, v long")
+    return rows.mapInArrow(run, "u long, v long").distinct()
+
+
+def candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """doc, f1, n, shared: classes that may be linked with any other. shared: their shingles that any other has.
+
+    The intersection with another document is at most `shared`, the union at least the set itself. Shingles are
+    counted as minimum and maximum of their documents, which are combined before the shuffle.
+    """
+    alone = sets.select("f1", F.explode("s").alias("h")).groupBy("h").agg(F.min("f1").alias("f1"), F.max("f1").alias("last")).where("f1 = last").groupBy("f1").agg(F.count("*").alias("alone"))
+    c = sets.select("doc", "f1", F.size("s").cast("long").alias("n")).join(alone, "f1", "left")
+    c = c.select("doc", "f1", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    return c.where(F.col("shared") * den >= F.col("n") * num)
 
 
 def groups(docs: DataFrame, *, shingle: int = 5, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -223,56 +239,73 @@ def groups(docs: DataFrame, *, shingle: int = 5, threshold: tuple[int, int] = (7
     Documents whose sets have intersection / union of at least the threshold are linked; component_id is the smallest doc_id
     that links lead to. Null and blank texts have no set and no links. Rows of one doc_id count as one document,
     linked whatever their texts; each gives a row. A null doc_id has no links: component_id is null, kept true. Other
-    columns are ignored; an empty table gives an empty one.
+    columns are ignored; an empty table gives an empty one. The result is a table in the shared folder.
     """
     spark = tune(docs.sparkSession)
     num, den = threshold
     sig = written(signatures(docs, shingle), "signatures")
-    cls = sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("regs").alias("regs"), F.first("keys").alias("keys"))
-    cls = written(cls, "classes")
+    some = sig.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    cls = written(some.groupBy("f1", "f2", "n_shingles").agg(F.min("doc_id").alias("doc"), F.first("keys").alias("keys")), "classes")
     bands = cls.select(F.explode("keys").alias("key"), "doc", "f1")
-    hubs = bands.groupBy("key").agg(F.min(F.struct("doc", "f1")).alias("hub"), F.max(F.struct("doc", "f1")).alias("last")).where("hub <> last").select("key", "hub")
-    members = written(bands.join(hubs, "key"), "bands")
+    members = written(bands.join(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"), "key"), "bands")
+    # rows of one doc_id: with different texts they are linked, with the same text one of them is enough
+    many = written(some.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("f1").alias("x"), F.max("f1").alias("y")).where("rows > 1"), "repeated")
+    same_id = some.join(many.where("x <> y").select("doc_id"), "doc_id").join(cls.select("f1", "f2", "n_shingles", "doc"), ["f1", "f2", "n_shingles"]).where("doc_id <> doc").select(F.col("doc_id").alias("u"), F.col("doc").alias("v"))
+    sets = full_sets(docs, members.select("doc", "f1").distinct(), shingle)
+    if not many.isEmpty():
+        sets = sets.groupBy("f1", "doc").agg(F.first("s").alias("s"), F.first("regs").alias("regs"))
+    sets = written(sets, "sets")
     release(spark)
-
-    def with_registers(pairs: DataFrame) -> DataFrame:
-        side = lambda x: cls.select(F.col("doc").alias(x), F.col("f1").alias(f"{x}f"), F.col("regs").alias(f"{x}r"), F.col("n_shingles").alias(f"{x}n"))
-        p = pairs.join(side("a"), ["a", "af"]).join(side("b"), ["b", "bf"])
-        return p.where(may_link(F.col("ar"), F.col("br"), F.col("an"), F.col("bn"), num, den)).select("a", "af", "b", "bf")
-
-    # each member with the hub it shares most bands with
-    near = members.where(F.struct("doc", "f1") != F.col("hub")).groupBy("doc", "f1", "hub").agg(F.count("*").alias("n"))
-    near = near.groupBy("doc", "f1").agg(F.max(F.struct("n", "hub"))["hub"].alias("hub")).select(F.col("doc").alias("a"), F.col("f1").alias("af"), F.col("hub.doc").alias("b"), F.col("hub.f1").alias("bf"))
-    # rows of one doc_id with different texts
-    many = sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("f1").alias("x"), F.max("f1").alias("y")).where("x <> y").select("doc_id")
-    same_id = sig.join(many, "doc_id").join(cls.select("f1", "f2", "n_shingles", "doc"), ["f1", "f2", "n_shingles"]).where("doc_id <> doc").select(F.col("doc_id").alias("u"), F.col("doc").alias("v")).distinct()
-    edges = written(confirmed(docs, written(with_registers(near), "near"), shingle, num, den).unionByName(same_id), "edges")
+    live = members.join(candidates(sets, num, den), ["doc", "f1"])
+    # nor may a document be linked whose shared shingles are too few for the smallest document of its band
+    least = live.groupBy("key").agg(F.min("n").alias("least"), F.count("*").alias("size")).where("size > 1")
+    live = live.join(least, "key").where(F.col("shared") * den >= (F.col("n") - F.col("shared") + F.col("least")) * num).select("key", "doc", "f1", "n", "shared")
+    live = written(live, "candidates")
+    discard(members)
+    # each candidate with the hub it shares most bands with; a band's hub has the smallest share of shingles of its own
+    hubs = live.groupBy("key").agg(F.min(F.struct((1 - F.col("shared") / F.col("n")).alias("own"), "doc", "f1", "shared")).alias("hub"), F.count("*").alias("size")).where("size > 1").select("key", "hub")
+    near = live.join(hubs, "key").groupBy("doc", "f1", "shared", "hub").agg(F.count("*").alias("bands")).groupBy("doc", "f1", "shared").agg(F.max(F.struct("bands", "hub"))["hub"].alias("hub"))
+    near = written(near.select("doc", "f1", "shared", "hub", F.xxhash64("hub.doc", "hub.f1").alias("block")), "near")
+    release(spark)
+    held = near.select("block", "hub.doc", "hub.f1", "hub.shared", F.col("hub.doc").alias("comp")).distinct()
+    first = links(held, near.select("block", "doc", "f1", "shared", F.col("doc").alias("comp")), sets, num, den)
+    edges = written(first.unionByName(same_id).distinct(), "edges")
+    made = [edges]
+    comps = components(edges)
     release(spark)
-    first = written(components(edges), "components")
-    # bands that still hold several components: the likeliest pair of each document and component, then all that are left
-    for best in (True, False):
-        named = members.select("key", "doc", "f1").join(first.withColumnRenamed("node", "doc"), "doc", "left").withColumn("c", F.coalesce("component", "doc")).drop("component")
-        mixed = named.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("size")).where("x <> y").select("key", "size")
-        split = named.join(mixed, "key").join(cls.select("doc", "f1", "regs", "n_shingles"), ["doc", "f1"])
-        cross = written(across(split, num, den, best), "cross")
-        if cross.isEmpty():
-            break
-        edges = edges.unionByName(written(confirmed(docs, cross, shingle, num, den), "edges"))
-        first = written(components(edges), "components")
-        release(spark)
-    named = cls.select("f1", "f2", "n_shingles", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left").select("f1", "f2", "n_shingles", F.coalesce("component", "doc").alias("c"))
+    # in bands that still hold several components, those outside the largest meet every candidate of the band
+    named = live.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component")
+    main = named.groupBy("key", "comp").agg(F.count("*").alias("size")).groupBy("key").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count("*").alias("comps")).where("comps > 1").select("key", "main")
+    mixed = written(named.join(main, "key"), "mixed")
+    if not mixed.isEmpty():
+        outside = mixed.where("comp <> main").select("key", "doc", "f1", "n", "shared", "comp").join(near.select("doc", "f1", F.col("block").alias("near")), ["doc", "f1"])
+        ones = outside.select("doc", "f1", "n", "near").distinct()
+        blocks = ones.groupBy("near").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        outside = written(outside.join(blocks, "near").withColumn("block", F.xxhash64("near", F.pmod(F.xxhash64("f1", "doc"), F.col("blocks")))), "outside")
+        passing = mixed.join(outside.select("key", "block").distinct(), "key").select("block", "doc", "f1", "comp", "shared").distinct()
+        passing = written(passing, "passing")
+        more = written(links(outside.select("block", "doc", "f1", "comp", "shared").distinct(), passing, sets, num, den), "edges")
+        made += [outside, passing, more, comps]
+        comps = components(edges.unionByName(more))
+    named = cls.select("f1", "f2", "n_shingles", "doc").join(comps.withColumnRenamed("node", "doc"), "doc", "left").select("f1", "f2", "n_shingles", F.coalesce("component", "doc").alias("c"))
     out = sig.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = written(out, "groups")
+    discard(sig, cls, many, sets, live, near, mixed, *made, comps)
+    return out
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each group of near-duplicates, that of the smallest doc_id; all columns stay.
 
-    Of rows that repeat a doc_id one stays. Rows without a doc_id stay.
+    Of rows that repeat a doc_id one stays. Rows without a doc_id stay. An empty table gives an empty one.
     """
-    ids = groups(docs, **options).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    ids = written(ids, "kept")
-    rows = docs.join(ids.where("n = 1").select("doc_id"), "doc_id", "left_semi")
-    again = docs.join(ids.where("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(again).unionByName(docs.where("doc_id IS NULL"))
+    found = groups(docs, **options)
+    ids = written(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
+    discard(found)
+    rows = docs.join(ids.where("n = 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    again = ids.where("n > 1").select("doc_id")
+    if again.isEmpty():
+        return rows
+    return rows.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))

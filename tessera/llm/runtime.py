@@ -16,10 +16,12 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share: spark.checkpoint.dir. Only where that is unset, as in tests, a local one is made and set."""
+    """The folder all machines share: spark.checkpoint.dir. Where that is unset, a local session makes and sets one, a cluster's raises an error."""
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir") or _set_dir(sc)
     if not at:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         at = tempfile.mkdtemp(prefix="tessera-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(at)
@@ -60,7 +62,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, what)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables made by written(), of which nothing is left to be read; other frames are left alone."""
+    for t in tables:
+        path = t.__dict__.pop("_written_at", None)
+        if path:
+            remove(t.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:
