@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, neardup, packing, secrets, toxicity
 from tessera.llm.queries import byte_bpe, table
-from tessera.llm.runtime import written
+from tessera.llm.runtime import discard, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STAGES in order over documents, each result written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
