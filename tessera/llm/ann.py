@@ -17,9 +17,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.runtime import parts_for, tune
+from tessera.llm.runtime import tune
 
 QUERY_BLOCK, BLOCK = 1024, 4096
+#: Products of a query and a vector for each task, and the least number of tasks.
+TASK_PAIRS, LEAST_TASKS = 1 << 30, 12
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -46,25 +48,42 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return s
 
 
-def tile(qi: np.ndarray, qv: np.ndarray, ci: np.ndarray, cv: np.ndarray, k: int) -> list[tuple[int, list[tuple[float, int]]]]:
-    """Of each query the k nearest candidates of this tile, as (-score, vec_id) in order."""
-    q8, qs, qn, qe = quantised(qv.astype(np.float64))
-    c8, cs, cn, ce = quantised(cv.astype(np.float64))
-    est = (q8.astype(np.float32) @ c8.astype(np.float32).T).astype(np.float64)  # whole numbers below 2^24 up to 1040 components
-    est *= qs[:, None] * cs[None, :]
-    err = qe[:, None] * (cn + ce)[None, :] + qn[:, None] * ce[None, :]
-    err += 1e-6 * (qn[:, None] * cn[None, :] + np.abs(est)) + 1e-12
+class Block:
+    """Vectors with their int8 form and its error bounds."""
+
+    def __init__(self, ids: np.ndarray, vecs: np.ndarray):
+        self.ids, self.vecs = ids, vecs
+        q, self.scale, self.norm, self.error = quantised(vecs)
+        self.small = q.astype(np.float32)  # whole numbers
+        self.by_id = np.argsort(ids, kind="stable")
+        self.firsts = np.flatnonzero(np.diff(ids[self.by_id], prepend=ids[self.by_id[0]] - 1))
+
+
+def tile(q: Block, c: Block, k: int, floor: np.ndarray | None = None) -> list[tuple[int, list[tuple[float, int]]]]:
+    """Of each query the k nearest candidates of this tile, as (-score, vec_id) in order.
+
+    floor: for each query a score that k candidates are known to reach; what can't reach it may be left out.
+    """
+    qi, ci = q.ids, c.ids
+    est = np.zeros((len(qi), len(ci)))
+    for i in range(0, q.small.shape[1], 1024):  # sums of so many products of int8 stay below 2^24, so they are exact
+        est += q.small[:, i : i + 1024] @ c.small[:, i : i + 1024].T
+    est *= q.scale[:, None] * c.scale[None, :]
+    err = q.error[:, None] * (c.norm + c.error)[None, :] + q.norm[:, None] * c.error[None, :]
+    err += 1e-6 * (q.norm[:, None] * c.norm[None, :] + np.abs(est)) + 1e-12
     own = qi[:, None] == ci[None, :]
     low = np.where(own, -np.inf, est - err)
-    by_id = np.argsort(ci, kind="stable")
-    firsts = np.flatnonzero(np.diff(ci[by_id], prepend=ci[by_id[0]] - 1))
-    if len(firsts) < len(ci):  # a repeated vec_id counts once, at its best bound
-        low = np.maximum.reduceat(low[:, by_id], firsts, axis=1)
-    at = max(0, low.shape[1] - k)
-    need = np.partition(low, at, axis=1)[:, at]
+    if len(c.firsts) < len(ci):  # a repeated vec_id counts once, at its best bound
+        low = np.maximum.reduceat(low[:, c.by_id], c.firsts, axis=1)
+    if low.shape[1] >= k:
+        need = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
+    else:
+        need = np.full(len(qi), -np.inf)
+    if floor is not None:
+        need = np.maximum(need, floor)
     rows, cols = np.nonzero((est + err >= need[:, None]) & ~own)
     out = []
-    score = np.concatenate([exact(qv[rows[i : i + 100_000]], cv[cols[i : i + 100_000]]) for i in range(0, len(rows), 100_000)] or [np.zeros(0)])
+    score = np.concatenate([exact(q.vecs[rows[i : i + 100_000]], c.vecs[cols[i : i + 100_000]]) for i in range(0, len(rows), 100_000)] or [np.zeros(0)])
     ids = ci[cols]
     order = np.lexsort((-score, ids, rows))
     r, i = rows[order], ids[order]
@@ -91,8 +110,8 @@ def merged(lists: list[list[tuple[float, int]]], k: int) -> list[tuple[float, in
     return out
 
 
-def _blocks(df: DataFrame, per: int, by_partition: bool) -> DataFrame:
-    """(block, dim, ids, vecs): each up to `per` rows of one partition and dimension, packed."""
+def _blocks(df: DataFrame, per: int) -> DataFrame:
+    """(number, dim, ids, vecs): each up to `per` rows of one partition and dimension, packed."""
 
     def run(batches):
         held: dict[int, tuple[list, list]] = {}
@@ -102,7 +121,7 @@ def _blocks(df: DataFrame, per: int, by_partition: bool) -> DataFrame:
             nonlocal n
             ids, vecs = held.pop(dim)
             n += 1
-            return pa.RecordBatch.from_arrays([pa.array([part if by_partition else (part << 24) + n], pa.int64()), pa.array([dim], pa.int32()), pa.array([np.array(ids, "<i8").tobytes()]), pa.array([np.array(vecs, "<f8").tobytes()])], ["block", "dim", "ids", "vecs"])
+            return pa.RecordBatch.from_arrays([pa.array([(part << 24) + n], pa.int64()), pa.array([dim], pa.int32()), pa.array([np.array(ids, "<i8").tobytes()]), pa.array([np.array(vecs, "<f8").tobytes()])], ["number", "dim", "ids", "vecs"])
 
         for b in batches:
             for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -114,7 +133,19 @@ def _blocks(df: DataFrame, per: int, by_partition: bool) -> DataFrame:
         for dim in list(held):
             yield close(dim)
 
-    return df.mapInArrow(run, "block long, dim int, ids binary, vecs binary")
+    return df.mapInArrow(run, "number long, dim int, ids binary, vecs binary")
+
+
+def grid(n_queries: int, n_vectors: int) -> tuple[int, int]:
+    """(rows, columns) of the grid of tasks.
+
+    Queries are dealt to rows and vectors to columns; a query goes to each column, a vector to each row. With tasks of about
+    TASK_PAIRS products, as many copies of either are sent when rows / columns is queries / vectors, so what is shuffled
+    grows with the square root of the number of tasks.
+    """
+    tasks = max(LEAST_TASKS, math.ceil(n_queries * n_vectors / TASK_PAIRS))
+    rows = max(1, round(math.sqrt(tasks * n_queries / max(1, n_vectors))))
+    return rows, max(1, math.ceil(tasks / rows))
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, *, k: int = 20) -> DataFrame:
@@ -128,30 +159,42 @@ def nearest(queries: DataFrame, vectors: DataFrame, *, k: int = 20) -> DataFrame
     tune(queries.sparkSession)
     both = [df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))) for df in (queries, vectors)]
     n_queries = both[0].count()
-    nb = max(1, math.ceil(n_queries / QUERY_BLOCK))
-    salts = min(256, parts_for(vectors, 1 << 20, 4))
-    q = _blocks(both[0].repartition(nb), QUERY_BLOCK, True).select(F.col("block").alias("q"), "dim", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    c = _blocks(both[1], BLOCK, False).select(F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"), "dim", "ids", "vecs", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nb - 1).cast("long"))).alias("q"))
+    rows, columns = grid(n_queries, both[1].count())
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda n: F.pmod(F.xxhash64("number"), F.lit(n)).cast("int")
+    packed = both[0].repartition(max(1, math.ceil(n_queries / QUERY_BLOCK)))
+    q = _blocks(packed, QUERY_BLOCK).select("dim", dealt(rows).alias("row"), every(columns).alias("col"), F.lit(0).alias("side"), "ids", "vecs")
+    c = _blocks(both[1], BLOCK).select("dim", every(rows).alias("row"), dealt(columns).alias("col"), F.lit(1).alias("side"), "ids", "vecs")
+    cells = q.unionByName(c).repartition(min(4096, rows * columns), "dim", "row", "col").sortWithinPartitions("dim", "row", "col", "side")
 
     def run(batches):
-        now, held = None, {}
+        now, held, best, floors = None, [], {}, []
 
         def flush():
-            rows = [(i, s, v) for i, lists in held.items() for s, v in merged(lists, k)]
-            held.clear()
-            cols = list(zip(*rows, strict=True)) if rows else [[], [], []]
+            found = [(i, s, v) for i, top in best.items() for s, v in top]
+            cols = list(zip(*found, strict=True)) if found else [[], [], []]
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.int64())], ["query_id", "s", "vec_id"])
 
         for b in batches:
-            for block, dim, qi, qv, ci, cv in zip(*(b.column(x).to_pylist() for x in range(6)), strict=True):
-                if now != block:
-                    if held:
+            for dim, row, col, side, ids, vecs in zip(*(b.column(x).to_pylist() for x in range(6)), strict=True):
+                if now != (dim, row, col):
+                    if best:
                         yield flush()
-                    now = block
-                got = tile(np.frombuffer(qi, "<i8"), np.frombuffer(qv, "<f8").reshape(-1, dim), np.frombuffer(ci, "<i8"), np.frombuffer(cv, "<f8").reshape(-1, dim), k)
-                for i, best in got:
-                    held[i] = [merged([*held.get(i, []), best], k)]
-        if held:
+                    now, held, best, floors = (dim, row, col), [], {}, []
+                if side and not held:
+                    continue
+                block = Block(np.frombuffer(ids, "<i8"), np.frombuffer(vecs, "<f8").reshape(-1, dim))
+                if not side:
+                    held.append(block)
+                    floors.append(np.full(len(block.ids), -np.inf))
+                    continue
+                for query, floor in zip(held, floors, strict=True):
+                    for r, (i, more) in enumerate(tile(query, block, k, floor)):
+                        if more:
+                            best[i] = top = merged([best.get(i, []), more], k)
+                            if len(top) == k:
+                                floor[r] = -top[-1][0]
+        if best:
             yield flush()
 
     def top(t: pa.Table) -> pa.Table:
@@ -160,5 +203,4 @@ def nearest(queries: DataFrame, vectors: DataFrame, *, k: int = 20) -> DataFrame
         n = len(best)
         return pa.table([pa.array([t["query_id"][0].as_py()] * n, pa.int64()), pa.array(range(1, n + 1), pa.int32()), pa.array([v for _, v in best], pa.int64()), pa.array([-s for s, _ in best], pa.float64())], ["query_id", "rank", "vec_id", "score"])
 
-    pairs = c.join(q, ["q", "salt", "dim"]).select("q", "dim", "q_ids", "q_vecs", "ids", "vecs")
-    return pairs.mapInArrow(run, "query_id long, s double, vec_id long").groupBy("query_id").applyInArrow(top, RESULT)
+    return cells.mapInArrow(run, "query_id long, s double, vec_id long").groupBy("query_id").applyInArrow(top, RESULT)
