@@ -23,13 +23,11 @@ def _(t: Tables) -> DataFrame:
     return t.customer.select(X.category_name(F.concat("c_mktsegment", F.lit("  x"))).alias("name")).distinct()
 
 
-@query("t3_category_names", "SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[,，/|;；、·]+'), lambda x: trim(x)), lambda x: x <> '') AS names FROM documents WHERE len(list_distinct(list_transform(regexp_split_to_array(text, '[,，/|;；、·]+'), lambda x: trim(x)))) = len(regexp_split_to_array(text, '[,，/|;；、·]+'))")
-def _(t: Tables) -> DataFrame:
-    parts = F.split(F.col("text"), "[,，/|;；、·]+")
-    return t.documents.where((F.size(F.array_distinct(F.transform(parts, lambda x: F.trim(x)))) == F.size(parts))).select("doc_id", X.category_names(F.col("text")).alias("names"))
+_T3 = "SELECT doc_id, list_filter(parts, lambda x, i: x <> '' AND list_position(parts, x) = i) AS names FROM (SELECT doc_id, list_transform(regexp_split_to_array(coalesce(text, ''), '[,，/|;；、·]+'), lambda x: trim(x)) AS parts FROM documents)"
 
 
-@query("t3_category_names_all", "SELECT doc_id, list_filter(parts, lambda x, i: x <> '' AND list_position(parts, x) = i) AS names FROM (SELECT doc_id, list_transform(regexp_split_to_array(coalesce(text, ''), '[,，/|;；、·]+'), lambda x: trim(x)) AS parts FROM documents)")
+@query("t3_category_names", _T3)
+@query("t3_category_names_all", _T3)
 def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.category_names(F.col("text")).alias("names"))
 
@@ -94,18 +92,23 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.has_any(F.col("text"), ["licensed under", "password"]).alias("blocked"))
 
 
-@query("t24_markdown", r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '^#{1,6}\s+', ''), '^>\s+', ''), '\*\*([^*]+?)\s*\*\*', '\1', 'g') AS v FROM documents WHERE NOT contains(text, '_') AND NOT regexp_matches(text, '(^|[^*])\*([^*]|$)|^[-*+]')")
+@query("t23_punctuation_spacing")
 def _(t: Tables) -> DataFrame:
-    c = F.col("text")
-    return t.documents.where(~F.contains(c, F.lit("_")) & ~c.rlike(r"(^|[^*])\*([^*]|$)|^[-*+]")).select("doc_id", X.without_markdown(c).alias("v"))
+    return t.documents.select("doc_id", X.punctuation_spacing(F.col("text")).alias("v"))
 
 
+@query("t24_markdown")
 @query("t24_markdown_all")
 def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.without_markdown(F.col("text")).alias("v"))
 
 
-@query("t26_separator_lines", r"SELECT doc_id, n::INTEGER AS n FROM (SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^[-=_~*]{3,}$') OR regexp_matches(x, '^[•●◆◇★☆()+\s]{1,12}$') OR regexp_matches(x, '^[-=_~*]*\s*[oO0]\s*[oO0]\s*[oO0]\s*[-=_~*]*$'))) AS n FROM documents)")
+@query(
+    "t26_separator_lines",
+    """SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x:
+        len(x) >= 3 AND translate(x, '-=_~*', '') = '' OR len(x) BETWEEN 1 AND 12 AND translate(x, '•●◆◇★☆()+ ' || chr(9) || chr(11) || chr(12) || chr(13), '') = ''
+        OR translate(lower(regexp_replace(trim(x, '-=_~*'), '[\\s\\v]', '', 'g')), '0', 'o') = 'ooo'))::INTEGER AS n FROM documents""",
+)
 def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.size(F.filter(F.split("text", "\n"), X.is_separator)).alias("n"))
 
@@ -305,13 +308,11 @@ def _(t: Tables) -> DataFrame:
     return numbered(t.documents.select("lang", "doc_id"), [F.col("doc_id")], "lang").select(fixed(F.col("rn"), 100).alias("shard"), "lang", "doc_id")
 
 
-@query("s24_subtitles", "SELECT conv_id, turn, turn || chr(10) || '00:00:0' || turn || ',000 --> 00:00:0' || (turn + 1) || ',500' || chr(10) || text || chr(10) AS item FROM conversations WHERE turn < 8")
-def _(t: Tables) -> DataFrame:
-    c = F.col("turn")
-    return t.conversations.where("turn < 8").select("conv_id", "turn", S.srt_items(c, c.cast("double"), c + 1.5, F.col("text")).alias("item"))
+_S24 = "WITH t AS (SELECT *, lpad((turn // 3600)::VARCHAR, 2, '0') || strftime(make_timestamp(((turn % 3600) * 1000000)::BIGINT), ':%M:%S,000') AS a, lpad(((turn + 1) // 3600)::VARCHAR, 2, '0') || strftime(make_timestamp((((turn + 1) % 3600) * 1000000)::BIGINT), ':%M:%S,500') AS b FROM conversations) SELECT conv_id, turn, turn || chr(10) || a || ' --> ' || b || chr(10) || text || chr(10) AS item FROM t"
 
 
-@query("s24_subtitles_all", "WITH t AS (SELECT *, lpad((turn // 3600)::VARCHAR, 2, '0') || strftime(make_timestamp(((turn % 3600) * 1000000)::BIGINT), ':%M:%S,000') AS a, lpad(((turn + 1) // 3600)::VARCHAR, 2, '0') || strftime(make_timestamp((((turn + 1) % 3600) * 1000000)::BIGINT), ':%M:%S,500') AS b FROM conversations) SELECT conv_id, turn, turn || chr(10) || a || ' --> ' || b || chr(10) || text || chr(10) AS item FROM t")
+@query("s24_subtitles", _S24)
+@query("s24_subtitles_all", _S24)
 def _(t: Tables) -> DataFrame:
     c = F.col("turn")
     return t.conversations.select("conv_id", "turn", S.srt_items(c, c.cast("double"), c + 1.5, F.col("text")).alias("item"))
