@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.labelled import held_out, sample
+from tessera.llm.labelled import held_out, sample, totals
 from tessera.llm.runtime import tune
 
 BINS, DEPTH, TREES, RATE, REGULAR = 64, 4, 80, 0.15, 1.0
@@ -75,10 +75,11 @@ class Forest:
         return 1 / (1 + np.exp(-np.clip(self.margin(x), -500, 500)))
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Forest:
-    """Logistic loss, classes weighing as they come. Without both labels every document gets the share of label 1."""
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Forest:
+    """Logistic loss, each row weighing as many documents as it stands for. Without both labels every document gets the share of label 1."""
     n, d = x.shape if len(x) else (0, len(FEATURES))
-    share = (y.sum() + 0.5) / (n + 1)
+    weight = np.ones(n) if weight is None else weight * (n / weight.sum()) if n else weight
+    share = ((weight * y).sum() + 0.5) / (n + 1)
     base, inner = float(np.log(share / (1 - share))), 2**DEPTH - 1
     if n == 0 or y.min() == y.max():
         return Forest(base, np.zeros((1, inner), np.int64), np.zeros((1, inner)), np.zeros((1, inner + 1)))
@@ -89,7 +90,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Forest:
     flat = bins + np.arange(d)[None, :] * BINS
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-margin))
-        g, h = p - y, p * (1 - p)
+        g, h = weight * (p - y), weight * p * (1 - p)
         feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
         node = np.zeros(n, np.int64)
         for level in range(DEPTH):
@@ -131,9 +132,11 @@ def _table(docs: DataFrame, extra: list[str]) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame) -> Forest:
     """Fits to up to PER_CLASS documents of either label that may be learnt from."""
     tune(docs.sparkSession)
-    rows = _table(sample(docs, labels, "quality", PER_CLASS), ["doc_id", "label"]).orderBy("doc_id", "x").collect()
+    rows = sorted(_table(sample(docs, labels, "quality", PER_CLASS), ["doc_id", "label"]).collect(), key=lambda r: r.doc_id)
     x = np.array([np.frombuffer(r.x) for r in rows]).reshape(len(rows), len(FEATURES))
-    return fit(x, np.array([r.label for r in rows], float))
+    y = np.array([r.label for r in rows], float)
+    whole, got = totals(labels, "quality"), (float((y == 0).sum()), float(y.sum()))
+    return fit(x, y, np.where(y > 0, whole[1] / max(1.0, got[1]), whole[0] / max(1.0, got[0])))
 
 
 def score(docs: DataFrame, model: Forest, threshold: float = 0.5) -> DataFrame:
