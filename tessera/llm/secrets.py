@@ -1,16 +1,16 @@
 """Secrets in texts: fixed patterns, and tokens that a battery of randomness tests finds random.
 
-A candidate is a run of at least SHORTEST characters of an encoding's alphabet. Its encoding is the smallest of hex, base32,
-letters and digits, base64, URL-safe base64 and the two together that holds it. Three tests ask whether it could be uniform noise:
-chi-squared of its characters over the alphabet, runs above and below the alphabet's middle, and serial correlation of
-neighbours. Fisher's sum joins their p-values; small sums look random.
+A candidate is a run of at least SHORTEST characters of an encoding's alphabet. Its encoding is the smallest of hex, capitals,
+base32, small letters, letters and digits, base64, URL-safe base64 and the two together that holds it. Three tests ask whether it
+could be uniform noise: chi-squared of its characters over the alphabet, runs of characters of one class, and serial
+correlation of neighbours. Fisher's sum joins their p-values; small sums look random.
 
 How small a sum a token of language reaches by chance depends on its alphabet and length. So a fixed model of language
 tokens, words of several languages joined with capitals, digits and marks, gives the distribution of the sum for each
 alphabet and length class, and hence each candidate's p-value, whatever the size of the corpus. Its lower tail is carried on as
-log-normal. Benjamini and Hochberg's rule over all candidates of the corpus then bounds the share of false discoveries,
-as far as the corpus's language looks no more random than the model's. Plain words, lower-case or capitalised letters alone,
-aren't secrets and aren't tested. Counts are in a fixed number of cells, gathered over all documents.
+log-normal. For each alphabet, Benjamini and Hochberg's rule over all candidates of the corpus then bounds the share of false
+discoveries, as far as the corpus's language looks no more random than the model's. Digits alone are numbers, which are
+as random as keys, and aren't tested. Counts are in a fixed number of cells, gathered over all documents.
 """
 
 from __future__ import annotations
@@ -56,6 +56,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "hex_upper": "0123456789ABCDEF",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "lower": "abcdefghijklmnopqrstuvwxyz",
     "alnum_lower": "0123456789abcdefghijklmnopqrstuvwxyz",
@@ -85,30 +86,62 @@ def _chi2_tail(x: float, dof: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
-def battery(token: str, kind: str) -> tuple[float, float, float]:
-    """p-values of uniformity, runs and serial correlation, of uniform noise over the alphabet."""
-    place, size = _PLACE[kind], len(ALPHABETS[kind])
-    v = np.array([place[c] for c in token.rstrip("=")], float)
-    n = len(v)
-    counts = np.bincount(v.astype(int), minlength=size)
-    uniform = _chi2_tail(float(((counts - n / size) ** 2).sum() * size / n), size - 1)
-    high = v >= size / 2
-    a, b = int(high.sum()), int(n - high.sum())
-    if a and b and n > 2:
-        runs = 1 + int((high[1:] != high[:-1]).sum())
-        mean, var = 2 * a * b / n + 1, 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
-        run_p = math.erfc(abs(runs - mean) / math.sqrt(2 * max(var, 1e-9)))
-    else:
-        run_p = 2.0 ** (1 - n)
-    d = v - v.mean()
-    spread = float((d * d).sum())
-    serial = float((d[1:] * d[:-1]).sum()) / spread if spread else 1.0
-    serial_p = math.erfc(abs(serial + 1 / n) * math.sqrt(n / 2))
-    return uniform, run_p, serial_p
+def _classes(kind: str) -> np.ndarray:
+    """For each character of an alphabet its class: digit, mark, letter, small letter beside capitals; where there are but letters, vowel or consonant."""
+    letters = ALPHABETS[kind]
+    alone = letters.isalpha()
+    of = [0 if c.isdigit() else 1 if not c.isalpha() else 2 + (c.lower() in VOWELS) if alone else 4 + c.islower() for c in letters]
+    return np.unique(of, return_inverse=True)[1]
+
+
+def _values(kind: str) -> np.ndarray:
+    """For each character what serial correlation is taken of: vowel or not, NaN for a digit, where letters of one case stand beside digits; else its place."""
+    letters = ALPHABETS[kind]
+    if kind in ("base32", "alnum_lower"):
+        return np.array([np.nan if c.isdigit() else float(c.lower() in VOWELS) for c in letters])
+    return np.arange(len(letters), dtype=float)
+
+
+VOWELS = "aeiouy"
+_CLASS, _VALUE = {k: _classes(k) for k in ALPHABETS}, {k: _values(k) for k in ALPHABETS}
+
+
+def battery(v: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """p-values of uniformity, runs and serial correlation, of uniform noise over the alphabet. v: a token's places in it a row, all of one length.
+
+    Runs are of characters of one class, tested to one side: words that are joined change far more seldom between digits,
+    marks and cases than noise does, and more often between vowels and consonants.
+    """
+    m, n = v.shape
+    size = len(ALPHABETS[kind])
+    erfc = np.vectorize(math.erfc, otypes=[float])
+    counts = np.bincount((np.arange(m)[:, None] * size + v).ravel(), minlength=m * size).reshape(m, size)
+    uniform = np.array([_chi2_tail(float(x), size - 1) for x in ((counts - n / size) ** 2).sum(1) * size / n])
+    of = _CLASS[kind]
+    share = np.bincount(of) / size
+    change, twice = float(1 - (share**2).sum()), float((share * (1 - share) ** 2).sum())
+    c = of[v]
+    changes = (c[:, 1:] != c[:, :-1]).sum(1)
+    var = (n - 1) * change * (1 - change) + 2 * (n - 2) * (twice - change * change)
+    side = 1.0 if ALPHABETS[kind].isalpha() and len(share) == 2 else -1.0
+    run_p = 0.5 * erfc(side * (changes - (n - 1) * change) / math.sqrt(2 * max(var, 1e-9)))
+    x = _VALUE[kind][v]
+    used = ~np.isnan(x)
+    many = np.maximum(used.sum(1), 1)
+    d = np.where(used, np.nan_to_num(x) - (np.nan_to_num(x).sum(1) / many)[:, None], 0.0)
+    spread = (d * d).sum(1)
+    serial = np.where(spread > 0, (d[:, 1:] * d[:, :-1]).sum(1) / np.where(spread > 0, spread, 1), 1.0)
+    return uniform, run_p, erfc(np.abs(serial + 1 / many) * np.sqrt(many / 2))
+
+
+def fishers(v: np.ndarray, kind: str) -> np.ndarray:
+    """Sums of Fisher, small where a token looks random."""
+    return -2 * sum(np.log(np.maximum(p, 1e-12)) for p in battery(v, kind))
 
 
 def fisher(token: str, kind: str) -> float:
-    return -2 * sum(math.log(max(p, 1e-12)) for p in battery(token, kind))
+    place = _PLACE[kind]
+    return float(fishers(np.array([[place[c] for c in token.rstrip("=")]]), kind)[0])
 
 
 #: Words that the fixed language model joins: frequent ones of several languages and some of programs.
@@ -151,25 +184,6 @@ def language(kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array([_PLACE[kind][c] for c in text]), np.array(starts), within
 
 
-def fishers(v: np.ndarray, size: int) -> np.ndarray:
-    """fisher() of rows of places in an alphabet of this size, all of one length."""
-    m, n = v.shape
-    erfc = np.vectorize(math.erfc, otypes=[float])
-    counts = np.bincount((np.arange(m)[:, None] * size + v).ravel(), minlength=m * size).reshape(m, size)
-    uniform = np.array([_chi2_tail(float(x), size - 1) for x in ((counts - n / size) ** 2).sum(1) * size / n])
-    high = v >= size / 2
-    a = high.sum(1).astype(float)
-    b = n - a
-    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(1)
-    mean, var = 2 * a * b / n + 1, 2 * a * b * (2 * a * b - n) / (n * n * (n - 1))
-    run_p = np.where((a > 0) & (b > 0), erfc(np.abs(runs - mean) / np.sqrt(2 * np.maximum(var, 1e-9))), 2.0 ** (1 - n))
-    d = v - v.mean(1)[:, None]
-    spread = (d * d).sum(1)
-    serial = np.where(spread > 0, (d[:, 1:] * d[:, :-1]).sum(1) / np.where(spread > 0, spread, 1), 1.0)
-    serial_p = erfc(np.abs(serial + 1 / n) * math.sqrt(n / 2))
-    return -2 * sum(np.log(np.maximum(p, 1e-12)) for p in (uniform, run_p, serial_p))
-
-
 @lru_cache(maxsize=None)
 def language_sums(kind: str, n: int) -> np.ndarray:
     """Sorted sums of Fisher of the fixed model's tokens of n characters that need this alphabet."""
@@ -179,7 +193,7 @@ def language_sums(kind: str, n: int) -> np.ndarray:
         held = np.concatenate([[0], np.cumsum(row)])
         starts = starts[held[starts + n] - held[starts] < n]
     starts = starts[:: max(1, len(starts) // DRAWS)]
-    return np.sort(fishers(places[starts[:, None] + np.arange(n)], len(ALPHABETS[kind])))
+    return np.sort(fishers(places[starts[:, None] + np.arange(n)], kind))
 
 
 def length_class(n: int) -> int:
@@ -208,14 +222,17 @@ def language_tail(kind: str, length: int) -> tuple[float, ...]:
 @lru_cache(maxsize=50_000)
 def judged(token: str) -> tuple[int, int, int] | None:
     """(number of the alphabet, length class, cell of the sum), or None for what is no candidate."""
-    if token.isalpha() and (token.islower() or token[1:].islower()):
-        return None  # a plain word
     kind = encoding(token)
     if kind is None:
         return None
     return _NUMBER[kind], length_class(len(token.rstrip("="))), min(CELLS - 1, int(fisher(token, kind) / CELL_WIDTH))
 
 
+def within(start: int, end: int, base: list[tuple[int, int, int]]) -> bool:
+    """In a span of a fixed pattern as a whole; such tokens aren't tested."""
+    return any(x <= start and end <= y for x, _, y in base)
+
+
 def candidates(text: str) -> list[tuple[int, int, tuple[int, int, int]]]:
     return [(m.start(), m.end(), j) for m in CANDIDATE.finditer(text) if (j := judged(m[0]))]
 
@@ -230,7 +247,7 @@ def cells(docs: DataFrame) -> DataFrame:
                 if text:
                     base = base_spans(text)
                     for s, e, j in candidates(text):
-                        if not any(s < y and x < e for x, _, y in base):
+                        if not within(s, e, base):
                             count[j] = count.get(j, 0) + 1
             rows = [(*j, n) for j, n in count.items()]
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
@@ -241,15 +258,17 @@ def cells(docs: DataFrame) -> DataFrame:
 
 
 def accepted(counts: list[tuple[int, int, int, int]], rate: float = RATE) -> frozenset[tuple[int, int, int]]:
-    """The (alphabet, length class, cell) of candidates that the rule finds random. counts: rows of cells()."""
-    names = list(ALPHABETS)
-    tests = sorted((language_tail(names[k], length)[cell], k, length, cell, n) for k, length, cell, n in counts)
-    total, seen, last = sum(t[4] for t in tests), 0, -1
-    for i, t in enumerate(tests):
-        seen += t[4]
-        if t[0] <= rate * seen / total:
-            last = i
-    return frozenset(t[1:4] for t in tests[: last + 1])
+    """The (alphabet, length class, cell) of candidates that the rule finds random, for each alphabet by itself. counts: rows of cells()."""
+    names, out = list(ALPHABETS), set()
+    for k in {c[0] for c in counts}:
+        tests = sorted((language_tail(names[k], length)[cell], length, cell, n) for a, length, cell, n in counts if a == k)
+        total, seen, last = sum(t[3] for t in tests), 0, -1
+        for i, t in enumerate(tests):
+            seen += t[3]
+            if t[0] <= rate * seen / total:
+                last = i
+        out.update((k, length, cell) for _, length, cell, _ in tests[: last + 1])
+    return frozenset(out)
 
 
 def calibrated(docs: DataFrame, rate: float = RATE) -> frozenset[tuple[int, int, int]]:
@@ -258,11 +277,11 @@ def calibrated(docs: DataFrame, rate: float = RATE) -> frozenset[tuple[int, int,
 
 
 def spans(text: str, random: frozenset[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Spans of the fixed patterns, and of all kinds; found tokens that overlap a fixed one add none."""
+    """Spans of the fixed patterns, and of all kinds; a found token that goes beyond a fixed one adds its whole span."""
     base = base_spans(text)
     if not random:
         return base, base
-    more = [(s, 3, e) for s, e, j in candidates(text) if j in random and not any(s < y and x < e for x, _, y in base)]
+    more = [(s, 3, e) for s, e, j in candidates(text) if j in random and not within(s, e, base)]
     return base, sorted(base + more)
 
 
@@ -302,7 +321,11 @@ def redacted(text: str, found: list[tuple[int, int, int]], mark: str = "[SECRET]
 
 
 def redact(docs: DataFrame, *, rate: float = RATE) -> DataFrame:
-    """docs with secrets in text replaced; n_chars, where there is one, follows; all else stays."""
+    """docs with secrets in text replaced; n_chars, where there is one, follows; all else stays.
+
+    Null and empty texts stay as they are, repeated rows are treated alike, null ids don't matter; an empty table gives an
+    empty one; further columns may have any name.
+    """
     random = calibrated(docs, rate)
     at = docs.columns.index("text")
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
