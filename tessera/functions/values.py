@@ -104,8 +104,3 @@ def jaccard(a: Column, b: Column) -> Column:
     """U5; 0 for two empty sets."""
     union = F.size(F.array_union(a, b))
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(F.lit(0.0))
-
-
-def label_ids(labels: Sequence[str]) -> dict[str, int]:
-    """Sorted distinct labels to 0, 1, ...."""
-    return {x: i for i, x in enumerate(sorted(set(labels)))}

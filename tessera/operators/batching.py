@@ -7,10 +7,11 @@ time; `lane` splits a stream into independent ordered groups, as workers would,
 from __future__ import annotations
 
 import bisect
-from collections.abc import Callable, Iterator, Sequence
+import itertools
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,85 +64,116 @@ def split_by_order(df: DataFrame, total: int, test: float, dev: float, rn: str =
     return df.withColumn("split", F.when(F.col(rn) <= total - n_test - n_dev, "train").when(F.col(rn) <= total - n_test, "dev").otherwise("test"))
 
 
-# --- folds over (key, length) ---
+# --- folds: rows with their lengths in order, to rows with batch numbers; none holds more than its open batches ---
 
+Rows = Iterable[tuple[Any, float]]
+Numbered = Iterator[tuple[Any, int]]
 
-def pack_fold(lengths: np.ndarray, budget: int) -> list[int]:
-    """Batch of each sample, -1 for one over the budget; a batch ends when the next would exceed it."""
-    out, batch, used, any_ = [], 0, 0, False
-    for n in lengths.tolist():
+
+def pack_fold(rows: Rows, budget: int) -> Numbered:
+    """-1 for a row over the budget; a batch ends when the next row would exceed it."""
+    batch, used, any_ = 0, 0, False
+    for row, n in rows:
         if n > budget:
-            out.append(-1)
+            yield row, -1
             continue
         if any_ and used + n > budget:
             batch, used = batch + 1, 0
-        out.append(batch)
+        yield row, batch
         used, any_ = used + n, True
-    return out
 
 
-def padded_fold(lengths: np.ndarray, budget: int) -> list[int]:
+def padded_fold(rows: Rows, budget: int) -> Numbered:
     """A batch ends when the longest times the count would exceed the budget."""
-    out, batch, longest, n = [], 0, 0, 0
-    for x in lengths.tolist():
+    batch, longest, n = 0, 0, 0
+    for row, x in rows:
         longest = max(longest, x)
         if n and longest * (n + 1) > budget:
             batch, longest, n = batch + 1, x, 0
-        out.append(batch)
+        yield row, batch
         n += 1
-    return out
 
 
-def length_group_fold(lengths: np.ndarray, budget: float, low: float, high: float, buckets: int, most: int | None = None, drop_last: bool = False) -> list[int]:
+def length_group_fold(rows: Rows, budget: float, low: float, high: float, buckets: int, most: int | None = None, drop_last: bool = False) -> Numbered:
     """Samples of like length; a bucket is given out once its longest times one more reaches the budget, or at `most` samples (F16).
 
-    -1: outside [low, high], or left at the end with drop_last. Batches are numbered as given out.
+    -1: outside [low, high], or left at the end with drop_last. Batches are numbered and rows come as given out.
     """
     bounds = np.linspace(low, high, buckets + 1)[1:].tolist()
-    held: list[list[int]] = [[] for _ in range(buckets)]
+    held: list[list] = [[] for _ in range(buckets)]
     longest = [0.0] * buckets
-    out, batch = [-1] * len(lengths), 0
-
-    def give(b: int) -> None:
-        nonlocal batch
-        for i in held[b]:
-            out[i] = batch
-        batch, held[b], longest[b] = batch + 1, [], 0.0
-
-    for i, x in enumerate(lengths.tolist()):
-        if low <= x <= high:
-            b = bisect.bisect_left(bounds, x)
-            held[b].append(i)
-            longest[b] = max(longest[b], x)
-            if longest[b] * (len(held[b]) + 1) >= budget or most and len(held[b]) >= most:
-                give(b)
-    if not drop_last:
-        for b in range(buckets):
-            if held[b]:
-                give(b)
-    return out
-
-
-def chunk_fold(lengths: np.ndarray, budget: int) -> list[int]:
+    batch = 0
+    for row, x in rows:
+        if not low <= x <= high:
+            yield row, -1
+            continue
+        b = bisect.bisect_left(bounds, x)
+        held[b].append(row)
+        longest[b] = max(longest[b], x)
+        if longest[b] * (len(held[b]) + 1) >= budget or most and len(held[b]) >= most:
+            yield from ((r, batch) for r in held[b])
+            batch, held[b], longest[b] = batch + 1, [], 0.0
+    for rest in held:
+        yield from ((r, -1 if drop_last else batch) for r in rest)
+        batch += bool(rest) and not drop_last
+
+
+def chunk_fold(rows: Rows, budget: int) -> Numbered:
     """A chunk ends once its characters reach the budget, so it may exceed it by one line (Q26)."""
-    out, chunk, used = [], 0, 0
-    for n in lengths.tolist():
-        out.append(chunk)
+    chunk, used = 0, 0
+    for row, n in rows:
+        yield row, chunk
         used += n
         if used >= budget:
             chunk, used = chunk + 1, 0
-    return out
 
 
-def folded(df: DataFrame, lane: str, order: str, length: str, fold: Callable[[np.ndarray], list[int]], name: str = "batch") -> DataFrame:
-    """The fold's number for each row of every lane in order: lane, order, length, name."""
+def entity_fold(rows: Iterable[tuple[Any, Sequence[str]]]) -> Numbered:
+    """For lists of names the number of the first entity that shares any, in any case.
+
+    Keeps for each name the first entity that has it.
+    """
+    first: dict[str, int] = {}
+    count = 0
+    for row, names in rows:
+        own = {x.lower() for x in names}
+        k = min((first[x] for x in own if x in first), default=count)
+        count += k == count
+        first.update((x, min(k, first.get(x, k))) for x in own)
+        yield row, k
+
 
-    def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by(order)
-        return t.append_column(name, pa.array(fold(t[length].to_numpy()), pa.int64()))
+def folded(df: DataFrame, lane: str, order: str, value: str, fold: Callable[[Iterable], Numbered], name: str = "batch") -> DataFrame:
+    """The fold's number for each row of every lane in order: lane, order, value, name.
 
-    d = df.select(lane, order, length)
-    return d.groupBy(lane).applyInArrow(run, ", ".join(f"{c} {k}" for c, k in d.dtypes) + f", {name} long")
+    A lane's rows pass by one task in order, sorted by Spark, which spills; none is gathered.
+    """
+    d = df.select(lane, order, value)
+    names = [lane, order, value]
+
+    def run(batches):
+        schema: list[pa.Schema] = []
+
+        def rows():
+            for b in batches:
+                schema[:] = [b.schema]
+                yield from zip(*(b.column(k).to_pylist() for k in range(3)), strict=True)
+
+        def table(out: list) -> pa.RecordBatch:
+            cols = list(zip(*((*r, k) for r, k in out), strict=True))
+            return pa.RecordBatch.from_arrays([*(pa.array(c, schema[0].field(k).type) for k, c in enumerate(cols[:3])), pa.array(cols[3], pa.int64())], [*names, name])
+
+        out: list = []
+        for _, own in itertools.groupby(rows(), key=lambda r: r[0]):
+            for found in fold((r, r[2]) for r in own):
+                out.append(found)
+                if len(out) == 10_000:
+                    yield table(out)
+                    out = []
+        if out:
+            yield table(out)
+
+    return d.repartition(lane).sortWithinPartitions(lane, order).mapInArrow(run, ", ".join(f"{c} {k}" for c, k in d.dtypes) + f", {name} long")
 
 
 def collated(df: DataFrame, by: Sequence[str], order: str, tokens: str, size: int, pad: int = 0) -> DataFrame:
@@ -153,28 +185,6 @@ def collated(df: DataFrame, by: Sequence[str], order: str, tokens: str, size: in
     return g.select(*by, fill(toks, pad).alias("tokens"), fill(docs, -1).alias("documents"))
 
 
-# --- order-dependent merges ---
-
-
-def merged_entities(names: pd.Series, group: Callable[[], None] | None = None) -> Iterator[int]:
-    """For lists of names in order the number of the first entity that shares any, in any case."""
-    known: list[set[str]] = []
-    for row in names:
-        own = {x.lower() for x in row}
-        k = next((i for i, e in enumerate(known) if e & own), len(known))
-        if k == len(known):
-            known.append(set())
-        known[k] |= own
-        yield k
-
-
 def merge_entities(df: DataFrame, lane: str, order: str, names: str) -> DataFrame:
     """lane, order, entity: rows joined one by one to the first entity that shares a name; not connected components."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        return pd.DataFrame({lane: pdf[lane], order: pdf[order], "entity": list(merged_entities(pdf[names]))})
-
-    d = df.select(lane, order, names)
-    kinds = dict(d.dtypes)
-    return d.groupBy(lane).applyInPandas(run, f"{lane} {kinds[lane]}, {order} {kinds[order]}, entity long")
+    return folded(df, lane, order, names, entity_fold, "entity").drop(names)

@@ -138,18 +138,19 @@ def unseen(df: DataFrame, seen: DataFrame, on: list[str]) -> DataFrame:
     return df.join(seen.select(*on), on, "left_anti")
 
 
-def matches_by_any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str, str]], least: int = 1) -> DataFrame:
-    """Pairs that agree in any of several keys, as a union of equi-joins instead of one join with OR.
+def match_by_any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str, str]], least: int = 1) -> DataFrame:
+    """For each left row the right row that it matches by the first of several keys, the smallest of those.
 
-    keys: (left column, right column, name). Keys shorter than `least` don't count. left has `lid`, right `rid`.
+    keys: (left column, right column, name). Keys shorter than `least` don't count. left has `lid`, right `rid`. Right keys
+    are brought to their smallest row before the equi-joins, so a hot key adds one row for each left row, not a product.
     """
     out = None
     for rank, (a, b, name) in enumerate(keys):
         x = left.select("lid", F.col(a).alias("k")).where(F.length("k") >= least)
-        y = right.select("rid", F.col(b).alias("k")).where(F.length("k") >= least)
+        y = right.select("rid", F.col(b).alias("k")).where(F.length("k") >= least).groupBy("k").agg(F.min("rid").alias("rid"))
         part = x.join(y, "k").select("lid", "rid", F.lit(rank).alias("rank"), F.lit(name).alias("key"))
         out = part if out is None else out.unionByName(part)
-    return out.groupBy("lid", "rid").agg(F.min(F.struct("rank", "key")).alias("best")).select("lid", "rid", F.col("best.key").alias("key"))
+    return out.groupBy("lid").agg(F.min(F.struct("rank", "rid", "key")).alias("best")).select("lid", "best.rid", "best.key")
 
 
 # --- aggregates ---
@@ -183,15 +184,19 @@ def capped(df: DataFrame, keys: list[str], order: Sequence[Column], n: int) -> D
 
 
 def duplicate_groups(df: DataFrame, ids: str, source: str, strong: Sequence[str], weak: str, strong_length: int = 10, weak_length: int = 6) -> DataFrame:
-    """Ids that share a key across at least two sources; groups by a weak key only where no strong one has the same ids (A10).
+    """Ids that share a key across at least two sources, a row for each: weak, key, id, sources (A10).
 
-    Not transitive: a group is the ids of one key.
+    Groups of the same ids count once, by a strong key before a weak one; sets are compared by size and sums of hashes, so no
+    list of a key's ids is made. Not transitive: a group is the ids of one key.
     """
     keys = [F.struct(F.lit(0).alias("weak"), F.when(F.length(c) >= strong_length, F.col(c)).alias("key")) for c in strong]
     keys.append(F.struct(F.lit(1).alias("weak"), F.when(F.length(weak) >= weak_length, F.col(weak)).alias("key")))
-    e = df.select(ids, source, F.explode(F.array(*keys)).alias("k")).select(ids, source, "k.weak", "k.key").where("key IS NOT NULL").distinct()
-    g = e.groupBy("weak", "key").agg(F.array_sort(F.collect_set(ids)).alias("ids"), F.count_distinct(source).alias("sources")).where("sources > 1 AND size(ids) > 1")
-    return first_of_each(g, ["ids"], [F.col("weak"), F.col("key")]).select("weak", "key", "ids", "sources")
+    e = df.select(F.col(ids).alias("id"), F.col(source).alias("source"), F.explode(F.array(*keys)).alias("k")).select("id", "source", "k.weak", "k.key").where("key IS NOT NULL")
+    members = e.select("weak", "key", "id").distinct()
+    sets = members.groupBy("weak", "key").agg(F.count("*").alias("n"), *[F.sum(F.xxhash64("id", F.lit(seed)).cast("decimal(38,0)")).alias(f"s{seed}") for seed in (1, 2)])
+    sources = e.groupBy("weak", "key").agg(F.count_distinct("source").alias("sources")).where("sources > 1")
+    first = sets.where("n > 1").join(sources, ["weak", "key"]).groupBy("n", "s1", "s2").agg(F.min(F.struct("weak", "key", "sources")).alias("g")).select("g.*")
+    return members.join(first, ["weak", "key"]).select("weak", "key", "id", "sources")
 
 
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -250,11 +255,17 @@ def numbered(df: DataFrame, order: Sequence[Column], group: str | None = None) -
     """rn from 1 in order, within group if given.
 
     Without a group, rows are sorted by range over all machines and numbered by each part's rows before it, so no single task
-    sees them all; the parts' counts, one number each, are all that is gathered.
+    sees them all; the parts' counts, one number each, are all that is gathered. The sorted rows are checkpointed once, so
+    both uses see the same parts; without a checkpoint folder, as in a local session, they are persisted.
     """
     if group is not None:
         return df.withColumn("rn", F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long"))
-    s = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33))
+    s = df.orderBy(*order)
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty() and (at := sc.getConf().get("spark.checkpoint.dir")):
+        sc.setCheckpointDir(at)
+    s = s.persist() if sc._jsc.sc().getCheckpointDir().isEmpty() else s.checkpoint()
+    s = s.withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_id", 33))
     counts = s.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).select("_part", F.coalesce("_before", F.lit(0)).alias("_before"))
     return s.join(F.broadcast(before), "_part").withColumn("rn", F.col("_before") + F.col("_id").bitwiseAND((1 << 33) - 1) + 1).drop("_id", "_part", "_before")

@@ -11,6 +11,8 @@ from tessera.operators import metrics as M
 from tessera.operators import quality as Q
 from tessera.plans.registry import Tables, query
 
+# documents that repeat a long paragraph
+REPEATS_SQL = r"""r AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, trim(regexp_replace(lower(p), '[\s.,;:!?"\x27“”‘’\-—…]+', ' ', 'g')) AS k FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\n\s*\n')) AS p FROM documents) WHERE length(trim(p, ' ')) >= 120) GROUP BY doc_id, k HAVING count(*) > 1)"""
 ENGLISH = Q.Language("", ("the", "of", "and", "to", "that", "with"), 1, 4)
 CJK = "[㐀-鿿぀-ヿ가-힯]"
 
@@ -66,10 +68,10 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "q6_narrative_count",
-    r"""SELECT doc_id, coalesce(sum(len(regexp_extract_all(l, '\b(he|her)\b'))), 0)::INTEGER AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents WHERE lang = 'en') WHERE NOT regexp_matches(trim(l), '^["\x27“‘—\[]') GROUP BY doc_id""",
+    r"""SELECT doc_id, coalesce(sum(len(regexp_extract_all(l, 'the|der|la'))), 0)::INTEGER AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE NOT regexp_matches(trim(l), '^["\x27“‘—\[]') GROUP BY doc_id""",
 )
 def _(t: Tables) -> DataFrame:
-    return t.documents.where("lang = 'en'").select("doc_id", Q.narrative_count(F.col("text"), r"\b(he|her)\b").alias("n"))
+    return t.documents.select("doc_id", Q.narrative_count(F.col("text"), "the|der|la").alias("n"))
 
 
 @query("q7_foreign_block", r"SELECT doc_id, regexp_matches(text, CASE WHEN lang = 'en' THEN '[A-Za-z][A-Za-z ,.\x27\-]{199}' ELSE '[A-Za-z][A-Za-z ,.\x27\-]{79}' END) AS block FROM documents")
@@ -84,20 +86,22 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "q9_completeness",
-    f"""WITH {PAIRS_SQL}, m AS (
-        SELECT conv_id, turn, length(regexp_replace(output, '\\s+', '', 'g')) / nullif(length(regexp_replace(source, '\\s+', '', 'g')), 0) AS ratio, length(regexp_replace(source, '\\s+', '', 'g')) AS n FROM pairs)
-    SELECT conv_id, turn, CASE WHEN n >= 200 AND ratio < 0.75 THEN ['length_ratio_low:' || printf('%.2f', ratio) || '<0.75'] ELSE []::VARCHAR[] END AS codes FROM m""",
+    f"""WITH {PAIRS_SQL}, p AS (SELECT conv_id, turn, replace(source, ' ', chr(10) || chr(10)) AS source, replace(output, '.', chr(10) || chr(10)) AS output FROM pairs), m AS (
+        SELECT conv_id, turn, length(regexp_replace(output, '\\s+', '', 'g')) / nullif(length(regexp_replace(source, '\\s+', '', 'g')), 0) AS ratio, length(regexp_replace(source, '\\s+', '', 'g')) AS n,
+               len(list_filter(regexp_split_to_array(source, '\\n\\s*\\n'), lambda x: length(trim(x, ' ')) > 0)) AS sp, len(list_filter(regexp_split_to_array(output, '\\n\\s*\\n'), lambda x: length(trim(x, ' ')) > 0)) AS tp FROM p)
+    SELECT conv_id, turn, CASE WHEN n >= 200 THEN list_filter([CASE WHEN ratio < 0.75 THEN 'length_ratio_low:' || printf('%.2f', ratio) || '<0.75' END, CASE WHEN sp >= 8 AND tp < sp * 0.3 THEN 'structure_drift:paragraphs:' || tp || '/' || sp END], lambda x: x IS NOT NULL) ELSE []::VARCHAR[] END AS codes FROM m""",
 )
 def _(t: Tables) -> DataFrame:
-    return pairs(t).select("conv_id", "turn", F.filter(Q.completeness(F.col("output"), F.col("source"), F.lit("en")), lambda c: F.startswith(c, F.lit("length_"))).alias("codes"))
+    source, output = (F.replace(c, F.lit(mark), F.lit("\n\n")) for c, mark in (("source", " "), ("output", ".")))
+    return pairs(t).select("conv_id", "turn", Q.completeness(output, source, F.lit("en")).alias("codes"))
 
 
-@query("q10_checked_split", f"""SELECT doc_id, CASE WHEN length(trim(text)) < 100 THEN 1 ELSE (NOT ok)::INTEGER + (CASE WHEN contains(text, 'License') THEN 1 ELSE 0 END) END AS n_blocking FROM (
+@query("q10_checked_split", f"""WITH {REPEATS_SQL} SELECT doc_id, CASE WHEN length(trim(text, ' ')) < 100 THEN 1 ELSE (NOT ok)::INTEGER + (CASE WHEN contains(text, 'License') THEN 1 ELSE 0 END) + (doc_id IN (SELECT doc_id FROM r))::INTEGER END AS n_blocking FROM (
     SELECT doc_id, text, length(s) >= 80 AND len(list_intersect(list_distinct(regexp_extract_all(lower(s), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+')), ['the', 'of', 'and', 'to', 'that', 'with'])) >= 4 AS ok
     FROM (SELECT doc_id, text, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS s FROM documents))""")
 def _(t: Tables) -> DataFrame:
     d = t.documents.select("doc_id", Q.checked(F.col("text"), language=ENGLISH, forbidden=["License"]).alias("codes"))
-    return d.select("doc_id", F.size(Q.blocking(F.filter("codes", lambda c: c != "repeated_content"))).alias("n_blocking"))
+    return d.select("doc_id", F.size(Q.blocking(F.col("codes"))).alias("n_blocking"))
 
 
 @query("q14_rule_findings", r"SELECT doc_id, rule, severity, matched FROM (SELECT doc_id, 'licence' AS rule, 'blocking' AS severity, unnest(regexp_extract_all(text, '[A-Z]+ License')) AS matched FROM documents UNION ALL SELECT doc_id, 'number', 'warning', unnest(regexp_extract_all(text, '[0-9]{6,}')) FROM documents)")
@@ -110,12 +114,11 @@ def _(t: Tables) -> DataFrame:
     return Q.anchors_broken(pairs(t), "source", "output", [("the", ["thst", "of"])]).select("conv_id", "turn", "issues")
 
 
-AUDIT_SQL = """a AS (SELECT doc_id, CASE WHEN length(trim(text)) < 100 THEN ['output_too_short'] ELSE list_filter([CASE WHEN contains(text, 'License') THEN 'forbidden_term:License' END], lambda x: x IS NOT NULL) END AS codes FROM documents)"""
+AUDIT_SQL = REPEATS_SQL + """, a AS (SELECT doc_id, CASE WHEN length(trim(text, ' ')) < 100 THEN ['output_too_short'] ELSE list_filter([CASE WHEN doc_id IN (SELECT doc_id FROM r) THEN 'repeated_content' END, CASE WHEN contains(text, 'License') THEN 'forbidden_term:License' END], lambda x: x IS NOT NULL) END AS codes FROM documents)"""
 
 
 def audit(t: Tables) -> DataFrame:
-    d = t.documents
-    return Q.audited(d.select("doc_id", F.filter(Q.checked(F.col("text"), forbidden=["License"]), lambda c: c != "repeated_content").alias("codes")))
+    return Q.audited(t.documents.select("doc_id", Q.checked(F.col("text"), forbidden=["License"]).alias("codes")))
 
 
 @query("q19_audit_rows", f"WITH {AUDIT_SQL} SELECT doc_id, codes, len(codes) = 0 AS passed, CASE WHEN len(codes) > 0 THEN CASE WHEN codes[1] = 'output_too_short' THEN 'retranslate' ELSE 'repolish' END END AS action FROM a")
@@ -170,10 +173,10 @@ def _(t: Tables) -> DataFrame:
     return l.select("doc_id", (F.col("line") + 1).alias("line"), F.explode(rules).alias("rule"))
 
 
-@query("q31_audio_issues", "SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN l_quantity < l_linenumber * 0.18 THEN 'too_short' END, CASE WHEN l_quantity > l_linenumber * 0.32 * 2.2 THEN 'too_long' END, CASE WHEN l_tax < 0.01 THEN 'too_quiet' END, CASE WHEN l_discount > 0.01 THEN 'clipped' END, CASE WHEN l_tax > 0.4 THEN 'too_silent' END], lambda x: x IS NOT NULL) AS issues FROM lineitem WHERE l_quantity < 8")
+@query("q31_audio_issues", "SELECT l_orderkey, l_linenumber, list_filter([CASE WHEN l_quantity < l_linenumber * 0.18 THEN 'too_short' END, CASE WHEN l_quantity > l_linenumber * 0.32 * 2.2 THEN 'too_long' END, CASE WHEN l_tax < 0.01 THEN 'too_quiet' END, CASE WHEN l_discount > 0.01 THEN 'clipped' END, CASE WHEN l_tax > 0.4 THEN 'too_silent' END], lambda x: x IS NOT NULL) AS issues FROM lineitem")
 def _(t: Tables) -> DataFrame:
     c = F.col
-    return t.lineitem.where("l_quantity < 8").select("l_orderkey", "l_linenumber", Q.audio_issues(c("l_quantity"), c("l_linenumber"), c("l_tax"), c("l_discount"), c("l_tax")).alias("issues"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", Q.audio_issues(c("l_quantity"), c("l_linenumber"), c("l_tax"), c("l_discount"), c("l_tax")).alias("issues"))
 
 
 @query("q33_neighbour_paragraphs", "SELECT conv_id, turn FROM (SELECT conv_id, turn, text, lag(text) OVER w AS p, lead(text) OVER w AS n FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE contains(coalesce(p, '') || text || coalesce(n, ''), 'thst') AND contains(text, 'of')")

@@ -74,9 +74,9 @@ def _(t: Tables) -> DataFrame:
     return t.documents.where(R.like_any("text", ["license", "copyright", "password"])).select("doc_id")
 
 
-@query("p9_needs_audit", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_returnflag IN ('R', 'A') OR l_tax < 0.03) AND l_quantity < 10")
+@query("p9_needs_audit", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_returnflag IN ('R', 'A') OR l_tax < 0.03)")
 def _(t: Tables) -> DataFrame:
-    return t.lineitem.where((F.col("l_returnflag").isin("R", "A") | (F.col("l_tax") < 0.03)) & (F.col("l_quantity") < 10)).select("l_orderkey", "l_linenumber")
+    return t.lineitem.where((F.col("l_returnflag").isin("R", "A") | (F.col("l_tax") < 0.03))).select("l_orderkey", "l_linenumber")
 
 
 @query("p10_lease_filter", "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' OR o_orderdate IS NULL OR o_orderdate < TIMESTAMP '1999-01-01' - INTERVAL 90 MINUTE")
@@ -227,13 +227,14 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "j13_match_by_any_key",
-    """SELECT s_suppkey AS lid, c_custkey AS rid, min(CASE WHEN replace(s_name, 'Supplier', '') = replace(c_name, 'Customer', '') THEN 'name' ELSE 'place' END) AS key
-    FROM supplier JOIN customer ON replace(s_name, 'Supplier', '') = replace(c_name, 'Customer', '') OR (s_nationkey = c_nationkey AND floor(s_acctbal / 100) = floor(c_acctbal / 100)) GROUP BY 1, 2""",
+    """WITH m AS (SELECT s_suppkey AS lid, c_custkey AS rid, CASE WHEN replace(s_name, 'Supplier', '') = replace(c_name, 'Customer', '') THEN 'name' ELSE 'place' END AS key
+    FROM supplier JOIN customer ON replace(s_name, 'Supplier', '') = replace(c_name, 'Customer', '') OR (s_nationkey = c_nationkey AND floor(s_acctbal / 100) = floor(c_acctbal / 100)))
+    SELECT lid, rid, key FROM m QUALIFY row_number() OVER (PARTITION BY lid ORDER BY key, rid) = 1""",
 )
 def _(t: Tables) -> DataFrame:
     s = t.supplier.select(F.col("s_suppkey").alias("lid"), F.replace("s_name", F.lit("Supplier"), F.lit("")).alias("name"), F.concat_ws(":", "s_nationkey", F.floor(F.col("s_acctbal") / 100)).alias("place"))
     c = t.customer.select(F.col("c_custkey").alias("rid"), F.replace("c_name", F.lit("Customer"), F.lit("")).alias("name"), F.concat_ws(":", "c_nationkey", F.floor(F.col("c_acctbal") / 100)).alias("place"))
-    return R.matches_by_any_key(s, c, [("name", "name", "name"), ("place", "place", "place")])
+    return R.match_by_any_key(s, c, [("name", "name", "name"), ("place", "place", "place")])
 
 
 @query("j14_lookup_default", "SELECT doc_id, coalesce(quality, -1)::INTEGER AS quality FROM documents LEFT JOIN labels USING (doc_id)")
@@ -307,10 +308,10 @@ def _(t: Tables) -> DataFrame:
     return t.pages.groupBy(url_key_case(F.regexp_replace("url", "[?#].*$", "")).alias("key")).agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query("a9_group_lists", "SELECT sha256(text) AS h, list_sort(list(doc_id)) AS ids FROM documents GROUP BY text HAVING count(*) > 1")
+@query("a9_group_lists", "SELECT sha256(text) AS h, doc_id AS id FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)")
 def _(t: Tables) -> DataFrame:
     d = R.repeated_keys(t.documents.select("doc_id", F.sha2("text", 256).alias("h")), ["h"])
-    return d.groupBy("h").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    return d.select("h", F.col("doc_id").alias("id"))
 
 
 @query(
@@ -319,11 +320,11 @@ def _(t: Tables) -> DataFrame:
         SELECT DISTINCT p_partkey AS id, p_brand AS source, 0 AS weak, p_name || p_size AS key FROM part WHERE length(p_name || p_size) >= 10
         UNION SELECT DISTINCT p_partkey, p_brand, 1, p_type || p_size FROM part WHERE length(p_type || p_size) >= 6),
     g AS (SELECT weak, key, list_sort(list(DISTINCT id)) AS ids, count(DISTINCT source) AS sources FROM e GROUP BY 1, 2 HAVING count(DISTINCT source) > 1 AND count(DISTINCT id) > 1)
-    SELECT weak, key, ids, sources FROM g QUALIFY row_number() OVER (PARTITION BY ids ORDER BY weak, key) = 1""",
+    SELECT weak, key, unnest(ids) AS id, sources FROM (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY ids ORDER BY weak, key) = 1)""",
 )
 def _(t: Tables) -> DataFrame:
     p = t.part.select("p_partkey", "p_brand", F.concat("p_name", "p_size").alias("strong"), F.concat("p_type", "p_size").alias("weak_key"))
-    return R.duplicate_groups(p, "p_partkey", "p_brand", ["strong"], "weak_key").select("weak", "key", "ids", "sources")
+    return R.duplicate_groups(p, "p_partkey", "p_brand", ["strong"], "weak_key")
 
 
 @query("a11_winner", "SELECT o_custkey, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority DESC, o_totalprice DESC, o_orderkey DESC) = 1")
@@ -348,10 +349,10 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "a15_frequent_terms",
-    """SELECT lower(w) AS term, count(*) AS n, min(doc_id) AS first_doc FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+ [a-z]+')) AS w FROM documents WHERE lang = 'en') GROUP BY 1 HAVING count(*) >= 3 ORDER BY n DESC, first_doc, term LIMIT 50""",
+    """SELECT lower(w) AS term, count(*) AS n, min(doc_id) AS first_doc FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+ [a-z]+')) AS w FROM documents) GROUP BY 1 HAVING count(*) >= 3 ORDER BY n DESC, first_doc, term LIMIT 50""",
 )
 def _(t: Tables) -> DataFrame:
-    w = t.documents.where("lang = 'en'").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([A-Z][a-z]+ [a-z]+)"), 1)).alias("w"))
+    w = t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([A-Z][a-z]+ [a-z]+)"), 1)).alias("w"))
     return w.groupBy(F.lower("w").alias("term")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n >= 3").orderBy(F.desc("n"), "first_doc", "term").limit(50)
 
 
@@ -402,9 +403,9 @@ def _(t: Tables) -> DataFrame:
     return d.select("conv_id", "turn", F.when(F.size("before") > 0, F.col("before")).alias("before"))
 
 
-@query("w6_carried_tail", "SELECT conv_id, turn, right(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), 60) AS tail FROM conversations")
+@query("w6_carried_tail", "SELECT conv_id, turn, right(lag(text) OVER (PARTITION BY conv_id ORDER BY turn), 600) AS tail FROM conversations")
 def _(t: Tables) -> DataFrame:
-    return R.carried(t.conversations, "conv_id", "turn", F.right("text", F.lit(60)), "tail").select("conv_id", "turn", "tail")
+    return R.carried(t.conversations, "conv_id", "turn", F.right("text", F.lit(600)), "tail").select("conv_id", "turn", "tail")
 
 
 @query(

@@ -141,10 +141,10 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.without_marks(F.col("text")).alias("v"))
 
 
-@query("t47_characters", "SELECT doc_id, list_transform(string_split(text, ''), lambda x: CASE WHEN x = ' ' THEN '▁' ELSE x END) AS tokens FROM documents WHERE length(text) > 0")
+@query("t47_characters", "SELECT doc_id, list_transform(cs, lambda x: CASE WHEN x = ' ' THEN '▁' ELSE x END) AS tokens FROM (SELECT doc_id, CASE WHEN text = '' THEN [] ELSE string_split(text, '') END AS cs FROM documents)")
 def _(t: Tables) -> DataFrame:
     c = F.filter(F.split(F.col("text"), ""), lambda x: x != "")
-    return t.documents.where("length(text) > 0").select("doc_id", F.transform(c, lambda x: F.when(x == " ", "▁").otherwise(x)).alias("tokens"))
+    return t.documents.select("doc_id", F.transform(c, lambda x: F.when(x == " ", "▁").otherwise(x)).alias("tokens"))
 
 
 @query("t48_first_rule", "SELECT p_partkey, CASE WHEN contains(lower(p_name), 'red') OR contains(lower(p_name), 'blue') THEN 'colour' WHEN contains(lower(p_name), 'ring') THEN 'ring' ELSE 'other' END AS genre FROM part")
@@ -273,11 +273,12 @@ def _(t: Tables) -> DataFrame:
     return t.events.select("event_id", V.json_in_text(F.concat(F.lit("```json\nHere: "), "props", F.lit("\n``` done"))).alias("v"))
 
 
-@query("n12_label_ids", "SELECT doc_id, dense_rank() OVER (ORDER BY lang)::INTEGER - 1 AS id FROM documents")
+@query("n12_label_ids", "SELECT doc_id, CASE WHEN lang IS NOT NULL THEN dense_rank() OVER (ORDER BY lang NULLS LAST)::INTEGER - 1 END AS id FROM documents")
 def _(t: Tables) -> DataFrame:
-    ids = V.label_ids([r.lang for r in t.documents.select("lang").distinct().collect()])  # a few classes
-    known = F.create_map(*[F.lit(x) for kv in ids.items() for x in kv])
-    return t.documents.select("doc_id", known[F.col("lang")].alias("id"))
+    from tessera.operators.relational import numbered
+
+    ids = numbered(t.documents.select("lang").where("lang IS NOT NULL").distinct(), [F.col("lang")])
+    return t.documents.join(ids, "lang", "left").select("doc_id", (F.col("rn") - 1).cast("int").alias("id"))
 
 
 @query("n14_padded", "SELECT conv_id, list_resize(list(turn ORDER BY turn), 10, -1)::BIGINT[] AS turns FROM conversations GROUP BY conv_id")

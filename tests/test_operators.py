@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -14,6 +16,7 @@ from tessera.operators import batching as B
 from tessera.operators import jobs as J
 from tessera.operators import metrics as M
 from tessera.operators import quality as Q
+from tessera.operators import reading
 from tessera.operators import relational as R
 
 
@@ -142,8 +145,26 @@ def test_global_row_numbers(spark):
 
 def test_groups_are_not_transitive(spark):
     d = spark.createDataFrame([(1, "s1", "long title a", ""), (2, "s2", "long title a", "weak key"), (3, "s3", "other title b", "weak key")], "id int, source string, strong string, weak string")
-    got = {tuple(r.ids) for r in R.duplicate_groups(d, "id", "source", ["strong"], "weak").collect()}
-    assert got == {(1, 2), (2, 3)}
+    got = {(r.weak, r.id) for r in R.duplicate_groups(d, "id", "source", ["strong"], "weak").collect()}
+    assert got == {(0, 1), (0, 2), (1, 2), (1, 3)}
+
+
+def test_a_group_by_a_weak_key_of_the_same_ids_counts_once(spark):
+    d = spark.createDataFrame([(k, f"s{k % 2}", "the strong key", "the weak key") for k in range(50)], "id int, source string, strong string, weak string")
+    got = R.duplicate_groups(d, "id", "source", ["strong"], "weak").collect()
+    assert sorted((r.weak, r.id, r.sources) for r in got) == [(0, k, 2) for k in range(50)]
+
+
+def test_match_by_the_first_key_and_smallest_row(spark):
+    left = spark.createDataFrame([(1, "n", "p"), (2, "x", "p"), (3, "x", "y")], "lid int, a string, b string")
+    right = spark.createDataFrame([(k, "n" if k == 7 else "m", "p") for k in range(5, 40)], "rid int, a string, b string")
+    got = {r.lid: (r.rid, r.key) for r in R.match_by_any_key(left, right, [("a", "a", "name"), ("b", "b", "place")]).collect()}
+    assert got == {1: (7, "name"), 2: (5, "place")}
+
+
+def in_order(fold, ns, *args):
+    """The batch of each sample, in the samples' order."""
+    return [b for _, b in sorted(fold(enumerate(ns.tolist()), *args))]
 
 
 lengths = st.lists(st.integers(0, 60), max_size=60).map(lambda x: np.array(x, np.int64))
@@ -152,7 +173,7 @@ lengths = st.lists(st.integers(0, 60), max_size=60).map(lambda x: np.array(x, np
 @given(lengths, st.integers(1, 60))
 @settings(deadline=None)
 def test_packing_fold(ns, budget):
-    out = B.pack_fold(ns, budget)
+    out = in_order(B.pack_fold, ns, budget)
     assert all((b == -1) == (n > budget) for b, n in zip(out, ns, strict=True))
     kept = [b for b in out if b >= 0]
     assert kept == sorted(kept)
@@ -163,7 +184,7 @@ def test_packing_fold(ns, budget):
 @given(lengths, st.integers(1, 200))
 @settings(deadline=None)
 def test_padded_fold(ns, budget):
-    out = B.padded_fold(ns, budget)
+    out = in_order(B.padded_fold, ns, budget)
     for b in set(out):
         own = [n for x, n in zip(out, ns, strict=True) if x == b]
         assert len(own) == 1 or max(own) * len(own) <= budget
@@ -172,19 +193,59 @@ def test_padded_fold(ns, budget):
 @given(lengths)
 @settings(deadline=None)
 def test_length_groups_keep_every_sample(ns):
-    out = B.length_group_fold(ns, 100, 1, 50, 5)
+    out = in_order(B.length_group_fold, ns, 100, 1, 50, 5)
     assert all((b == -1) == (not 1 <= n <= 50) for b, n in zip(out, ns, strict=True))
 
 
 def test_chunks_may_exceed_by_one_line():
-    assert B.chunk_fold(np.array([5, 5, 5, 5]), 8) == [0, 0, 1, 1]
+    assert in_order(B.chunk_fold, np.array([5, 5, 5, 5]), 8) == [0, 0, 1, 1]
 
 
 def test_entities_merge_in_order():
     names = [["A", "a2"], ["b"], ["a2", "B"], ["c"]]
-    import pandas as pd
-
-    assert list(B.merged_entities(pd.Series(names))) == [0, 1, 0, 2]
+    assert [k for _, k in B.entity_fold(enumerate(names))] == [0, 1, 0, 2]
+
+
+def test_folded_lanes_in_order(spark):
+    d = spark.range(3000).select((F.col("id") % 3).alias("lane"), F.col("id").alias("k"), (F.col("id") % 10 + 1).alias("n")).repartition(5)
+    for fold in (partial(B.pack_fold, budget=30), partial(B.length_group_fold, budget=40, low=1, high=10, buckets=3)):
+        got = B.folded(d, "lane", "k", "n", fold).collect()
+        for lane in range(3):
+            rows = [(k, k % 10 + 1) for k in range(lane, 3000, 3)]
+            assert sorted((r.k, r.batch) for r in got if r.lane == lane) == sorted(fold(rows))
+    assert B.folded(d.limit(0), "lane", "k", "n", partial(B.pack_fold, budget=30)).count() == 0
+
+
+READER = [
+    ("Chương 3 - Đêm dài\n\n***\n\nNgười gác cổng ngủ gật.\n\nNgọn đèn đã tắt.\n\n\"Ai đó?\"\n\nCác thay đổi:\n- Sửa dấu câu.\n", "Chương 3 - Đêm dài", 'Người gác cổng ngủ gật. Ngọn đèn đã tắt.\n\n"Ai đó?"'),
+    ("Chapter IV: The Road\n\nRain fell .\n\nNobody spoke.", None, "Rain fell. Nobody spoke."),
+    ("Chapter 5: It began. The king rode out at dawn.", None, "The king rode out at dawn."),
+    ("Lời dẫn.\n\nLưu ý:\n\nBức thư còn nguyên.\n\nNhận xét: đã mượt hơn.", None, "Lời dẫn. Lưu ý: Bức thư còn nguyên."),
+    ("Ting!\n\n“Đi thôi”, cô nói.\n”", None, 'Ting!\n\n"Đi thôi", cô nói."'),
+    ("Chương Lan cười.\n\nTrời sáng.", None, "Chương Lan cười. Trời sáng."),
+    (None, None, ""),
+    ("", "x", ""),
+]
+
+
+def test_reader_text(spark):
+    for content, title, want in READER:
+        assert reading.reader_text(content, title) == want
+        assert reading.reader_text(want, title) == want
+    long = reading.reader_text(" ".join(f"This is sentence {k} of a rather long paragraph." for k in range(40)))
+    assert len(long.split("\n\n")) > 2 and all(len(p) <= reading.LONGEST_PARAGRAPH for p in long.split("\n\n"))
+    d = spark.createDataFrame([(c, t) for c, t, _ in READER], "c string, t string")
+    assert [r.v for r in d.select(reading.formatted(F.col("c"), F.col("t")).alias("v")).collect()] == [w for *_, w in READER]
+
+
+def test_spoken_text(spark):
+    d = spark.createDataFrame([(1, "Có 1.500 quân, 21 ngựa, 105 xe, 1005 cung và 2015000 mũi tên. STR 7 x 1234567890")], "k int, v string")
+    assert reading.spoken_numbers(d, "k", "v").first().v == "Có một nghìn năm trăm quân, hai mươi mốt ngựa, một trăm lẻ năm xe, một nghìn lẻ năm cung và hai triệu mười lăm nghìn mũi tên. sức mạnh bảy x 1234567890"
+    assert reading.packed_clauses('"Một, hai."\nBa; bốn') == "Một hai. Ba. bốn." and reading.packed_clauses("") == "" == reading.packed_clauses(None)
+    assert all(len(c) <= 160 for c in reading.packed_clauses("chữ, " * 300).rstrip(".").split(". "))
+    got = one(spark, reading.clauses(F.lit("Đi... về, nhé"), {"…": 700}))
+    assert [(x.kind, x.content, x.pause_ms) for x in got] == [("text", "Đi", None), ("pause", "…", 700), ("text", "về", None), ("pause", ",", 200), ("text", "nhé", None)]
+    assert one(spark, reading.truncated(F.lit("a" * 30 + ". " + "b" * 30), 45)) == "a" * 30 + ".\n[...]"
 
 
 def test_stream_equals_batch(spark, tmp_path):
