@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -11,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import batching as B
 from tessera.operators import relational as R
-from tessera.plans.registry import Tables, query
+from tessera.plans.registry import Tables, query, scratch
 from tessera.streaming import events as E
 
 
@@ -113,11 +111,7 @@ def _(t: Tables) -> DataFrame:
 
 def _collected(t: Tables, df: DataFrame, mode: str) -> DataFrame:
     """The stream's result: its micro-batches, written below the shared folder and read again."""
-    spark = t.spark
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-    at = f"{(root or tempfile.mkdtemp()).rstrip('/')}/tessera-stream-{uuid.uuid4().hex}"
+    spark, at = t.spark, scratch(t.spark, "stream")
     E.run_to_end(df, lambda part, n: part.write.mode("overwrite").parquet(f"{at}/out/n={n}"), f"{at}/state", mode)
     return spark.read.schema(df.schema).parquet(f"{at}/out/n=*")
 

@@ -35,7 +35,7 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", R.truncated(F.col("text"), 300).alias("v"))
 
 
-@query("t31_reader_text")
+@query("t27_t28_t30_t31_reader_text")
 def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", R.formatted(F.col("text"), F.col("source")).alias("v"))
 

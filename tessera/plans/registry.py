@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,6 +23,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path below the folder all machines share; a local session without one takes a temporary folder."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{(root or tempfile.mkdtemp()).rstrip('/')}/tessera-{what}-{uuid.uuid4().hex}"
+
+
 def query(name: str, sql: str | None = None) -> Callable:
     """Registers fn(tables) under name."""
 
