@@ -148,8 +148,14 @@ def without_cjk_parentheses(c: Column) -> Column:
 MARKS, OPENING, CLOSING, QUOTES = frozenset(",.!?;:，。！？；："), frozenset("([{"), frozenset(")]}"), frozenset("\"'")
 
 
+#: Where a text may need a space more or less: two of white space or one before a mark, beside a bracket or a quote, or none after a mark.
+_UNEVEN = re.compile(r"\s[\s,.!?;:，。！？；：)\]}]|[(\[{\"']\s|[,.!?;:，。！？；：][^\s]")
+
+
 def spaced(text: str) -> str:
     """punctuation_spacing() of one text: pieces are put down one after the other, each deciding about the space before it."""
+    if not _UNEVEN.search(text):
+        return text.strip()
     pieces = re.findall(r"\s+|[^\s\W_]+|.", text, re.S)
     closes: dict[int, int] = {}  # a quote after which and before whose partner there is space, and that partner
     at = 0

@@ -143,6 +143,16 @@ def entity_fold(rows: Iterable[tuple[Any, Sequence[str]]]) -> Numbered:
         yield row, k
 
 
+def uncovered_fold(rows: Iterable[tuple[Any, Sequence[str]]]) -> Numbered:
+    """1 for a row none of whose terms an earlier kept row has, else 0: new items don't displace known ones, which come first."""
+    covered: set[str] = set()
+    for row, terms in rows:
+        own = {x.strip().lower() for x in terms}
+        keep = bool(own) and not own & covered
+        covered |= own if keep else set()
+        yield row, int(keep)
+
+
 def folded(df: DataFrame, lane: str, order: str, value: str, fold: Callable[[Iterable], Numbered], name: str = "batch") -> DataFrame:
     """The fold's number for each row of every lane in order: lane, order, value, name.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,8 +37,22 @@ CHAPTER_WORDS = ("chương", "chapter")
 SOUNDS = ("keng", "đinh", "tinh", "ting", "ầm", "rầm", "vù", "xoẹt", "két", "bốp", "chát")
 
 
-def opens(line: str, phrases: Sequence[Sequence[Sequence[str]]]) -> int:
+@lru_cache
+def _first_letters(phrases: tuple) -> frozenset[str]:
+    """What any of the phrases may start with."""
+    out = set()
+    for phrase in phrases:
+        for step in phrase:
+            out |= {w[0] for w in step if w}
+            if "" not in step:
+                break
+    return frozenset(out)
+
+
+def opens(line: str, phrases: tuple) -> int:
     """How much of the line the first phrase that it starts with takes, 0 for none; words end where letters and digits do."""
+    if line[:1].lower() not in _first_letters(phrases):
+        return 0
     low = line.lower()
     for phrase in phrases:
         ends = {0}
@@ -395,3 +409,72 @@ def gap_summary(found: DataFrame) -> DataFrame:
     """One row of counts, and whether to polish again. found: fragments, wrong terms, priority terms of each text (Q18)."""
     s = found.agg(F.count("*").alias("scanned"), F.count_if(F.col("fragments") > 0).alias("with_fragments"), F.coalesce(F.sum("terms"), F.lit(0)).alias("term_issues"), F.coalesce(F.sum("priority"), F.lit(0)).alias("priority_issues"))
     return s.withColumn("should_repolish", (F.col("with_fragments") > 0) | (F.col("priority_issues") > 0))
+
+
+# --- names and titles (T51, T53, T54, Z4, Z8) ---
+
+
+def without_affixes(c: Column, prefixes: Sequence[str], suffixes: Sequence[str] = ()) -> Column:
+    """Trimmed, without one of the prefixes and one of the suffixes, in any case."""
+    t = F.trim(c)
+    for words, cut in ((prefixes, lambda x, w: F.substring(x, len(w) + 1, 1 << 30)), (suffixes, lambda x, w: F.left(x, F.length(x) - len(w)))):
+        out, low = t, F.lower(t)
+        for w in reversed(words):
+            has = F.startswith(low, F.lit(w)) if words is prefixes else F.endswith(low, F.lit(w))
+            out = F.when(has, F.trim(cut(t, w))).otherwise(out)
+        t = out
+    return t
+
+
+def first_title(c: Column, patterns: Sequence[str], lines: int = 15) -> Column:
+    """What the first pattern's group finds in the first lines, trying patterns in order; null for none."""
+    head = F.slice(F.split(F.coalesce(c, F.lit("")), "\n"), 1, lines)
+
+    def first(p: str) -> Column:
+        return F.get(F.filter(F.transform(head, lambda x: F.trim(F.regexp_extract(x, p, 1))), lambda x: x != ""), F.lit(0))
+
+    return F.coalesce(*map(first, patterns))
+
+
+def alias_map(c: Column) -> Column:
+    """Lines such as - a, b = name as a map from each alias to the name; later lines win."""
+    lines = F.filter(F.split(F.coalesce(c, F.lit("")), "\n"), lambda x: F.contains(x, F.lit("=")))
+
+    def entries(x: Column) -> Column:
+        name = F.trim(F.substring_index(x, "=", -1))
+        own = F.filter(F.transform(F.split(F.regexp_replace(F.substring_index(x, "=", 1), r"^\s*-\s*", ""), ","), lambda a: F.trim(a)), lambda a: a != "")
+        return F.transform(own, lambda a: F.struct(a.alias("k"), name.alias("v")))
+
+    every = F.reverse(F.flatten(F.transform(lines, entries)))
+    keys = F.transform(every, lambda e: e["k"])
+    return F.map_from_entries(F.filter(every, lambda e, i: F.array_position(keys, e["k"]) == i + 1))
+
+
+def without_promotion(c: Column, patterns: Sequence[str]) -> Column:
+    """Lines that any pattern finds are dropped."""
+    return F.array_join(F.filter(F.split(c, "\n"), lambda x: ~x.rlike("|".join(f"(?:{p})" for p in patterns))), "\n")
+
+
+def relevant_seeds(texts: DataFrame, key: str, text: str, seeds: dict[str, str], own: Sequence[str]) -> DataFrame:
+    """key, term, canonical of the seed terms that a text holds, but for those the story's own glossary has."""
+    left = {k: v for k, v in seeds.items() if k.lower() not in {o.lower() for o in own}}
+    found = F.array(*[F.when(F.contains(F.lower(text), F.lit(k.lower())), F.struct(F.lit(k).alias("term"), F.lit(v).alias("canonical"))) for k, v in left.items()])
+    return texts.select(key, F.explode(F.array_compact(found)).alias("x")).select(key, "x.*")
+
+
+# --- words of the error tool (T46) ---
+
+# Marks that start no token.
+SKIPPED = "!,?、。！，；？：「」︰『』《》"
+
+
+def error_tokens(c: Column, ignored: Sequence[str] = (), case_sensitive: bool = False, keep_tags: bool = False) -> Column:
+    """Tokens as errors are counted: each letter without case by itself; else ASCII runs, of a tag up to its end, after any first character."""
+    ascii_run = r"[\x21-\x7E]*"
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(rf"(\p{{Lo}}|<[\x21-\x3D\x3F-\x7E]*>?|[^\s\p{{Zs}}\p{{Cn}}{SKIPPED}]{ascii_run})"), 1)
+    out = F.transform(found, lambda x: x if case_sensitive else F.upper(x))
+    if ignored:
+        out = F.filter(out, lambda x: ~x.isin(*ignored))
+    if not keep_tags:
+        out = F.filter(F.transform(out, lambda x: F.regexp_replace(x, "<[^>]*>?", "")), lambda x: x != "")
+    return out

@@ -162,3 +162,8 @@ def repair_choice(chapters: DataFrame, states: Sequence[str] = ("failed", "faile
     codes = F.transform(F.col("codes"), lambda c: F.substring_index(c, ":", 1))
     action = F.when(F.exists(codes, lambda c: c.isin("not_vietnamese", "cjk_not_translated", "output_too_short")), "retranslate").otherwise("repolish")
     return chapters.where(F.col("quality_status").isin(*states) & (F.size("codes") > 0)).withColumn("action", action)
+
+
+def pipeline_mode(story: Column, language: Column, known: Sequence[str] = ("polish_only", "translate_polish")) -> Column:
+    """A known mode of its own, else polishing alone for a Vietnamese source, else both."""
+    return F.when(story.isin(*known), story).when(F.lower(language) == "vi", "polish_only").otherwise("translate_polish")

@@ -126,3 +126,77 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     d = t.documents.where("text IS NOT NULL").select("doc_id", R.with_pronouns(F.col("text"), {"the": "that", "of": "from"}).alias("x"))
     return d.select("doc_id", "x.text", "x.replaced")
+
+
+@query("t53_without_affixes", "SELECT c_custkey, regexp_replace(c_name, '^Customer#0*', '') AS v FROM customer")
+def _(t: Tables) -> DataFrame:
+    name = F.concat(F.lit(" customer#"), F.regexp_replace("c_name", "^Customer#0*", ""), F.lit(" (Author) "))
+    return t.customer.select("c_custkey", R.without_affixes(name, ["client#", "customer#"], ["(author)"]).alias("v"))
+
+
+@query("t51_first_title", r"""SELECT doc_id, (list_filter(list_transform(string_split(coalesce(text, ''), chr(10))[1:15], lambda x: trim(regexp_extract(x, '(Licensed under .*)', 1))), lambda x: x <> ''))[1] AS title FROM documents""")
+def _(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", R.first_title(F.col("text"), ["(Licensed under .*)"]).alias("title"))
+
+
+@query("t54_aliases", "SELECT p_partkey, p_name AS a, p_type AS b, 3 AS n FROM part")
+def _(t: Tables) -> DataFrame:
+    text = F.concat(F.lit("# names\n- x, a = "), "p_type", F.lit("\n- a = "), "p_name", F.lit("\n b = "), "p_type")
+    return t.part.select("p_partkey", R.alias_map(text).alias("m")).select("p_partkey", F.col("m")["a"].alias("a"), F.col("m")["b"].alias("b"), F.size("m").alias("n"))
+
+
+@query("z4_without_promotion", "SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, 'Licensed under|[0-9]{6}')), chr(10)) AS v FROM documents")
+def _(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", R.without_promotion(F.col("text"), ["Licensed under", "[0-9]{6}"]).alias("v"))
+
+
+@query("z8_relevant_seeds", "SELECT doc_id, s.term, s.canonical FROM documents JOIN (VALUES ('Apache', 'A'), ('password', 'P')) s(term, canonical) ON contains(lower(text), lower(s.term))")
+def _(t: Tables) -> DataFrame:
+    return R.relevant_seeds(t.documents, "doc_id", "text", {"Apache": "A", "password": "P", "The": "T"}, ["the"])
+
+
+@query("t46_error_tokens", r"""SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '\p{Lo}|<[\x21-\x3D\x3F-\x7E]*>?|[^\s\p{Z}!,?、。！，；？：「」︰『』《》][\x21-\x7E]*'), lambda x: upper(x)) AS tokens FROM documents WHERE NOT contains(text, '<') AND regexp_full_match(text, '(?s)[\x09-\x7F]*')""")
+def _(t: Tables) -> DataFrame:
+    # tags and letters whose upper case differs between engines are in the tests
+    return t.documents.where(~F.contains("text", F.lit("<")) & F.col("text").rlike(r"^[\x09-\x7F]*$")).select("doc_id", R.error_tokens(F.col("text")).alias("tokens"))
+
+
+@query("t46_all_tokens")
+def _(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", R.error_tokens(F.col("text")).alias("tokens"))
+
+
+@query("a24_token_tallies")
+def _(t: Tables) -> DataFrame:
+    from tessera.operators.metrics import token_tallies
+    from tessera.plans.audit import pairs
+
+    d = pairs(t).select(F.slice(R.error_tokens(F.col("source")), 1, 1 << 20).alias("source"), R.error_tokens(F.col("output")).alias("output"))
+    return token_tallies(d, "source", "output")
+
+
+@query("x10_signal_statistics", """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE embedding IS NOT NULL)
+    SELECT vec_id, round(sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x)), 9) AS rms, list_max(list_transform(x, lambda v: abs(v))) AS peak, len(list_filter(x, lambda v: abs(v) >= 0.2)) / len(x) AS clipped, len(list_filter(x, lambda v: abs(v) < 0.01)) / len(x) AS silent FROM e""")
+def _(t: Tables) -> DataFrame:
+    from tessera.operators.metrics import signal_statistics
+
+    d = t.embeddings.where("embedding IS NOT NULL").select("vec_id", signal_statistics(F.col("embedding").cast("array<double>"), 0.2, 0.01).alias("s"))
+    return d.select("vec_id", F.round("s.rms", 9).alias("rms"), "s.peak", "s.clipped", "s.silent")
+
+
+@query("a28_glossary_merge", """WITH RECURSIVE d AS (SELECT p_brand, p_partkey, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part),
+    f AS (SELECT p_brand, p_partkey, rn, 1 AS kept, [p_name] AS covered FROM d WHERE rn = 1
+          UNION ALL SELECT d.p_brand, d.p_partkey, d.rn, (NOT list_contains(f.covered, d.p_name))::INTEGER, CASE WHEN list_contains(f.covered, d.p_name) THEN f.covered ELSE list_append(f.covered, d.p_name) END FROM f JOIN d ON d.p_brand = f.p_brand AND d.rn = f.rn + 1)
+    SELECT p_brand, p_partkey, kept::BIGINT AS kept FROM f""")
+def _(t: Tables) -> DataFrame:
+    from tessera.operators.batching import folded, uncovered_fold
+
+    d = t.part.select("p_brand", "p_partkey", F.array("p_name").alias("terms"))
+    return folded(d, "p_brand", "p_partkey", "terms", uncovered_fold, "kept").drop("terms")
+
+
+@query("z11_pipeline_mode", "SELECT doc_id, CASE WHEN source IN ('books', 'web') THEN source WHEN lower(lang) = 'vi' THEN 'polish_only' ELSE 'translate_polish' END AS mode FROM documents")
+def _(t: Tables) -> DataFrame:
+    from tessera.operators.stories import pipeline_mode
+
+    return t.documents.select("doc_id", pipeline_mode(F.col("source"), F.col("lang"), ["books", "web"]).alias("mode"))
