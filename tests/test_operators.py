@@ -18,6 +18,7 @@ from tessera.operators import metrics as M
 from tessera.operators import quality as Q
 from tessera.operators import reading
 from tessera.operators import relational as R
+from tessera.operators import stories
 
 
 def one(spark, column, **values):
@@ -295,3 +296,51 @@ def test_visible_text(spark):
     html = "<html><head><title> T </title><script>var x='</p>'</script></head><body><nav><a href='/n'>n</a></nav><p>One &amp; two<br>three</p><a href=\"/x\">l</a></body>"
     assert one(spark, S.visible_text(F.lit(html))) == "T One & two\n\nthree\n\nl"
     assert one(spark, S.links(F.lit(html))) == ["/n", "/x"] and one(spark, S.page_title(F.lit(html))) == "T"
+
+
+def test_token_tallies(spark):
+    rows = [(["a", "b", "c"], ["a", "x", "c", "d"]), (["a"], []), ([], ["d"]), (None, None), (["c", "c"], ["c"])]
+    got = {r.token: (r.cor, r["sub"], r["del"], r.ins) for r in M.token_tallies(spark.createDataFrame(rows, "t array<string>, h array<string>"), "t", "h").collect()}
+    assert got == {"a": (1, 0, 1, 0), "b": (0, 1, 0, 0), "c": (2, 0, 1, 0), "d": (0, 0, 0, 2)}
+
+
+@given(st.lists(st.sampled_from("abc"), max_size=12), st.lists(st.sampled_from("abc"), max_size=12))
+@settings(deadline=None)
+def test_steps_are_a_cheapest_alignment(x, y):
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        new = [i]
+        for j, b in enumerate(y, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    out = M.steps(x, y)
+    assert sum(what != "cor" for _, what in out) == row[-1]
+    assert [t for t, what in out if what != "ins"] == x and sum(what in ("cor", "sub", "ins") for _, what in out) == len(y)
+
+
+def test_signals(spark):
+    rng = np.random.default_rng(4)
+    once = rng.normal(size=3000)
+    lag, strength = M.repetition(np.concatenate([once, once, once]), 100.0)
+    assert lag == 30.0 and strength > 0.9
+    assert M.repetition(rng.normal(size=9000), 100.0)[1] < 0.35 and M.repetition(np.zeros(9000), 100.0) == (0.0, 0.0) == M.repetition(np.zeros(3), 100.0)
+    s = one(spark, M.signal_statistics(F.array(*map(F.lit, [0.0, 0.5, -1.0, 0.005]))))
+    assert (round(s.rms, 6), s.peak, s.clipped, s.silent) == (0.559023, 1.0, 0.25, 0.5)
+
+
+def test_error_tokens(spark):
+    assert one(spark, reading.error_tokens(F.lit("Hi, <noise>you 漢字x é!a"))) == ["HI,", "YOU", "漢", "字", "X", "É!A"]
+    assert one(spark, reading.error_tokens(F.lit("a <unk><noise> B"), ["<UNK>"], True, True)) == ["a", "<unk>", "<noise>", "B"]
+    assert one(spark, reading.error_tokens(F.lit(None).cast("string"))) == []
+
+
+def test_names_and_lists(spark):
+    assert one(spark, reading.alias_map(F.lit("# x\n- Bo, B = Bob\nBo = Bobby"))) == {"Bo": "Bobby", "B": "Bob"}
+    assert one(spark, reading.first_title(F.lit("x\nChapter 1: A\nTitle: B"), ["Title: (.*)", "Chapter 1: (.*)"])) == "B"
+    assert one(spark, reading.without_affixes(F.lit(" By Ann (author)"), ["by "], ["(author)"])) == "Ann"
+    assert one(spark, reading.foreign_fragments(F.lit("He met Old King in [Big House] near THE TOWN. Kim Young ran"), ["the", "town"], ["Kim", "Young"])) == ["Old King"]
+    x = one(spark, reading.with_pronouns(F.lit('he saw her\n"he said"\n he'), {"he": "they"}))
+    assert (x.text, x.replaced) == ('they saw her\n"he said"\n they', 2)
+    assert one(spark, stories.numbers_of(F.lit("3, 7-9,x, 8,5-4"))) == [3, 7, 8, 9]
+    assert one(spark, stories.string_list(F.lit('{"b": ["x", "x", ""]}'), ["a", "b"])) == ["x"]
+    assert [k for _, k in B.uncovered_fold(enumerate([["a", "b"], ["B"], ["c"], [], ["c", "d"]]))] == [1, 0, 1, 0, 0]
