@@ -3,6 +3,11 @@
 toxicity drops documents scored toxic; near_duplicates keeps the smallest doc_id of each group; decontamination drops
 documents that hold a benchmark item; secrets replaces what it finds by [SECRET]; packing cuts token ids into
 sequences. All but the last return the columns of documents.
+
+Null and blank texts pass every stage: they hold nothing toxic or secret and no item, have no near-duplicates, and pack
+to their end token alone. Rows of one doc_id count as one document, of which one row stays; rows without a doc_id stay.
+Without labels nothing is toxic, without items nothing contaminated; an empty table gives no sequences. Further columns of
+documents are carried to the last stage, whatever their names.
 """
 
 from __future__ import annotations
