@@ -356,7 +356,7 @@ def short_words(unit: str, most: int) -> list[str]:
 def foreign_fragments(c: Column, allowed: Sequence[str], names: Sequence[str] = ()) -> Column:
     """Runs of at least two capitalised or upper-case words outside brackets, each once; runs of allowed words or of names alone aren't any (Q16)."""
     masked = F.regexp_replace(F.coalesce(c, F.lit("")), r"\[[^\]]*\]", " | ")
-    found = F.concat(*[F.regexp_extract_all(masked, F.lit(rf"\b({w}(?: {w})+)\b"), 1) for w in ("[A-Z][a-z]+", "[A-Z]{2,}")])
+    found = F.concat(*[F.regexp_extract_all(masked, F.lit(rf"(?<![\p{{L}}\p{{M}}\p{{N}}_])({w}(?: {w})+)(?![\p{{L}}\p{{M}}\p{{N}}_])"), 1) for w in ("[A-Z][a-z]+", "[A-Z]{2,}")])
     few = F.array(*map(F.lit, allowed)) if allowed else F.array().cast("array<string>")
     known = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
 

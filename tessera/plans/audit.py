@@ -89,7 +89,7 @@ def _(t: Tables) -> DataFrame:
     f"""WITH {PAIRS_SQL}, p AS (SELECT conv_id, turn, replace(source, ' ', chr(10) || chr(10)) AS source, replace(output, '.', chr(10) || chr(10)) AS output FROM pairs), m AS (
         SELECT conv_id, turn, length(regexp_replace(output, '\\s+', '', 'g')) / nullif(length(regexp_replace(source, '\\s+', '', 'g')), 0) AS ratio, length(regexp_replace(source, '\\s+', '', 'g')) AS n,
                len(list_filter(regexp_split_to_array(source, '\\n\\s*\\n'), lambda x: length(trim(x, ' ')) > 0)) AS sp, len(list_filter(regexp_split_to_array(output, '\\n\\s*\\n'), lambda x: length(trim(x, ' ')) > 0)) AS tp FROM p)
-    SELECT conv_id, turn, CASE WHEN n >= 200 THEN list_filter([CASE WHEN ratio < 0.75 THEN 'length_ratio_low:' || printf('%.2f', ratio) || '<0.75' END, CASE WHEN sp >= 8 AND tp < sp * 0.3 THEN 'structure_drift:paragraphs:' || tp || '/' || sp END], lambda x: x IS NOT NULL) ELSE []::VARCHAR[] END AS codes FROM m""",
+    SELECT conv_id, turn, CASE WHEN n >= 200 THEN list_filter([CASE WHEN ratio < 0.75 THEN 'length_ratio_low:' || printf('%.2f', round(ratio, 2)) || '<0.75' END, CASE WHEN sp >= 8 AND tp < sp * 0.3 THEN 'structure_drift:paragraphs:' || tp || '/' || sp END], lambda x: x IS NOT NULL) ELSE []::VARCHAR[] END AS codes FROM m""",
 )
 def _(t: Tables) -> DataFrame:
     source, output = (F.replace(c, F.lit(mark), F.lit("\n\n")) for c, mark in (("source", " "), ("output", ".")))

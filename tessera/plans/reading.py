@@ -75,7 +75,7 @@ def _(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", R.priority_hints(F.col("text"), {"license": "licence", "the": "that", "of": "OF"}).alias("hints"))
 
 
-_FRAGMENTS_SQL = r"""f AS (SELECT doc_id, list_filter(list_concat(regexp_extract_all(m, '\b[A-Z][a-z]+(?: [A-Z][a-z]+)+\b'), regexp_extract_all(m, '\b[A-Z]{2,}(?: [A-Z]{2,})+\b')), lambda x: len(list_filter(string_split(lower(x), ' '), lambda w: w NOT IN ('the', 'is'))) > 0) AS every FROM (SELECT doc_id, regexp_replace(text, '\[[^\]]*\]', ' | ', 'g') AS m FROM documents))"""
+_FRAGMENTS_SQL = r"""f AS (SELECT doc_id, list_filter(list_concat(regexp_extract_all(m, '\b[A-Z][a-z]+(?: [A-Z][a-z]+)+\b'), regexp_extract_all(m, '\b[A-Z]{2,}(?: [A-Z]{2,})+\b')), lambda x: len(list_filter(string_split(lower(x), ' '), lambda w: w NOT IN ('the', 'is'))) > 0) AS every FROM (SELECT doc_id, regexp_replace(regexp_replace(text, '\[[^\]]*\]', ' | ', 'g'), '[A-Za-z0-9_À-ɏḀ-ỿ]*[À-ɏḀ-ỿ][A-Za-z0-9_À-ɏḀ-ỿ]*', '#', 'g') AS m FROM documents))"""
 
 
 @query("q16_foreign_fragments", f"WITH {_FRAGMENTS_SQL} SELECT doc_id, list_sort(list_distinct(every)) AS fragments FROM f")
