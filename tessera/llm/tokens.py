@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 import os
-import re
 import struct
 from functools import lru_cache
 
 #: Words whose ids a worker keeps, in each of two generations; longer words aren't kept.
 KEPT_WORDS, KEPT_LENGTH = 400_000, 40
 _MARKS = ".,!?;:"
-#: White space, by any library's reckoning, besides the space and the line end.
-_ODD_ASCII = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
-_ODD = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 #: From here on Python's letters may be newer than the tokenizer's.
 _RECENT = "\u0370"
 
@@ -63,10 +59,9 @@ class Encoder:
 
     def _pieces(self, text: str) -> bytes | None:
         """None for a text with other white space than single spaces and line ends between words."""
-        if any(c in text for c in _ODD_ASCII) or not text.isascii() and _ODD.search(text):
-            return None
         first, *rest = text.replace("\n", " \n").split(" ")
-        if not first or first[0] == "\n" or not all(rest) or "\n" in rest:
+        # all other white space, by any library's reckoning, is unprintable
+        if not first or first[0] == "\n" or "" in rest or "\n" in rest or not text.replace("\n", "").isprintable():
             return None
         if len(self.new) > KEPT_WORDS:
             self.old, self.new = self.new, _Known(self)
