@@ -114,7 +114,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:2]), *(pa.array(c, pa.list_(pa.int64())) for c in cols[2:])], ["f1", "doc", "s", "regs"])
 
-    return _texts(docs).join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id").select("doc_id", "text", "f1").mapInArrow(run, "f1 long, doc long, s array<long>, regs array<long>")
+    return _texts(docs).join(wanted.withColumnRenamed("doc", "doc_id").hint("merge"), "doc_id").select("doc_id", "text", "f1").mapInArrow(run, "f1 long, doc long, s array<long>, regs array<long>")
 
 
 class Held:
@@ -299,12 +299,14 @@ def groups(docs: DataFrame, *, shingle: int = 5, threshold: tuple[int, int] = (7
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each group of near-duplicates, that of the smallest doc_id; all columns stay.
 
+    The ids that stay grow with the table, so they are joined by sorting at every size.
+
     Of rows that repeat a doc_id one stays. Rows without a doc_id stay. An empty table gives an empty one.
     """
     found = groups(docs, **options)
     ids = written(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")), "kept")
     discard(found)
-    rows = docs.join(ids.where("n = 1").select("doc_id"), "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    rows = docs.join(ids.where("n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
     again = ids.where("n > 1").select("doc_id")
     if again.isEmpty():
         return rows
