@@ -37,7 +37,7 @@ DISGUISED = 0.3
 #: The SVM's costs of errors, and the sentences for which a clean string counts at most.
 TOXIC_COST, COST, MOST_TIMES = 50.0, 50.0, 20.0
 #: Bounds of what is learnt from: documents of either label, landmarks, strings of clean documents.
-PER_CLASS, LANDMARKS, NEGATIVES = 1200, 600, 16_000
+PER_CLASS, LANDMARKS, NEGATIVES = 1000, 600, 10_000
 THRESHOLD = 0.7
 #: Strings of a text that make its score.
 TOP = 3
@@ -238,7 +238,9 @@ def fit(rows: list[tuple[str, int]], totals: tuple[int, int] | None = None, seed
 
     Without both labels the model gives every text the share of toxic rows.
     """
-    pos, neg = [sentences(t) for t, y in rows if y], [sentences(t) for t, y in rows if not y]
+    same: dict[str, str] = {}  # each string is kept once
+    bags = lambda t: [{same.setdefault(w, w) for w in x} for x in sentences(t)]
+    pos, neg = [bags(t) for t, y in rows if y], [bags(t) for t, y in rows if not y]
     if not pos or not neg:
         share = (len(pos) + 0.5) / (len(rows) + 1)
         return Model(np.zeros(1 << 18), 0.0, 0.0, math.log((1 - share) ** (-1 / TOP) - 1))
