@@ -670,6 +670,38 @@ def test_odd_rows(spark):
     assert {r.doc_id for r in decontaminate.find(d, b).collect()} == {12, 13, 14}
 
 
+def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "a b"), (4, "a b"), (5, prose(20000)), (None, "no id"), (None, None)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    want = {(d, len(x) + 1) for (d, _), x in zip(rows, reference_ids([t for _, t in rows]), strict=True)}
+    assert {(r.doc_id, r.doc_tokens) for r in out} == want
+    assert sum(r.length for r in out) == sum(n for _, n in want)  # the repeated row counts once, both rows without an id stay
+    spark.createDataFrame([], SCHEMA).write.mode("overwrite").parquet(str(tmp_path / "empty" / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(str(tmp_path / f"{name}.parquet")).write.parquet(str(tmp_path / "empty" / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_classifiers_on_odd_texts(spark):
+    rows = [(d, prose(30) + (" vlorpane" if d % 4 == 0 else "")) for d in range(120)]
+    labels = spark.createDataFrame([(d, d % 2, int(d % 4 == 0)) for d, _ in rows], "doc_id long, quality int, toxic int")
+    odd_rows = [(1000, None), (1001, ""), (1002, "\n \t"), (1003, prose(100_000)), (1003, "again"), (None, "x"), (1004, "\ud83d\ude00 ... !!")]
+    docs = frame(spark, [*rows, *odd_rows])
+    for op in (toxicity, quality):
+        got = op.score(docs, op.train(docs, labels)).collect()
+        assert len(got) == len(rows) + len(odd_rows) and all(0 <= r.score <= 1 for r in got)
+        blank = {r.score for r in got if r.doc_id in (1000, 1001, 1002)}
+        assert len(blank) == 1
+    model = toxicity.train(docs, labels)
+    left = toxicity.clean(docs.withColumn("score", F.lit(1)), model)
+    assert "score" in left.columns and left.where("doc_id IS NULL OR doc_id >= 1000").count() == len(odd_rows)
+
+
 def test_pipeline_equals_brute_force(spark, tmp_path):
     import corpus_pipeline
 
