@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, decontaminate, neardup, packing, quality, secrets, sstable, substring, toxicity
+from tessera.llm import ann, chat, clustering, decontaminate, neardup, packing, quality, secrets, sstable, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -74,9 +78,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_sstable": op9_sstable,
     "op10_chat": op10_chat,
+    "op13_clustering": op13_clustering,
 }
 
+def clustering_sql(k: int = 16, rounds: int = 3, dim: int = 64, scale: int = 64) -> str:
+    """Rounds written out one after the other, every vector against every centroid."""
+    parts = [
+        f"""kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS j, v AS c FROM kept ORDER BY sha256('1:' || vec_id), v LIMIT {k})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+            SELECT r, vec_id, v, j, d FROM (SELECT r, vec_id, v, j, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept, c{i})
+            QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, j) = 1)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (
+            SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c
+            FROM (SELECT j, i, sum(x) AS s, count(*) AS n FROM (SELECT j, unnest(v) AS x, unnest(range({dim})) AS i FROM a{i}) GROUP BY j, i) GROUP BY j),
+        c{i + 1} AS MATERIALIZED (SELECT j, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (j))""")
+    return "WITH " + ",\n        ".join(parts) + f"""
+        SELECT vec_id, j::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY j))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} USING (j)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op13_clustering": clustering_sql(),
     "op7_ann": """
         WITH good AS (
             SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
