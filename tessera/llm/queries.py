@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, clustering, decontaminate, neardup, packing, quality, secrets, sstable, substring, toxicity
+from tessera.llm import ann, chat, clustering, collocations, decontaminate, neardup, packing, quality, secrets, sstable, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), longest=3, min_count=10, subsumed=(50, 100), top=2000)
+
+
 def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64)
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_sstable": op9_sstable,
     "op10_chat": op10_chat,
+    "op11_collocations": op11_collocations,
     "op13_clustering": op13_clustering,
 }
 
@@ -105,6 +110,26 @@ def clustering_sql(k: int = 16, rounds: int = 3, dim: int = 64, scale: int = 64)
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_collocations": r"""
+        WITH p AS (
+            SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        k AS MATERIALIZED (
+            SELECT lang, m, ph, count(*) AS f FROM (
+                SELECT lang, m, array_to_string(ws[i : i + m - 1], ' ') AS ph FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS m) WHERE len(ws) >= m))
+            GROUP BY lang, m, ph),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM k WHERE m = 1 GROUP BY lang),
+        c AS (SELECT lang, m, ph, f AS a, string_split(ph, ' ') AS ws FROM k WHERE m > 1 AND f >= 10),
+        cuts AS (
+            SELECT c.*, j, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+            FROM (SELECT c.*, unnest(range(1, m)) AS j FROM c) c
+            JOIN k x ON x.lang = c.lang AND x.m = j AND x.ph = array_to_string(ws[1 : j], ' ') JOIN k y ON y.lang = c.lang AND y.m = c.m - j AND y.ph = array_to_string(ws[j + 1 : c.m], ' ')),
+        best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, j) = 1),
+        over AS (SELECT lang, part, max(a) AS longer FROM (SELECT lang, a, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS part FROM c WHERE m = 3) GROUP BY lang, part)
+        SELECT lang, rank, ph AS phrase, a, l, r, n, score::BIGINT AS score FROM (
+            SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(ph)) AS rank
+            FROM best b LEFT JOIN over o ON o.lang = b.lang AND o.part = b.ph WHERE b.m = 3 OR o.longer IS NULL OR 100 * o.longer < 50 * a)
+        JOIN n USING (lang) WHERE rank <= 2000""",
     "op13_clustering": clustering_sql(),
     "op7_ann": """
         WITH good AS (
