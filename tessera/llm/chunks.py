@@ -81,12 +81,17 @@ def runs(keys: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list
     return [k[first] for k in keys], n
 
 
+def grouped(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each number that occurs in part, with its places, both ascending."""
+    if len(part):
+        order = np.argsort(part, kind="stable")
+        held, first = np.unique(part[order], return_index=True)
+        yield from zip(held.tolist(), np.split(order, first[1:]), strict=True)
+
+
 def dealt(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each part that has keys its number and their places, both ascending."""
-    part = (mix(keys) % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    held, first = np.unique(part[order], return_index=True)
-    yield from zip(held.tolist(), np.split(order, first[1:]), strict=True)
+    """For each part that has keys its number and their places."""
+    return grouped((mix(keys) % np.uint64(parts)).astype(np.int64))
 
 
 KEYED = "part int, n long, keys binary, columns binary"
@@ -109,9 +114,8 @@ def summed(entries: DataFrame, width: int) -> DataFrame:
     """KEYED with each key once, its columns added up over all entries (rows of KEYED)."""
 
     def run(t: pa.Table) -> pa.Table:
-        ns = t["n"].to_pylist()
-        keys = np.concatenate([unzipped(x, "<u8") for x, n in zip(t["keys"].to_pylist(), ns, strict=True)])
-        cols = np.concatenate([unzipped(x, "<f8") for x, n in zip(t["columns"].to_pylist(), ns, strict=True)]).reshape(-1, width)
+        keys = np.concatenate([unzipped(x, "<u8") for x in t["keys"].to_pylist()])
+        cols = np.concatenate([unzipped(x, "<f8") for x in t["columns"].to_pylist()]).reshape(-1, width)
         order = radix_order([keys])
         keys, cols = keys[order], cols[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -145,10 +149,17 @@ def answers(asked: DataFrame, keyed: DataFrame, width: int, kind: int, missing:
     return asked.groupBy("part").cogroup(keyed.groupBy("part")).applyInArrow(run, ANSWER)
 
 
-def put_back(t: pa.Table, kind: int, keys: np.ndarray, parts: int, width: int) -> np.ndarray:
+def indexed(t: pa.Table) -> dict[int, dict[int, bytes]]:
+    """A chunk's rows of ANSWER by kind and part."""
+    out: dict[int, dict[int, bytes]] = {}
+    for kind, part, columns in zip(*(t[c].to_pylist() for c in ("kind", "part", "columns")), strict=True):
+        out.setdefault(kind, {})[part] = columns
+    return out
+
+
+def put_back(got: dict[int, bytes], keys: np.ndarray, parts: int, width: int) -> np.ndarray:
     """The answers of one kind in the order of keys, which were asked for part by part."""
-    got = {p: unzipped(x, "<f8").reshape(-1, width) for p, k, n, x in zip(*(t[c].to_pylist() for c in ("part", "kind", "n", "columns")), strict=True) if k == kind}
     out = np.zeros((len(keys), width))
     for p, at in dealt(keys, parts):
-        out[at] = got[p]
+        out[at] = unzipped(got[p], "<f8").reshape(-1, width)
     return out

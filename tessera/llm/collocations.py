@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import CHUNK_WORDS, Numbering, chunk_number, runs, table, unzipped, zipped
+from tessera.llm.chunks import CHUNK_WORDS, Numbering, chunk_number, grouped, runs, table, unzipped, zipped
 from tessera.llm.runtime import discard, parts_for, release, tune, written
 
 #: Bytes of documents whose phrases meet in one task.
@@ -145,10 +145,7 @@ def _phrases(chunks: DataFrame, numbered: DataFrame, ranges: Ranges, longest: in
                 continue
             (pair, third), counts = runs([np.concatenate(x) for x in zip(*keys, strict=True)])
             first, second, third = known[pair >> np.uint64(32)], known[pair & np.uint64(0xFFFFFFFF)], known[third]
-            part = ranges.of(first, second)
-            order = np.argsort(part, kind="stable")
-            held, starts = np.unique(part[order], return_index=True)
-            for p, at in zip(held.tolist(), np.split(order, starts[1:]), strict=True):
+            for p, at in grouped(ranges.of(first, second)):
                 rows.append((p, *(zipped(x[at]) for x in (first, second, third)), zipped(counts[at].astype("<i8"))))
         return pa.Table.from_batches([table(rows, _ENTRY)])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, clustering, collocations, decontaminate, neardup, packing, quality, secrets, sstable, substring, toxicity
+from tessera.llm import ann, chat, clustering, collocations, decontaminate, katz, neardup, packing, quality, secrets, sstable, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"), longest=3, min_count=10, subsumed=(50, 100), top=2000)
 
 
+def op12_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    corpus = katz.Corpus(table(spark, sf_dir, "documents"), ~F.coalesce(held_out, F.lit(False)))
+    scored = katz.score(corpus, katz.train(corpus, order=3))
+    return scored.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64)
 
@@ -83,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sstable": op9_sstable,
     "op10_chat": op10_chat,
     "op11_collocations": op11_collocations,
+    "op12_katz": op12_katz,
     "op13_clustering": op13_clustering,
 }
 
