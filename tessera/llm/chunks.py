@@ -16,7 +16,6 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tessera.llm.words import mix
 
 #: Words of a chunk, give or take one document: some 20 MB of text. It bounds a task's memory.
 CHUNK_WORDS = 1 << 21
@@ -89,77 +88,138 @@ def grouped(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield from zip(held.tolist(), np.split(order, first[1:]), strict=True)
 
 
-def dealt(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each part that has keys its number and their places."""
-    return grouped((mix(keys) % np.uint64(parts)).astype(np.int64))
+def table(rows: Iterable[tuple], schema: str) -> pa.RecordBatch:
+    fields = [f.strip().split() for f in schema.split(",")]
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
+    cols = list(zip(*rows, strict=True)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(cols, fields, strict=True)], [n for n, _ in fields])
 
 
-KEYED = "part int, n long, keys binary, columns binary"
+# --- tables of 64-bit keys, which are hashes and so spread evenly: a part is a range of them ---
 
 
-def keyed_rows(keys: np.ndarray, columns: np.ndarray, parts: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-    """Rows of KEYED: columns is a matrix with a row of doubles for each key."""
-    for p, at in dealt(keys, parts):
-        yield p, len(at), zipped(keys[at]), zipped(columns[at])
+def planes(a: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first: what they have in common takes no room."""
+    a = np.ascontiguousarray(a)
+    return zipped(np.ascontiguousarray(a.view(np.uint8).reshape(a.size, a.itemsize).T)) if a.size else b""
 
 
-def table(rows: Iterable[tuple], schema: str) -> pa.RecordBatch:
-    fields = [f.strip().split() for f in schema.split(",")]
-    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string()}
-    cols = list(zip(*rows, strict=True)) or [[]] * len(fields)
-    return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(cols, fields, strict=True)], [n for n, _ in fields])
+def from_planes(data: bytes, dtype: str) -> np.ndarray:
+    if not data:
+        return np.zeros(0, dtype)
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(unzipped(data, "u1").reshape(size, -1).T).view(dtype).ravel()
 
 
-def summed(entries: DataFrame, width: int) -> DataFrame:
-    """KEYED with each key once, its columns added up over all entries (rows of KEYED)."""
+def packed_keys(ascending: np.ndarray) -> bytes:
+    return planes(np.diff(ascending, prepend=np.uint64(0)))
 
-    def run(t: pa.Table) -> pa.Table:
-        keys = np.concatenate([unzipped(x, "<u8") for x in t["keys"].to_pylist()])
-        cols = np.concatenate([unzipped(x, "<f8") for x in t["columns"].to_pylist()]).reshape(-1, width)
-        order = radix_order([keys])
-        keys, cols = keys[order], cols[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        return pa.Table.from_batches([table([(t["part"][0].as_py(), len(first), zipped(keys[first]), zipped(np.add.reduceat(cols, first, axis=0)))], KEYED)])
 
-    return entries.groupBy("part").applyInArrow(run, KEYED)
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, "<u8"), dtype=np.uint64)
+
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, each once, and for every place the number of its key."""
+    order = np.argsort(keys)
+    s = keys[order]
+    start = np.append(True, s[1:] != s[:-1])[: len(s)]
+    at = np.empty(len(s), np.int64)
+    at[order] = np.cumsum(start) - 1
+    return s[start], at
 
-ASKED = "part int, chunk long, n long, keys binary"
-ANSWER = "chunk long, part int, kind int, n long, columns binary"
 
+def cuts(ascending: np.ndarray, parts: int) -> list[tuple[int, slice]]:
+    """For each part that has keys its number and where they are."""
+    bounds = np.array([(p << 64) // parts for p in range(1, parts)], np.uint64)
+    at = [0, *np.searchsorted(ascending, bounds).tolist(), len(ascending)]
+    return [(p, slice(a, b)) for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
 
-def answers(asked: DataFrame, keyed: DataFrame, width: int, kind: int, missing: float = 0.0) -> DataFrame:
-    """ANSWER: for every row of ASKED the columns of its keys, in its order; `missing` where there are none."""
+
+#: Rows that a chunk sends: columns holds a matrix of doubles with a row for each key; without keys, numbers to be added to a tally.
+SENT = "part int, chunk long, keys binary, columns binary"
+#: What comes back: kind 0 for a table's own rows, 1 for an answer to a chunk, in the order of the keys it sent, 2 for a tally.
+BACK = "kind int, part int, chunk long, keys binary, columns binary"
+
+
+def sent(chunk: int, keys: np.ndarray, columns: np.ndarray, parts: int) -> list[tuple]:
+    """Rows of SENT. keys are ascending."""
+    return [(p, chunk, packed_keys(keys[at]), planes(columns[at].ravel())) for p, at in cuts(keys, parts)]
+
+
+def met(rows: DataFrame, width: int, answer, tally=None, keep: bool = True) -> DataFrame:
+    """BACK: where the rows of all chunks meet, part by part, equal keys are added up column by column.
+
+    answer(sums, chunks, at, columns) gives the table's columns, a row for each key, and the answers, a row for each that was
+    sent: sums and the number of chunks by key, the number of the key by row sent, and what was sent. tally(sums) gives numbers that are
+    added up over all parts. Without keep the table's own rows are left out.
+    """
+
+    def run(t: pa.Table) -> pa.Table:
+        part, more = t["part"][0].as_py(), 0.0
+        chunks, packed, columns = [], [], [np.zeros(0)]
+        for chunk, keys, values in zip(*(t[c].to_pylist() for c in ("chunk", "keys", "columns")), strict=True):
+            values = from_planes(values, "<f8")
+            if keys is None:
+                more = more + values
+            else:
+                chunks.append(chunk)
+                packed.append(unpacked_keys(keys))
+                columns.append(values)
+        columns = np.concatenate(columns).reshape(-1, width)
+        keys, at = distinct(np.concatenate([np.zeros(0, np.uint64), *packed]))
+        sums = np.column_stack([np.bincount(at, columns[:, i], len(keys)) for i in range(width)])
+        own, back = answer(sums, np.bincount(at, minlength=len(keys)), at, columns)
+        out, place = [], 0
+        if keep:
+            some = own.any(axis=1)
+            out.append((0, part, None, packed_keys(keys[some]), planes(own[some].ravel())))
+        for chunk, mine in zip(chunks, packed, strict=True):
+            out.append((1, part, chunk, None, planes(back[place : place + len(mine)].ravel())))
+            place += len(mine)
+        if tally:
+            out.append((2, part, None, None, planes(tally(sums) + more)))
+        return pa.Table.from_batches([table(out, BACK)])
+
+    return rows.groupBy("part").applyInArrow(run, BACK)
+
+
+def tallied(back: DataFrame, width: int) -> list[float]:
+    """The sum of all tallies of BACK."""
+
+    def run(batches):
+        for b in batches:
+            yield table([tuple(from_planes(x, "<f8").tolist()) for x in b.column(0).to_pylist()], schema)
+
+    schema = ", ".join(f"t{i} double" for i in range(width))
+    r = back.where("kind = 2").select("columns").mapInArrow(run, schema).groupBy().sum().first()
+    return [x or 0.0 for x in r]
+
+
+def looked_up(asked: DataFrame, kept: DataFrame, width: int, missing: float = 0.0) -> DataFrame:
+    """BACK, answers alone: for every row of SENT (columns are ignored) what a table's rows (kind 0 of BACK) have for its keys."""
 
     def run(q: pa.Table, t: pa.Table) -> pa.Table:
-        keys, cols = np.zeros(0, np.uint64), np.zeros((0, width))
+        keys, columns = np.zeros(0, np.uint64), np.zeros((0, width))
         if t.num_rows:
-            keys, cols = unzipped(t["keys"][0].as_py(), "<u8"), unzipped(t["columns"][0].as_py(), "<f8").reshape(-1, width)
+            keys, columns = unpacked_keys(t["keys"][0].as_py()), from_planes(t["columns"][0].as_py(), "<f8").reshape(-1, width)
         rows = []
-        for part, chunk, n, mine in zip(*(q[c].to_pylist() for c in ("part", "chunk", "n", "keys")), strict=True):
-            mine = unzipped(mine, "<u8")
-            out = np.full((n, width), missing)
+        for part, chunk, mine in zip(*(q[c].to_pylist() for c in ("part", "chunk", "keys")), strict=True):
+            mine = unpacked_keys(mine)
+            out = np.full((len(mine), width), missing)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
                 hit = keys[at] == mine
-                out[hit] = cols[at[hit]]
-            rows.append((chunk, part, kind, n, zipped(out)))
-        return pa.Table.from_batches([table(rows, ANSWER)])
-
-    return asked.groupBy("part").cogroup(keyed.groupBy("part")).applyInArrow(run, ANSWER)
+                out[hit] = columns[at[hit]]
+            rows.append((1, part, chunk, None, planes(out.ravel())))
+        return pa.Table.from_batches([table(rows, BACK)])
 
-
-def indexed(t: pa.Table) -> dict[int, dict[int, bytes]]:
-    """A chunk's rows of ANSWER by kind and part."""
-    out: dict[int, dict[int, bytes]] = {}
-    for kind, part, columns in zip(*(t[c].to_pylist() for c in ("kind", "part", "columns")), strict=True):
-        out.setdefault(kind, {})[part] = columns
-    return out
+    return asked.groupBy("part").cogroup(kept.groupBy("part")).applyInArrow(run, BACK)
 
 
-def put_back(got: dict[int, bytes], keys: np.ndarray, parts: int, width: int) -> np.ndarray:
-    """The answers of one kind in the order of keys, which were asked for part by part."""
+def received(answers: dict[int, bytes], keys: np.ndarray, parts: int, width: int) -> np.ndarray:
+    """A chunk's answers by part as one matrix, with a row for each of the keys it sent."""
     out = np.zeros((len(keys), width))
-    for p, at in dealt(keys, parts):
-        out[at] = unzipped(got[p], "<f8").reshape(-1, width)
+    for p, at in cuts(keys, parts):
+        out[at] = from_planes(answers[p], "<f8").reshape(-1, width)
     return out

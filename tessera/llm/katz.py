@@ -6,11 +6,12 @@ renormalised Good-Turing ratio below. bow(h) is what the seen words of h leave o
 shorter history's distribution, both from sums over all words seen after h. A history whose words are all too frequent to
 be discounted is counted once more, so it too leaves something.
 
-Texts become chunks of word numbers once. n-grams are counted inside a chunk, then added up in parts of a table by 64-bit
-keys of the word sequence (KEYS below). What a chunk needs - counts of its words, counts of its n-grams, weights of its
-histories - it asks of these tables and then evaluates every token by itself.
+Texts become chunks of word numbers once. Each order takes two meetings of chunks, where their sorted keys (64-bit hashes of word
+sequences) are added up in parts of a table and answered to every chunk that sent them: one for counts, one for histories.
+What no other chunk holds is never sent: an n-gram whose first words occur in one chunk alone is counted there, and so is such a
+history; an n-gram after a history that was never learnt has count 0. The tables' own rows are the model.
 
-KEYS: words and n-grams are told apart by 64-bit hashes; n different ones make about n * n / 2^65 pairs of equal keys, 0.003 of a
+Words and n-grams are told apart by their keys; n different ones make about n * n / 2^65 pairs of equal keys, 0.003 of a
 pair for 3 * 10^8 words. Such a pair shares its count.
 """
 
@@ -18,10 +19,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import ANSWER, ASKED, CHUNK_WORDS, KEYED, Numbering, answers, chunk_number, dealt, indexed, keyed_rows, put_back, summed, table, unzipped, zipped
+from tessera.llm.chunks import BACK, CHUNK_WORDS, SENT, chunk_number, distinct, from_planes, looked_up, met, planes, received, sent, table, tallied
 from tessera.llm.runtime import discard, parts_for, release, tune, written
 from tessera.llm.words import hashes, joined, mix
 
@@ -31,78 +33,104 @@ FREQUENT = 5
 PART_BYTES = 4 << 20
 #: Stand for the end and the start of a text; words hold no white space.
 END, START = b"\n", b"\t"
-_START = hashes([START])[0]
 _CHUNK = "chunk long, ids binary, known binary, learnt binary, lengths binary, hashes binary, numbers binary"
-#: Of a history: c(h), how many n-grams it begins with count 1 to FREQUENT, the sum of the shorter history's P over words seen.
-_STATS = 2 + FREQUENT
+#: Of a history: how many n-grams it begins with count 1 to FREQUENT, the sum of the shorter history's P over words seen, and whether a chunk needs bow.
+_STATS = FREQUENT + 2
 #: Kinds of answers, to which the order is added.
-GRAMS, WEIGHTS = 0, 100
+COUNTS, WEIGHTS = 0, 100
+_TAGGED = "tag int, " + BACK
+
+
+# --- documents ---
+
+
+def _chunks(docs: DataFrame, learnt: Column) -> DataFrame:
+    def closed(k: int, ids: list, learning: list, texts: list[pa.Array]) -> pa.RecordBatch:
+        pieces = pc.ascii_split_whitespace(pc.ascii_lower(pa.chunked_array(texts).combine_chunks()))
+        words, ends = pieces.flatten(), np.asarray(pieces.offsets)[1:] - pieces.offsets[0].as_py()
+        full = np.asarray(pc.not_equal(words, ""))
+        ends = np.append(0, np.cumsum(full))[ends]
+        e = words.filter(pa.array(full)).dictionary_encode()
+        known = e.dictionary.cast(pa.binary()).to_pylist()
+        numbers = np.insert(np.asarray(e.indices).astype(np.uint32), ends, len(known))
+        lengths = np.diff(ends, prepend=0) + 1
+        row = (
+            chunk_number(k), planes(np.array([i or 0 for i in ids], "<i8")), planes(np.array([i is not None for i in ids], bool)), planes(np.array(learning, bool)),
+            planes(lengths.astype("<i8")), planes(hashes([*known, END, START])), planes(numbers.astype("<u4")),
+        )
+        return table([row], _CHUNK)
+
+    def run(batches):
+        k, ids, learning, texts, size = 0, [], [], [], 0
+        for b in batches:
+            # a batch is cut so that a chunk holds about CHUNK_WORDS words, of seven characters or so
+            for text in [b.slice(i, 100) for i in range(0, b.num_rows, 100)]:
+                ids += text.column(0).to_pylist()
+                learning += text.column(1).to_pylist()
+                texts.append(text.column(2))
+                size += pc.sum(pc.binary_length(text.column(2))).as_py() or 0
+                if size >= 7 * CHUNK_WORDS:
+                    yield closed(k, ids, learning, texts)
+                    k, ids, learning, texts, size = k + 1, [], [], [], 0
+        if ids:
+            yield closed(k, ids, learning, texts)
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), learnt.alias("learnt"), text.alias("text")).mapInArrow(run, _CHUNK)
 
 
 class Tokens:
-    """A chunk: documents, and the hash of every token."""
+    """A chunk: documents, and for each order the distinct keys of its n-grams and which of them ends at every token."""
 
     def __init__(self, row: dict):
-        self.ids, self.known = unzipped(row["ids"], "<i8"), unzipped(row["known"], "?")
-        self.learnt = unzipped(row["learnt"], "?")
-        self.lengths = unzipped(row["lengths"], "<i8")
-        self.numbers = unzipped(row["numbers"], "<u4").astype(np.int64)
-        self.words = unzipped(row["hashes"], "<u8")
-        self.hash = self.words[self.numbers]
+        self.ids, self.known = from_planes(row["ids"], "<i8"), from_planes(row["known"], "?")
+        self.learnt, self.lengths = from_planes(row["learnt"], "?"), from_planes(row["lengths"], "<i8")
+        numbers, words = from_planes(row["numbers"], "<u4").astype(np.int64), from_planes(row["hashes"], "<u8")
+        order = np.argsort(words)
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        self.start = int(rank[-1])
         first = np.cumsum(self.lengths) - self.lengths
-        self.place = np.arange(len(self.hash)) - np.repeat(first, self.lengths)
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.learning = self.learnt[self.doc]
-        self._keys = {1: self.hash}
-
-    def exists(self, n: int) -> np.ndarray:
-        """Where an n-gram ends: at every token for words and pairs (a pair may begin with the start), then from the n-1st on."""
-        return self.place >= n - 2
+        self.place = np.arange(len(numbers)) - np.repeat(first, self.lengths)
+        self.learning = np.repeat(self.learnt, self.lengths)
+        self.levels = {1: (words[order], rank[numbers])}
+
+    def level(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of n-grams, and for each token the number of its key, or -1: a pair may begin with the start, longer ones need n - 1 words."""
+        if n not in self.levels:
+            keys, _ = self.level(n - 1)
+            before = self.before(n)
+            at = np.flatnonzero(before >= 0)
+            words, number = self.levels[1]
+            found, where = distinct(joined(mix(keys[before[at]] + np.uint64(n)), words[number[at]]))
+            out = np.full(len(self.place), -1)
+            out[at] = where
+            self.levels[n] = (found, out)
+        return self.levels[n]
 
-    def histories(self, n: int) -> np.ndarray:
-        """Keys of what stands before each token in its n-gram; 0 where there is no n-gram."""
-        shorter = self.keys(n - 1)
-        h = np.append(np.uint64(0), shorter[:-1])
+    def before(self, n: int) -> np.ndarray:
+        """For each token the number of its history among the keys of order n - 1, or -1."""
+        out = np.append(-1, self.level(n - 1)[1])[:-1]
         if n == 2:
-            h[self.place == 0] = _START
-        return np.where(self.exists(n), mix(h + np.uint64(n)), np.uint64(0))
-
-    def keys(self, n: int) -> np.ndarray:
-        if n not in self._keys:
-            self._keys[n] = joined(self.histories(n), self.hash)
-        return self._keys[n]
-
+            out[self.place == 0] = self.start
+        else:
+            out[self.place < n - 2] = -1
+        return out
 
-def _chunks(docs: DataFrame, learnt: Column) -> DataFrame:
-    def run(batches):
-        k, words, ids, learning, lengths = 0, Numbering(), [], [], []
+    def spread(self, n: int, of_token: np.ndarray) -> np.ndarray:
+        """For each key of order n what one of its tokens has."""
+        keys, at = self.level(n)
+        out = np.zeros(len(keys), of_token.dtype)
+        out[at[at >= 0]] = of_token[at >= 0]
+        return out
 
-        def close():
-            nonlocal k, words, ids, learning, lengths
-            row = (
-                chunk_number(k), zipped(np.array([i or 0 for i in ids], "<i8")), zipped(np.array([i is not None for i in ids], bool)), zipped(np.array(learning, bool)),
-                zipped(np.array(lengths, "<i8")), zipped(hashes(list(words.of))), zipped(words.numbers()),
-            )
-            k, words, ids, learning, lengths = k + 1, Numbering(), [], [], []
-            return table([row], _CHUNK)
+    def occurrences(self, n: int) -> np.ndarray:
+        """How often each key of order n occurs in learnt documents of this chunk."""
+        keys, at = self.level(n)
+        return np.bincount(at[self.learning & (at >= 0)], minlength=len(keys))
 
-        for b in batches:
-            all_ = []
-            for text in b.column(2).to_pylist():
-                ws = text.lower().split()
-                ws.append(END)
-                lengths.append(len(ws))
-                all_ += ws
-            ids += b.column(0).to_pylist()
-            learning += b.column(1).to_pylist()
-            words.add(all_)
-            if words.n >= CHUNK_WORDS:
-                yield close()
-        if ids:
-            yield close()
 
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), learnt.alias("learnt"), text.alias("text")).mapInArrow(run, _CHUNK)
+# --- the model's numbers ---
 
 
 def discounts(of: list[float]) -> np.ndarray:
@@ -140,117 +168,126 @@ class Words:
         return np.where(counts > 0, discounted(counts, self.d) / self.total, self.unknown)
 
 
-def weights(stats: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """(bow, denominator) of histories from their _STATS, whose numbers of n-grams are sums of shares and so rounded."""
+def left_over(stats: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Of histories, from their _STATS: what discounts leave of the counts (0: nothing), and 1 less the shorter history's P over words seen."""
     r = np.arange(1, FREQUENT + 1)
-    left = (np.rint(stats[:, 1 : 1 + FREQUENT]) * r * (1 - d[r])).sum(1)
-    total = np.where(left > 0, stats[:, 0], stats[:, 0] + 1)
-    left = np.where(left > 0, left, 1.0)
-    return np.column_stack([left / total / np.maximum(1 - stats[:, -1], 1e-300), total])
+    left = (np.rint(stats[:, :FREQUENT]) * r * (1 - d[r])).sum(1)
+    return np.column_stack([left, np.maximum(1 - stats[:, FREQUENT], 1e-300)])
 
 
 class Levels:
-    """A chunk's probabilities by order, from the answers it has."""
+    """A chunk's counts and probabilities by order, from the answers it has had."""
+
+    def __init__(self, row: dict, got: pa.Table, model: Known):
+        self.t, self.m = Tokens(row), model
+        self.got: dict[int, dict[int, bytes]] = {}
+        for tag, part, columns in zip(*(got[c].to_pylist() for c in ("tag", "part", "columns")), strict=True):
+            self.got.setdefault(tag, {})[part] = columns
+        self.counted, self.weighed, self.chances = {}, {}, {}
+
+    def counts(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each key of order n how often it was learnt anywhere, and whether other chunks hold it too."""
+        if n not in self.counted:
+            keys, _ = self.t.level(n)
+            count, shared = np.zeros(len(keys)), np.zeros(len(keys), bool)
+            asked = self.asked(n)
+            alone = self.after_alone(n) if n > 1 else np.zeros(len(keys), bool)
+            count[alone] = self.t.occurrences(n)[alone]
+            a = received(self.got.get(COUNTS + n, {}), keys[asked], self.m.parts, 2)
+            count[asked], shared[asked] = a[:, 0], (a[:, 1] > 0) | self.m.keep
+            self.counted[n] = count, shared
+        return self.counted[n]
+
+    def _history(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each key of order n its history's count and whether that is shared; the start counts as learnt and shared."""
+        count, shared = self.counts(n - 1)
+        if n == 2:
+            count, shared = count.copy(), shared.copy()
+            count[self.t.start], shared[self.t.start] = 1, True
+        of = self.t.spread(n, self.t.before(n))
+        return count[of], shared[of]
 
-    def __init__(self, row: dict, got: pa.Table, words: Words, ds: list[np.ndarray], parts: int):
-        self.t, self.got, self.w, self.ds, self.parts = Tokens(row), indexed(got), words, ds, parts
-        self.count = {}
+    def after_alone(self, n: int) -> np.ndarray:
+        return ~self._history(n)[1]
 
-    def counts(self, n: int) -> np.ndarray:
-        """How often the n-gram that ends at each token was learnt."""
-        if n not in self.count:
-            if n == 1:
-                self.count[1] = put_back(self.got[GRAMS + 1], self.t.words, self.parts, 1)[self.t.numbers, 0]
-            else:
-                keys, of = self.wanted(n)
-                out = np.zeros(len(self.t.hash))
-                if len(keys):
-                    out[of >= 0] = put_back(self.got[GRAMS + n], keys, self.parts, 1)[of[of >= 0], 0]
-                self.count[n] = out
-        return self.count[n]
+    def asked(self, n: int) -> np.ndarray:
+        """Keys of order n that other chunks may hold: those with a learnt history that is shared."""
+        if n == 1:
+            return np.ones(len(self.t.level(1)[0]), bool)
+        count, shared = self._history(n)
+        return (count > 0) & shared
 
-    def before(self, n: int) -> np.ndarray:
-        """How often the history of each token's n-gram was learnt; starts count as learnt."""
-        c = np.append(0.0, self.counts(n - 1)[:-1])
+    def histories(self, n: int) -> np.ndarray:
+        """For each key of order n - 1 its _STATS from this chunk: n-grams by this chunk's share of their occurrences."""
+        t = self.t
+        keys, _ = t.level(n - 1)
+        before = t.before(n)
+        of = t.spread(n, before)
+        count, here = self.counts(n)[0], t.occurrences(n)
+        share = here / np.maximum(count, 1)
+        out = np.zeros((len(keys), _STATS))
+        for r in range(1, FREQUENT + 1):
+            some = count == r
+            out[:, r - 1] = np.bincount(of[some], share[some], len(keys))
+        out[:, FREQUENT] = np.bincount(of, share * t.spread(n, self.p(n - 1)), len(keys))
+        out[:, FREQUENT + 1] = np.bincount(of[count == 0], minlength=len(keys)) > 0
+        return out
+
+    def sent_histories(self, n: int) -> np.ndarray:
+        """Keys of order n - 1 whose weights others need or know: shared, learnt, and before something here."""
+        t, (count, shared) = self.t, self.counts(n - 1)
+        begins = np.zeros(len(count), bool)
+        before = t.before(n)
+        begins[before[before >= 0]] = True
+        chosen = begins & (count > 0) & shared
         if n == 2:
-            c[self.t.place == 0] = 1
-        return np.where(self.t.exists(n), c, 0)
-
-    def wanted(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of n-grams that can have been learnt, each once, and for every token the number of its key or -1."""
-        may = (self.before(n) > 0) & (self.counts(n - 1) > 0)
-        keys, at = np.unique(self.t.keys(n)[may], return_inverse=True)
-        of = np.full(len(may), -1)
-        of[may] = at
-        return keys, of
-
-    def asked_histories(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        may = self.before(n) > 0
-        keys, at = np.unique(self.t.histories(n)[may], return_inverse=True)
-        of = np.full(len(may), -1)
-        of[may] = at
-        return keys, of
+            chosen[t.start] = True
+        return chosen
+
+    def weights(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each key of order n - 1 its bow (where a chunk has no unknown n-gram after it, any number) and its denominator."""
+        if n not in self.weighed:
+            keys, _ = self.t.level(n - 1)
+            left = left_over(self.histories(n), self.m.ds[n - 1])
+            chosen = self.sent_histories(n)
+            left[chosen] = received(self.got.get(WEIGHTS + n, {}), keys[chosen], self.m.parts, 2)
+            count = self.counts(n - 1)[0].copy()
+            if n == 2:
+                count[self.t.start] = self.m.starts
+            total = np.where(left[:, 0] > 0, count, count + 1)
+            bow = np.where(left[:, 0] > 0, left[:, 0], 1.0) / total / np.maximum(left[:, 1], 1e-300)
+            self.weighed[n] = np.where(count > 0, bow, 1.0), total
+        return self.weighed[n]
 
     def p(self, n: int) -> np.ndarray:
         """P of each token after up to n - 1 others."""
-        if n == 1:
-            return self.w.p(self.counts(1))
-        shorter, c = self.p(n - 1), self.counts(n)
-        keys, of = self.asked_histories(n)
-        w = np.ones((len(c), 2))
-        if len(keys):
-            w[of >= 0] = put_back(self.got[WEIGHTS + n], keys, self.parts, 2)[of[of >= 0]]
-        return np.where(c > 0, discounted(c, self.ds[n - 1]) / w[:, 1], w[:, 0] * shorter)
-
-
-def _with_answers(chunks: DataFrame, got: DataFrame | None, run, schema: str) -> DataFrame:
-    """run(row, answers) gives rows for each chunk."""
-    empty = table([], ANSWER)
-
-    def one(t: pa.Table, a: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([table([r for row in t.to_pylist() for r in run(row, a)], schema)])
-
-    if got is None:
-
-        def plain(batches):
-            for b in batches:
-                yield table([r for row in b.to_pylist() for r in run(row, pa.Table.from_batches([empty]))], schema)
-
-        return chunks.mapInArrow(plain, schema)
-    return chunks.groupBy("chunk").cogroup(got.groupBy("chunk")).applyInArrow(one, schema)
-
-
-def _tallies(counts: DataFrame) -> tuple[int, int, list[float]]:
-    """Of a table of counts their sum, how many keys there are, and how many of count 1 to FREQUENT + 1."""
-
-    def run(batches):
-        for b in batches:
-            rows = []
-            for columns in b.column(0).to_pylist():
-                c = unzipped(columns, "<f8").astype(np.int64)
-                rows.append((int(c.sum()), int((c > 0).sum()), *(int((c == r).sum()) for r in range(1, FREQUENT + 2))))
-            yield table(rows, schema)
+        if n not in self.chances:
+            _, at = self.t.level(n)
+            count = np.append(self.counts(n)[0], 0)[at]
+            if n == 1:
+                self.chances[1] = self.m.words.p(count)
+            else:
+                bow, total = (np.append(x, 1.0)[self.t.before(n)] for x in self.weights(n))
+                self.chances[n] = np.where(count > 0, discounted(count, self.m.ds[n - 1]) / total, bow * self.p(n - 1))
+        return self.chances[n]
 
-    schema = ", ".join(f"{c} long" for c in ("total", "kinds", *(f"n{r}" for r in range(1, FREQUENT + 2))))
-    r = counts.select("columns").mapInArrow(run, schema).groupBy().sum().first()
-    total, kinds, *of = (int(x or 0) for x in r)
-    return total, kinds, [float(x) for x in of]
 
+class Known:
+    """The few numbers of a model that every chunk needs; with keep nothing is left to a chunk alone."""
 
-def _asked(parts: int, keys: np.ndarray, chunk: int):
-    return [(p, chunk, len(at), zipped(keys[at])) for p, at in dealt(keys, parts)]
+    def __init__(self, parts: int, keep: bool):
+        self.parts, self.keep, self.words, self.starts = parts, keep, Words(0, 0, [0.0] * (FREQUENT + 1)), 0
+        #: discounts by order, less one
+        self.ds: list[np.ndarray] = []
 
 
 class Model:
-    """Tables of a fitted model: by order the counts of n-grams (words are order 1) and the weights of their histories."""
+    """Tables of a fitted model (rows of kind 0): by order the counts of n-grams (words are order 1) and what histories leave over."""
 
-    def __init__(self, order: int, parts: int):
-        self.order, self.parts = order, parts
-        self.words: Words | None = None
+    def __init__(self, order: int, parts: int, keep: bool):
+        self.order, self.known = order, Known(parts, keep)
         self.counts: dict[int, DataFrame] = {}
         self.weights: dict[int, DataFrame] = {}
-        #: discounts by order, less one
-        self.ds: list[np.ndarray] = []
 
     def discard(self) -> None:
         discard(*self.counts.values(), *self.weights.values())
@@ -266,102 +303,101 @@ class Corpus:
         self.chunks = written(_chunks(docs, F.lit(False) if learnt is None else F.coalesce(learnt, F.lit(False))), "lm-chunks")
         self.answers: dict[int, DataFrame] = {}
 
-    def got(self) -> DataFrame | None:
-        out = None
-        for a in self.answers.values():
-            out = a if out is None else out.unionByName(a)
-        return out
+    def each(self, run, schema: str) -> DataFrame:
+        """run(row, answers) gives rows for each chunk; answers has a tag, part and columns."""
+        empty = pa.Table.from_batches([table([], _TAGGED)])
+        got = None
+        for tag, a in self.answers.items():
+            a = a.where("kind = 1").select(F.lit(tag).alias("tag"), "chunk", "part", "columns")
+            got = a if got is None else got.unionByName(a)
+
+        def one(t: pa.Table, a: pa.Table) -> pa.Table:
+            return pa.Table.from_batches([table([r for row in t.to_pylist() for r in run(row, a)], schema)])
+
+        def plain(batches):
+            for b in batches:
+                yield table([r for row in b.to_pylist() for r in run(row, empty)], schema)
+
+        if got is None:
+            return self.chunks.mapInArrow(plain, schema)
+        return self.chunks.groupBy("chunk").cogroup(got.groupBy("chunk")).applyInArrow(one, schema)
 
     def discard(self) -> None:
         discard(self.chunks, *self.answers.values())
 
 
-def _ask(corpus: Corpus, model: Model, kind: int, n: int) -> None:
-    """Lets every chunk ask for the counts of its n-grams or the weights of their histories, if it hasn't yet."""
-    if kind + n in corpus.answers:
-        return
-    words, ds, parts = model.words, list(model.ds), model.parts
+def _tally(counts: np.ndarray, texts: int = 0) -> np.ndarray:
+    """Occurrences, kinds, texts, and how many kinds of count 1 to FREQUENT + 1."""
+    return np.array([counts.sum(), (counts > 0).sum(), texts, *((counts == r).sum() for r in range(1, FREQUENT + 2))], float)
 
-    def run(row, a):
-        if n == 1:
-            return _asked(parts, unzipped(row["hashes"], "<u8"), row["chunk"])
-        at = Levels(row, a, words, ds, parts)
-        return _asked(parts, (at.asked_histories(n) if kind == WEIGHTS else at.wanted(n))[0], row["chunk"])
 
-    asked = _with_answers(corpus.chunks, corpus.got(), run, ASKED)
-    a = answers(asked, model.weights[n], 2, WEIGHTS + n, missing=1.0) if kind == WEIGHTS else answers(asked, model.counts[n], 1, GRAMS + n)
-    corpus.answers[kind + n] = written(a, f"lm-answers{kind + n}")
+def _sent_counts(corpus: Corpus, model: Known, n: int) -> DataFrame:
+    """SENT: how often each chunk's n-grams occur there, also n-grams of documents that don't count, which want an answer; and a tally of those not sent."""
 
+    def run(row, a):
+        at = Levels(row, a, model)
+        asked, here = at.asked(n), at.t.occurrences(n)
+        return [(row["chunk"] % model.parts, row["chunk"], None, planes(_tally(here[~asked], int(at.t.learnt.sum())))), *sent(row["chunk"], at.t.level(n)[0][asked], here[asked, None].astype("<f8"), model.parts)]
 
-def _counted(chunks: DataFrame, n: int, parts: int) -> DataFrame:
-    """KEYED: counts of the n-grams of learnt documents."""
+    return corpus.each(run, SENT)
 
-    def run(row, _):
-        t = Tokens(row)
-        if n == 1:
-            keys, c = t.words, np.bincount(t.numbers[t.learning], minlength=len(t.words))
-            keys, c = keys[c > 0], c[c > 0]
-        else:
-            keys, c = np.unique(t.keys(n)[t.learning & t.exists(n)], return_counts=True)
-        return list(keyed_rows(keys, c[:, None].astype("<f8"), parts))
 
-    return written(summed(_with_answers(chunks, None, run, KEYED), 1), f"lm-counts{n}")
+def _sent_histories(corpus: Corpus, model: Known, n: int) -> DataFrame:
+    def run(row, a):
+        at = Levels(row, a, model)
+        chosen = at.sent_histories(n)
+        return sent(row["chunk"], at.t.level(n - 1)[0][chosen], at.histories(n)[chosen], model.parts)
 
+    return corpus.each(run, SENT)
 
-def _statistics(corpus: Corpus, model: Model, n: int) -> DataFrame:
-    """KEYED by history: _STATS. A chunk knows how often each of its n-grams occurs everywhere, and puts in the share that it holds itself."""
-    words, ds, parts = model.words, list(model.ds), model.parts
 
-    def run(row, a):
-        at = Levels(row, a, words, ds, parts)
-        t = at.t
-        keys, of = at.wanted(n)
-        mine = np.flatnonzero((of >= 0) & t.learning)
-        if not len(mine):
-            return []
-        _, first, here = np.unique(of[mine], return_index=True, return_counts=True)
-        first = mine[first]
-        c = at.counts(n)[first]
-        share = here / c
-        stats = np.zeros((len(first), _STATS))
-        stats[:, 0] = here
-        for r in range(1, FREQUENT + 1):
-            stats[c == r, r] = share[c == r]
-        stats[:, -1] = share * at.p(n - 1)[first]
-        histories, back = np.unique(t.histories(n)[first], return_inverse=True)
-        sums = np.column_stack([np.bincount(back, stats[:, i], len(histories)) for i in range(_STATS)])
-        return list(keyed_rows(histories, sums, parts))
+def _counted(sums: np.ndarray, chunks: np.ndarray, at: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(count, 1) for the table, (count, whether several chunks hold it) for chunks."""
+    return np.column_stack([sums[:, 0], sums[:, 0] > 0]), np.column_stack([sums[:, 0], chunks > 1])[at]
 
-    return written(summed(_with_answers(corpus.chunks, corpus.got(), run, KEYED), _STATS), f"lm-statistics{n}")
 
+def _weighed(d: np.ndarray):
+    def answer(sums: np.ndarray, chunks: np.ndarray, at: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own = left_over(sums, d)
+        back = own[at]
+        # a chunk whose n-grams after a history are all known needs the denominator alone: whether anything is left over
+        plain = columns[:, FREQUENT + 1] == 0
+        back[plain, 0], back[plain, 1] = back[plain, 0] > 0, 1
+        return own, back
 
-def _weighted(stats: DataFrame, d: np.ndarray, n: int) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            yield table([(p, k, keys, zipped(weights(unzipped(c, "<f8").reshape(-1, _STATS), d))) for p, k, keys, c in zip(*(b.column(x).to_pylist() for x in ("part", "n", "keys", "columns")), strict=True)], KEYED)
+    return answer
 
-    return written(stats.mapInArrow(run, KEYED), f"lm-bows{n}")
 
+def train(corpus: Corpus, *, order: int = 3, keep: bool = True) -> Model:
+    """Counts, discounts and weights from the learnt documents of corpus, an order after the other; corpus keeps its answers.
 
-def train(corpus: Corpus, *, order: int = 3) -> Model:
-    """Counts, discounts and weights from the learnt documents of corpus, an order after the other."""
-    model = Model(order, corpus.parts)
+    With keep the tables are whole and score other documents too; without, chunks answer themselves what no other chunk holds, and no table stays.
+    """
+    model = Model(order, corpus.parts, keep)
+    known, spark = model.known, corpus.chunks.sparkSession
     for n in range(1, order + 1):
-        model.counts[n] = _counted(corpus.chunks, n, model.parts)
-        tokens, kinds, of = _tallies(model.counts[n])
-        model.ds.append(discounts(of))
+        out = written(met(_sent_counts(corpus, known, n), 1, _counted, lambda sums: _tally(sums[:, 0]), keep), f"lm-counts{n}", by="kind")
+        corpus.answers[COUNTS + n] = model.counts[n] = out
+        tokens, kinds, texts, *of = tallied(out, FREQUENT + 4)
+        known.ds.append(discounts(of))
         if n == 1:
-            model.words = Words(tokens, kinds, of)
-        _ask(corpus, model, GRAMS, n)
-        if n > 1:
-            stats = _statistics(corpus, model, n)
-            model.weights[n] = _weighted(stats, model.ds[n - 1], n)
-            discard(stats)
-            _ask(corpus, model, WEIGHTS, n)
-        release(corpus.chunks.sparkSession)
+            known.words, known.starts = Words(int(tokens), int(kinds), of), int(texts)
+        else:
+            out = written(met(_sent_histories(corpus, known, n), _STATS, _weighed(known.ds[n - 1]), keep=keep), f"lm-weights{n}", by="kind")
+            corpus.answers[WEIGHTS + n] = model.weights[n] = out
+        release(spark)
     return model
 
 
+def _ask(corpus: Corpus, model: Model) -> None:
+    """Lets other documents ask the model's tables."""
+    for n in range(1, model.order + 1):
+        if COUNTS + n not in corpus.answers:
+            corpus.answers[COUNTS + n] = written(looked_up(_sent_counts(corpus, model.known, n).where("keys IS NOT NULL"), model.counts[n].where("kind = 0"), 2), f"lm-answers{n}", by="kind")
+        if n > 1 and WEIGHTS + n not in corpus.answers:
+            corpus.answers[WEIGHTS + n] = written(looked_up(_sent_histories(corpus, model.known, n), model.weights[n].where("kind = 0"), 2), f"lm-answers{WEIGHTS + n}", by="kind")
+
+
 RESULT = "doc_id long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -372,21 +408,17 @@ def score(corpus: Corpus, model: Model) -> DataFrame:
     that were learnt as words. With nothing learnt every token has probability 1. An empty table gives an empty result; other
     columns are ignored. A text longer than a chunk is a chunk of its own, so memory grows with the longest text.
     """
-    for n in range(1, model.order + 1):
-        _ask(corpus, model, GRAMS, n)
-        if n > 1:
-            _ask(corpus, model, WEIGHTS, n)
-    words, ds, order, parts = model.words, list(model.ds), model.order, model.parts
+    _ask(corpus, model)
+    known, order = model.known, model.order
 
     def run(row, a):
-        at = Levels(row, a, words, ds, parts)
+        at = Levels(row, a, known)
         first = np.cumsum(at.t.lengths) - at.t.lengths
-        c = at.counts(1)
-        base = np.add.reduceat(np.log10((c + 1) / (words.tokens + words.kinds + 1)), first)
+        c = at.counts(1)[0][at.t.level(1)[1]]
+        base = np.add.reduceat(np.log10((c + 1) / (known.words.tokens + known.words.kinds + 1)), first)
         own = np.add.reduceat(np.log10(at.p(order)), first)
-        known = np.add.reduceat((c > 0).astype(np.int64), first)
+        seen = np.add.reduceat((c > 0).astype(np.int64), first)
         ids = [i if k else None for i, k in zip(at.t.ids.tolist(), at.t.known.tolist(), strict=True)]
-        n = len(ids)
-        return list(zip(ids, at.t.learnt.tolist(), at.t.lengths.tolist(), known.tolist(), [words.tokens] * n, base.tolist(), own.tolist(), strict=True))
+        return list(zip(ids, at.t.learnt.tolist(), at.t.lengths.tolist(), seen.tolist(), [known.words.tokens] * len(ids), base.tolist(), own.tolist(), strict=True))
 
-    return _with_answers(corpus.chunks, corpus.got(), run, RESULT)
+    return corpus.each(run, RESULT)

@@ -70,7 +70,7 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     corpus = katz.Corpus(table(spark, sf_dir, "documents"), ~F.coalesce(held_out, F.lit(False)))
-    scored = katz.score(corpus, katz.train(corpus, order=3))
+    scored = katz.score(corpus, katz.train(corpus, order=3, keep=False))
     return scored.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -174,14 +174,14 @@ def tokens_of(t):
     return [*re.findall(r"[^ \t-\r]+", ascii_lower(t)), "$"]
 
 
-@pytest.mark.parametrize(("order", "size"), [(1, 1 << 21), (2, 200), (3, 200), (3, 1 << 21)])
-def test_katz_against_brute_force(spark, monkeypatch, order, size):
+@pytest.mark.parametrize(("order", "size", "keep"), [(1, 1 << 21, True), (2, 20, False), (3, 20, False), (3, 20, True), (4, 1 << 21, False)])
+def test_katz_against_brute_force(spark, monkeypatch, order, size, keep):
     monkeypatch.setattr(katz, "CHUNK_WORDS", size)
     monkeypatch.setattr(katz, "parts_for", lambda df, each: 5)
     rows = texts(60) + [(500, "zzz unseen q the the", "en"), (501, "the the the", "en")]
     learnt = [d is None or d % 4 != 1 for d, _, _ in rows]
-    corpus = katz.Corpus(frame(spark, rows).repartition(3), F.coalesce(F.col("doc_id") % 4 != 1, F.lit(True)))
-    model = katz.train(corpus, order=order)
+    corpus = katz.Corpus(frame(spark, rows).repartition(9), F.coalesce(F.col("doc_id") % 4 != 1, F.lit(True)))
+    model = katz.train(corpus, order=order, keep=keep)
     got = defaultdict(list)
     for r in katz.score(corpus, model).collect():
         got[r.doc_id].append(r)
@@ -198,7 +198,7 @@ def test_katz_against_brute_force(spark, monkeypatch, order, size):
             assert r.base_score == pytest.approx(sum(math.log10((brute.c[1][w,] + 1) / (brute.N + brute.V + 1)) for w in ws), rel=1e-9)
             assert r.score == pytest.approx(brute.score(ws), rel=1e-7, abs=1e-7), (d, ws[:8])
     # every history's probabilities over all words and one unknown word add up to one
-    for h in [("^",), ("the",), ("^", "the")][: 0 if order == 1 else 2 if order == 2 else 3]:
+    for h in [("^",), ("the",), ("^", "the")][: min(3, order) if order > 1 else 0]:
         assert sum(brute.p(h, w) for (w,) in brute.c[1]) + brute.p(h, "no such word") == pytest.approx(1)
 
 
