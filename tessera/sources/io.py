@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import tarfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,35 +114,6 @@ def page_title(html: Column) -> Column:
     return F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
-# --- archives ---
-
-
-def tar_members(spark: SparkSession, path: str) -> DataFrame:
-    """tar, key, extension, content of every file member; the key is the name up to the first dot of its last part."""
-
-    def run(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            rows = []
-            for at, data in zip(pdf["path"], pdf["content"], strict=True):
-                with tarfile.open(fileobj=io.BytesIO(data)) as tar:
-                    for m in tar:
-                        if m.isfile():
-                            folder, _, name = m.name.rpartition("/")
-                            stem, _, ext = name.partition(".")
-                            rows.append((at, f"{folder}/{stem}" if folder else stem, ext, tar.extractfile(m).read()))
-            yield pd.DataFrame(rows, columns=["tar", "key", "extension", "content"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "tar string, key string, extension string, content binary")
-
-
-def samples_of(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of one key as a map by extension, joined with the labels of their key."""
-    g = members.groupBy("tar", "key").agg(F.map_from_entries(F.collect_list(F.struct("extension", "content"))).alias("parts"))
-    return g.join(labels.withColumnRenamed("id", "key"), "key")
-
-
 # --- a numbered-line source, as an example of a source of one's own ---
 
 

@@ -260,21 +260,6 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(got) == sorted(map(tuple, E.window_counts(d).collect())) and sum(r[2] for r in got) == 200
 
 
-def test_tar_members(spark, tmp_path):
-    import io
-    import tarfile
-
-    from tessera.sources import io as S
-
-    with tarfile.open(tmp_path / "a.tar", "w") as t:
-        for name, data in (("x/1.json", b"{}"), ("x/1.npy", b"12"), ("2.json", b"[]")):
-            info = tarfile.TarInfo(name)
-            info.size = len(data)
-            t.addfile(info, io.BytesIO(data))
-    rows = {(r.key, r.extension): bytes(r.content) for r in S.tar_members(spark, str(tmp_path / "*.tar")).collect()}
-    assert rows == {("x/1", "json"): b"{}", ("x/1", "npy"): b"12", ("2", "json"): b"[]"}
-
-
 def test_readers(spark, tmp_path):
     from tessera.sources import io as S
 
