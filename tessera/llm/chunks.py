@@ -119,9 +119,27 @@ def unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(from_planes(data, "<u8"), dtype=np.uint64)
 
 
+def hash_order(keys: np.ndarray) -> np.ndarray:
+    """The stable order of keys that are hashes: their first bits are sorted with their places in the last bits, which is far cheaper than sorting places."""
+    bits = np.uint64(max(1, len(keys) - 1).bit_length())
+    first = (keys >> bits) << bits
+    order = (np.sort(first | np.arange(len(keys), dtype=np.uint64)) & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+    s = keys[order]
+    # keys that agree in their first bits alone stand in order of their places: such runs are few and short
+    wrong, done = np.flatnonzero(s[1:] < s[:-1]), -1
+    if len(wrong):
+        first = s >> bits
+        for i in wrong.tolist():
+            if i >= done:
+                a, b = np.searchsorted(first, first[i], "left"), np.searchsorted(first, first[i], "right")
+                order[a:b] = order[a:b][np.argsort(s[a:b], kind="stable")]
+                done = b
+    return order
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys in order, each once, and for every place the number of its key."""
-    order = np.argsort(keys)
+    order = hash_order(keys)
     s = keys[order]
     start = np.append(True, s[1:] != s[:-1])[: len(s)]
     at = np.empty(len(s), np.int64)
@@ -136,28 +154,35 @@ def cuts(ascending: np.ndarray, parts: int) -> list[tuple[int, slice]]:
     return [(p, slice(a, b)) for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
 
 
-#: Rows that a chunk sends: columns holds a matrix of doubles with a row for each key; without keys, numbers to be added to a tally.
-SENT = "part int, chunk long, keys binary, columns binary"
+#: Rows that a chunk sends: tag tells what they are about, columns holds a matrix of doubles with a row for each key; without keys, numbers to be added to a tally.
+SENT = "tag int, part int, chunk long, keys binary, columns binary"
 #: What comes back: kind 0 for a table's own rows, 1 for an answer to a chunk, in the order of the keys it sent, 2 for a tally.
-BACK = "kind int, part int, chunk long, keys binary, columns binary"
+BACK = "kind int, tag int, part int, chunk long, keys binary, columns binary"
 
 
-def sent(chunk: int, keys: np.ndarray, columns: np.ndarray, parts: int) -> list[tuple]:
+def sent(tag: int, chunk: int, keys: np.ndarray, columns: np.ndarray, parts: int) -> list[tuple]:
     """Rows of SENT. keys are ascending."""
-    return [(p, chunk, packed_keys(keys[at]), planes(columns[at].ravel())) for p, at in cuts(keys, parts)]
+    return [(tag, p, chunk, packed_keys(keys[at]), planes(columns[at].ravel())) for p, at in cuts(keys, parts)]
 
 
-def met(rows: DataFrame, width: int, answer, tally=None, keep: bool = True) -> DataFrame:
-    """BACK: where the rows of all chunks meet, part by part, equal keys are added up column by column.
+class Meeting:
+    """What happens to rows of one tag where those of all chunks meet.
 
-    answer(sums, chunks, at, columns) gives the table's columns, a row for each key, and the answers, a row for each that was
-    sent: sums and the number of chunks by key, the number of the key by row sent, and what was sent. tally(sums) gives numbers that are
-    added up over all parts. Without keep the table's own rows are left out.
+    Equal keys are added up in `width` columns. answer(sums, chunks, at, columns) gives the table's columns, a row for each key, and the
+    answers, a row for each that was sent: sums and the number of chunks by key, the number of the key by row sent, and what was
+    sent. tally(sums) gives numbers that are added up over all parts.
     """
 
+    def __init__(self, width: int, answer, tally=None):
+        self.width, self.answer, self.tally = width, answer, tally
+
+
+def met(rows: DataFrame, meetings: dict[int, Meeting], keep: bool = True) -> DataFrame:
+    """BACK of the rows of SENT, by their tags. Without keep the tables' own rows are left out."""
+
     def run(t: pa.Table) -> pa.Table:
-        part, more = t["part"][0].as_py(), 0.0
-        chunks, packed, columns = [], [], [np.zeros(0)]
+        tag, part, more = t["tag"][0].as_py(), t["part"][0].as_py(), 0.0
+        m, chunks, packed, columns = meetings[tag], [], [], [np.zeros(0)]
         for chunk, keys, values in zip(*(t[c].to_pylist() for c in ("chunk", "keys", "columns")), strict=True):
             values = from_planes(values, "<f8")
             if keys is None:
@@ -166,33 +191,33 @@ def met(rows: DataFrame, width: int, answer, tally=None, keep: bool = True) -> D
                 chunks.append(chunk)
                 packed.append(unpacked_keys(keys))
                 columns.append(values)
-        columns = np.concatenate(columns).reshape(-1, width)
+        columns = np.concatenate(columns).reshape(-1, m.width)
         keys, at = distinct(np.concatenate([np.zeros(0, np.uint64), *packed]))
-        sums = np.column_stack([np.bincount(at, columns[:, i], len(keys)) for i in range(width)])
-        own, back = answer(sums, np.bincount(at, minlength=len(keys)), at, columns)
+        sums = np.column_stack([np.bincount(at, columns[:, i], len(keys)) for i in range(m.width)])
+        own, back = m.answer(sums, np.bincount(at, minlength=len(keys)), at, columns)
         out, place = [], 0
         if keep:
             some = own.any(axis=1)
-            out.append((0, part, None, packed_keys(keys[some]), planes(own[some].ravel())))
+            out.append((0, tag, part, None, packed_keys(keys[some]), planes(own[some].ravel())))
         for chunk, mine in zip(chunks, packed, strict=True):
-            out.append((1, part, chunk, None, planes(back[place : place + len(mine)].ravel())))
+            out.append((1, tag, part, chunk, None, planes(back[place : place + len(mine)].ravel())))
             place += len(mine)
-        if tally:
-            out.append((2, part, None, None, planes(tally(sums) + more)))
+        if m.tally:
+            out.append((2, tag, part, None, None, planes(m.tally(sums) + more)))
         return pa.Table.from_batches([table(out, BACK)])
 
-    return rows.groupBy("part").applyInArrow(run, BACK)
+    return rows.groupBy("tag", "part").applyInArrow(run, BACK)
 
 
-def tallied(back: DataFrame, width: int) -> list[float]:
-    """The sum of all tallies of BACK."""
+def tallied(back: DataFrame, tag: int, width: int) -> list[float]:
+    """The sum of all tallies of one tag."""
 
     def run(batches):
         for b in batches:
             yield table([tuple(from_planes(x, "<f8").tolist()) for x in b.column(0).to_pylist()], schema)
 
     schema = ", ".join(f"t{i} double" for i in range(width))
-    r = back.where("kind = 2").select("columns").mapInArrow(run, schema).groupBy().sum().first()
+    r = back.where(f"kind = 2 AND tag = {tag}").select("columns").mapInArrow(run, schema).groupBy().sum().first()
     return [x or 0.0 for x in r]
 
 
@@ -204,17 +229,17 @@ def looked_up(asked: DataFrame, kept: DataFrame, width: int, missing: float = 0.
         if t.num_rows:
             keys, columns = unpacked_keys(t["keys"][0].as_py()), from_planes(t["columns"][0].as_py(), "<f8").reshape(-1, width)
         rows = []
-        for part, chunk, mine in zip(*(q[c].to_pylist() for c in ("part", "chunk", "keys")), strict=True):
+        for tag, part, chunk, mine in zip(*(q[c].to_pylist() for c in ("tag", "part", "chunk", "keys")), strict=True):
             mine = unpacked_keys(mine)
             out = np.full((len(mine), width), missing)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
                 hit = keys[at] == mine
                 out[hit] = columns[at[hit]]
-            rows.append((1, part, chunk, None, planes(out.ravel())))
+            rows.append((1, tag, part, chunk, None, planes(out.ravel())))
         return pa.Table.from_batches([table(rows, BACK)])
 
-    return asked.groupBy("part").cogroup(kept.groupBy("part")).applyInArrow(run, BACK)
+    return asked.groupBy("tag", "part").cogroup(kept.groupBy("tag", "part")).applyInArrow(run, BACK)
 
 
 def received(answers: dict[int, bytes], keys: np.ndarray, parts: int, width: int) -> np.ndarray:

@@ -6,8 +6,9 @@ renormalised Good-Turing ratio below. bow(h) is what the seen words of h leave o
 shorter history's distribution, both from sums over all words seen after h. A history whose words are all too frequent to
 be discounted is counted once more, so it too leaves something.
 
-Texts become chunks of word numbers once. Each order takes two meetings of chunks, where their sorted keys (64-bit hashes of word
-sequences) are added up in parts of a table and answered to every chunk that sent them: one for counts, one for histories.
+Texts become chunks of word numbers once, and stay where they are. In each step chunks meet: their sorted keys (64-bit hashes of word
+sequences) are added up in parts of a table and answered to every chunk that sent them, counts of one order with the histories of
+the order before.
 What no other chunk holds is never sent: an n-gram whose first words occur in one chunk alone is counted there, and so is such a
 history; an n-gram after a history that was never learnt has count 0. The tables' own rows are the model.
 
@@ -23,8 +24,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import BACK, CHUNK_WORDS, SENT, chunk_number, distinct, from_planes, looked_up, met, planes, received, sent, table, tallied
-from tessera.llm.runtime import discard, parts_for, release, tune, written
+from tessera.llm.chunks import CHUNK_WORDS, SENT, Meeting, chunk_number, distinct, from_planes, looked_up, met, planes, received, sent, table, tallied
+from tessera.llm.runtime import bucketed, discard, parts_for, release, tune, written
 from tessera.llm.words import hashes, joined, mix
 
 #: Counts above are not discounted.
@@ -36,9 +37,9 @@ END, START = b"\n", b"\t"
 _CHUNK = "chunk long, ids binary, known binary, learnt binary, lengths binary, hashes binary, numbers binary"
 #: Of a history: how many n-grams it begins with count 1 to FREQUENT, the sum of the shorter history's P over words seen, and whether a chunk needs bow.
 _STATS = FREQUENT + 2
-#: Kinds of answers, to which the order is added.
+#: Tags of what chunks send and are answered, to which the order is added.
 COUNTS, WEIGHTS = 0, 100
-_TAGGED = "tag int, " + BACK
+_GOT = "tag int, chunk long, part int, columns binary"
 
 
 # --- documents ---
@@ -183,7 +184,7 @@ class Levels:
         self.got: dict[int, dict[int, bytes]] = {}
         for tag, part, columns in zip(*(got[c].to_pylist() for c in ("tag", "part", "columns")), strict=True):
             self.got.setdefault(tag, {})[part] = columns
-        self.counted, self.weighed, self.chances = {}, {}, {}
+        self.counted, self.weighed, self.chances, self.begun = {}, {}, {}, {}
 
     def counts(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """For each key of order n how often it was learnt anywhere, and whether other chunks hold it too."""
@@ -219,19 +220,19 @@ class Levels:
 
     def histories(self, n: int) -> np.ndarray:
         """For each key of order n - 1 its _STATS from this chunk: n-grams by this chunk's share of their occurrences."""
-        t = self.t
-        keys, _ = t.level(n - 1)
-        before = t.before(n)
-        of = t.spread(n, before)
-        count, here = self.counts(n)[0], t.occurrences(n)
-        share = here / np.maximum(count, 1)
-        out = np.zeros((len(keys), _STATS))
-        for r in range(1, FREQUENT + 1):
-            some = count == r
-            out[:, r - 1] = np.bincount(of[some], share[some], len(keys))
-        out[:, FREQUENT] = np.bincount(of, share * t.spread(n, self.p(n - 1)), len(keys))
-        out[:, FREQUENT + 1] = np.bincount(of[count == 0], minlength=len(keys)) > 0
-        return out
+        if n not in self.begun:
+            t = self.t
+            size = len(t.level(n - 1)[0])
+            of = t.spread(n, t.before(n))
+            count, here = self.counts(n)[0], t.occurrences(n)
+            share = here / np.maximum(count, 1)
+            out = np.zeros((size, _STATS))
+            few = np.flatnonzero((count > 0) & (count <= FREQUENT))
+            out[:, :FREQUENT] = np.bincount(of[few] * FREQUENT + count[few].astype(np.int64) - 1, share[few], size * FREQUENT).reshape(size, FREQUENT)
+            out[:, FREQUENT] = np.bincount(of, share * t.spread(n, self.p(n - 1)), size)
+            out[:, FREQUENT + 1] = np.bincount(of[count == 0], minlength=size) > 0
+            self.begun[n] = out
+        return self.begun[n]
 
     def sent_histories(self, n: int) -> np.ndarray:
         """Keys of order n - 1 whose weights others need or know: shared, learnt, and before something here."""
@@ -282,15 +283,14 @@ class Known:
 
 
 class Model:
-    """Tables of a fitted model (rows of kind 0): by order the counts of n-grams (words are order 1) and what histories leave over."""
+    """Tables of a fitted model (rows of kind 0), by step and tag: the counts of n-grams (words are order 1) and what histories leave over."""
 
     def __init__(self, order: int, parts: int, keep: bool):
         self.order, self.known = order, Known(parts, keep)
-        self.counts: dict[int, DataFrame] = {}
-        self.weights: dict[int, DataFrame] = {}
+        self.tables: list[DataFrame] = []
 
     def discard(self) -> None:
-        discard(*self.counts.values(), *self.weights.values())
+        discard(*self.tables)
 
 
 class Corpus:
@@ -300,30 +300,27 @@ class Corpus:
         """learnt: which documents count; a null is false. Without it none do, as for texts to be scored alone."""
         tune(docs.sparkSession)
         self.parts = parts_for(docs, PART_BYTES)
-        self.chunks = written(_chunks(docs, F.lit(False) if learnt is None else F.coalesce(learnt, F.lit(False))), "lm-chunks")
-        self.answers: dict[int, DataFrame] = {}
+        learnt = F.lit(False) if learnt is None else F.coalesce(learnt, F.lit(False))
+        self.chunks = bucketed(_chunks(docs, learnt), "lm-chunks", "chunk", parts_for(docs, 2 * PART_BYTES))
+        self.answers: list[DataFrame] = []
+        #: the model whose answers these are
+        self.answered: Model | None = None
 
     def each(self, run, schema: str) -> DataFrame:
-        """run(row, answers) gives rows for each chunk; answers has a tag, part and columns."""
-        empty = pa.Table.from_batches([table([], _TAGGED)])
+        """run(row, answers) gives rows for each chunk; answers has a tag, part and columns. The chunks stay where they are, answers come to them."""
         got = None
-        for tag, a in self.answers.items():
-            a = a.where("kind = 1").select(F.lit(tag).alias("tag"), "chunk", "part", "columns")
+        for a in self.answers:
+            a = a.where("kind = 1").select("tag", "chunk", "part", "columns")
             got = a if got is None else got.unionByName(a)
+        got = self.chunks.sparkSession.createDataFrame([], _GOT) if got is None else got
 
         def one(t: pa.Table, a: pa.Table) -> pa.Table:
             return pa.Table.from_batches([table([r for row in t.to_pylist() for r in run(row, a)], schema)])
 
-        def plain(batches):
-            for b in batches:
-                yield table([r for row in b.to_pylist() for r in run(row, empty)], schema)
-
-        if got is None:
-            return self.chunks.mapInArrow(plain, schema)
         return self.chunks.groupBy("chunk").cogroup(got.groupBy("chunk")).applyInArrow(one, schema)
 
     def discard(self) -> None:
-        discard(self.chunks, *self.answers.values())
+        discard(self.chunks, *self.answers)
 
 
 def _tally(counts: np.ndarray, texts: int = 0) -> np.ndarray:
@@ -331,22 +328,22 @@ def _tally(counts: np.ndarray, texts: int = 0) -> np.ndarray:
     return np.array([counts.sum(), (counts > 0).sum(), texts, *((counts == r).sum() for r in range(1, FREQUENT + 2))], float)
 
 
-def _sent_counts(corpus: Corpus, model: Known, n: int) -> DataFrame:
-    """SENT: how often each chunk's n-grams occur there, also n-grams of documents that don't count, which want an answer; and a tally of those not sent."""
-
-    def run(row, a):
-        at = Levels(row, a, model)
-        asked, here = at.asked(n), at.t.occurrences(n)
-        return [(row["chunk"] % model.parts, row["chunk"], None, planes(_tally(here[~asked], int(at.t.learnt.sum())))), *sent(row["chunk"], at.t.level(n)[0][asked], here[asked, None].astype("<f8"), model.parts)]
-
-    return corpus.each(run, SENT)
+def _sent(corpus: Corpus, model: Known, *, counts: int = 0, histories: int = 0) -> DataFrame:
+    """SENT by every chunk: how often its n-grams of order `counts` occur there, and the _STATS of histories of order `histories`.
 
+    n-grams of documents that don't count are sent too, as they want an answer; of n-grams that are not sent there is a tally.
+    """
 
-def _sent_histories(corpus: Corpus, model: Known, n: int) -> DataFrame:
     def run(row, a):
-        at = Levels(row, a, model)
-        chosen = at.sent_histories(n)
-        return sent(row["chunk"], at.t.level(n - 1)[0][chosen], at.histories(n)[chosen], model.parts)
+        at, chunk, out = Levels(row, a, model), row["chunk"], []
+        if histories:
+            chosen = at.sent_histories(histories)
+            out += sent(WEIGHTS + histories, chunk, at.t.level(histories - 1)[0][chosen], at.histories(histories)[chosen], model.parts)
+        if counts:
+            asked, here = at.asked(counts), at.t.occurrences(counts)
+            out.append((COUNTS + counts, chunk % model.parts, chunk, None, planes(_tally(here[~asked], int(at.t.learnt.sum())))))
+            out += sent(COUNTS + counts, chunk, at.t.level(counts)[0][asked], here[asked, None].astype("<f8"), model.parts)
+        return out
 
     return corpus.each(run, SENT)
 
@@ -369,33 +366,45 @@ def _weighed(d: np.ndarray):
 
 
 def train(corpus: Corpus, *, order: int = 3, keep: bool = True) -> Model:
-    """Counts, discounts and weights from the learnt documents of corpus, an order after the other; corpus keeps its answers.
+    """Counts, discounts and weights from the learnt documents of corpus; corpus keeps its answers.
 
-    With keep the tables are whole and score other documents too; without, chunks answer themselves what no other chunk holds, and no table stays.
+    What a step sends: the histories of one order, whose counts are known by then, and the counts of the next. With keep the tables are whole
+    and score other documents too; without, chunks answer themselves what no other chunk holds, and no table stays.
     """
     model = Model(order, corpus.parts, keep)
     known, spark = model.known, corpus.chunks.sparkSession
-    for n in range(1, order + 1):
-        out = written(met(_sent_counts(corpus, known, n), 1, _counted, lambda sums: _tally(sums[:, 0]), keep), f"lm-counts{n}", by="kind")
-        corpus.answers[COUNTS + n] = model.counts[n] = out
-        tokens, kinds, texts, *of = tallied(out, FREQUENT + 4)
-        known.ds.append(discounts(of))
-        if n == 1:
-            known.words, known.starts = Words(int(tokens), int(kinds), of), int(texts)
-        else:
-            out = written(met(_sent_histories(corpus, known, n), _STATS, _weighed(known.ds[n - 1]), keep=keep), f"lm-weights{n}", by="kind")
-            corpus.answers[WEIGHTS + n] = model.weights[n] = out
+    for n in range(1, order + 2):
+        step = {"counts": n if n <= order else 0, "histories": n - 1 if n > 2 else 0}
+        if not any(step.values()):
+            break
+        meetings = {COUNTS + n: Meeting(1, _counted, lambda sums: _tally(sums[:, 0]))}
+        if step["histories"]:
+            meetings[WEIGHTS + n - 1] = Meeting(_STATS, _weighed(known.ds[n - 2]))
+        out = written(met(_sent(corpus, known, **step), meetings, keep), f"lm-step{n}", by="kind")
+        corpus.answers.append(out)
+        model.tables.append(out)
         release(spark)
+        if step["counts"]:
+            tokens, kinds, texts, *of = tallied(out, COUNTS + n, FREQUENT + 4)
+            known.ds.append(discounts(of))
+            if n == 1:
+                known.words, known.starts = Words(int(tokens), int(kinds), of), int(texts)
+    corpus.answered = model
     return model
 
 
 def _ask(corpus: Corpus, model: Model) -> None:
-    """Lets other documents ask the model's tables."""
-    for n in range(1, model.order + 1):
-        if COUNTS + n not in corpus.answers:
-            corpus.answers[COUNTS + n] = written(looked_up(_sent_counts(corpus, model.known, n).where("keys IS NOT NULL"), model.counts[n].where("kind = 0"), 2), f"lm-answers{n}", by="kind")
-        if n > 1 and WEIGHTS + n not in corpus.answers:
-            corpus.answers[WEIGHTS + n] = written(looked_up(_sent_histories(corpus, model.known, n), model.weights[n].where("kind = 0"), 2), f"lm-answers{WEIGHTS + n}", by="kind")
+    """Lets documents ask the tables of a model that they have not made."""
+    if corpus.answered is model:
+        return
+    if not model.known.keep:
+        raise ValueError("a model without its tables scores its own corpus alone")
+    for n in range(1, model.order + 2):
+        step = {"counts": n if n <= model.order else 0, "histories": n - 1 if n > 2 else 0}
+        if any(step.values()):
+            asked = _sent(corpus, model.known, **step).where("keys IS NOT NULL")
+            corpus.answers.append(written(looked_up(asked, model.tables[n - 1].where("kind = 0"), 2), f"lm-answers{n}", by="kind"))
+    corpus.answered = model
 
 
 RESULT = "doc_id long, learnt boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

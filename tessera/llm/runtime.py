@@ -68,10 +68,22 @@ def written(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, what: str, by: str, buckets: int) -> DataFrame:
+    """As written(), dealt to buckets by a column: grouping by it later needs no shuffle of this table."""
+    spark = df.sparkSession
+    path, name = scratch(spark, what), f"tessera_{uuid.uuid4().hex}"
+    df.repartition(buckets, by).write.option("compression", "zstd").option("path", path).bucketBy(buckets, by).format("parquet").saveAsTable(name)
+    out = spark.table(name)
+    out._written_at, out._table = path, name
+    return out
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes tables made by written(), of which nothing is left to be read; other frames are left alone."""
     for t in tables:
-        path = t.__dict__.pop("_written_at", None)
+        path, name = t.__dict__.pop("_written_at", None), t.__dict__.pop("_table", None)
+        if name:
+            t.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
         if path:
             remove(t.sparkSession, path)
 

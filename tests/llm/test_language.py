@@ -289,3 +289,14 @@ def test_exponion_measures_few_distances():
     far = ((v[:, None] - np.array(moved)[None]) ** 2).sum(2)
     assert (cluster == far.argmin(1)).all() and measured < 0.25 * far.size
     assert (upper * upper >= far.min(1) * (1 - 1e-9)).all() and (lower <= np.sqrt(np.partition(far, 1, axis=1)[:, 1]) * (1 + 1e-9)).all()
+
+
+def test_order_of_hashes():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000, 70_000):
+        for high in (1 << 63, 1 << 20, 5):
+            keys = rng.integers(0, high, n).astype(np.uint64) * np.uint64(3)
+            assert (chunks.hash_order(keys) == np.argsort(keys, kind="stable")).all()
+            got, at = chunks.distinct(keys)
+            want, places = np.unique(keys, return_inverse=True)
+            assert (got == want).all() and (at == places).all()
