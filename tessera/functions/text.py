@@ -145,81 +145,53 @@ def without_cjk_parentheses(c: Column) -> Column:
     return F.regexp_replace(c, r"\s*[(（][^()（）]*[㐀-鿿぀-ヿ가-힯][^()（）]*[)）]", "")
 
 
-MARKS, OPENING, CLOSING, QUOTES = frozenset(",.!?;:，。！？；："), frozenset("([{"), frozenset(")]}"), frozenset("\"'")
-
-
-#: Where a text may need a space more or less: two of white space or one before a mark, beside a bracket or a quote, or none after a mark.
-_UNEVEN = re.compile(r"\s[\s,.!?;:，。！？；：)\]}]|[(\[{\"']\s|[,.!?;:，。！？；：][^\s]")
-
-
-def spaced(text: str) -> str:
-    """punctuation_spacing() of one text: pieces are put down one after the other, each deciding about the space before it."""
-    if not _UNEVEN.search(text):
-        return text.strip()
-    pieces = re.findall(r"\s+|[^\s\W_]+|.", text, re.S)
-    closes: dict[int, int] = {}  # a quote after which and before whose partner there is space, and that partner
-    at = 0
-    while at < len(pieces):
-        q = pieces[at]
-        if q in QUOTES and (not at or pieces[at - 1].isspace() or pieces[at - 1] in OPENING):
-            end = next((k for k in range(at + 1, len(pieces)) if pieces[k] in QUOTES or "\n" in pieces[k].strip(" ")), None)
-            inner = pieces[at + 1 : end] if end else []
-            after = pieces[end + 1] if end and end + 1 < len(pieces) else " "
-            if end and pieces[end] == q and len(inner) > 1 and inner[0].isspace() and inner[-1].isspace() and (after.isspace() or after in MARKS or after in CLOSING):
-                closes[at] = end
-                at = end
-        at += 1
-    silent = {k for a, b in closes.items() for k in (a + 1, b - 1)}
-    out: list[str] = []
-    for k, p in enumerate(pieces):
-        last = out[-1] if out else ""
-        if p.isspace():
-            if k not in silent and out and last not in OPENING and not last.isspace():
-                out.append(p if len(p) == 1 else " ")
-            continue
-        if (p in MARKS or p in CLOSING) and last.isspace():
-            out.pop()
-        elif last in MARKS and p not in QUOTES and p not in CLOSING and p not in MARKS:
-            out.append(" ")
-        out.append(p)
-    return "".join(out).strip()
-
-
-def unmarked(line: str) -> str:
-    """without_markdown() of one line."""
-    level = len(line) - len(line.lstrip("#"))
-    if 1 <= level <= 6 and line[level : level + 1].isspace():
-        line = line[level:].lstrip()
-    if line[:1] == ">" and line[1:2].isspace():
-        line = line[1:].lstrip()
-    if len(line) > 2 and not line.strip("-*_"):
-        return ""
-    if line[:1] in ("-", "*", "+") and line[1:2].isspace() and line[1:].strip():
-        line = line[1:].lstrip()
-    for mark in ("**", "__", "*", "_"):
-        single, kept, at = len(mark) == 1, [], 0
-        while (a := line.find(mark, at)) >= 0:
-            b = line.find(mark[0], a + len(mark))
-            inner = line[a + len(mark) : b] if b > 0 else ""
-            if single:
-                before, after = line[a - 1] if a else " ", line[b + 1 : b + 2] or " "
-                good = inner and "\n" not in inner and (before.isspace() or before in "([\"'") and (after.isspace() or after in ",.!?;:)]\"'")
-            else:
-                good = inner and line.startswith(mark, b)
-            kept.append(line[at:a] + (inner if single else inner.rstrip() or inner[:1]) if good else line[at : a + 1])
-            at = b + len(mark) if good else a + 1
-        line = "".join(kept) + line[at:]
-    return line
+OPENING, CLOSING = r"(\[{", r")\]}"
+# Marks that stand close to the word before them.
+MARKS, WIDE_MARKS = ",.!?;:", "，。！？；："
+#: White space of all scripts, and that of Latin texts as a class of characters, which is far faster than a class with characters above U+00FF.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
+_BLANK = r"\s\x1C-\x1F\x85\xA0"
+BLANK = f"[{_BLANK}]"
+
+
+def stripped(c: Column) -> Column:
+    """Without white space of any kind at the ends; trim() knows the space alone."""
+    return F.btrim(c, F.lit(BLANKS))
+
+
+def plain_spaces(c: Column) -> Column:
+    """Spaces beyond Latin texts as plain ones."""
+    wide = "".join(x for x in BLANKS if x > "\xff")
+    return F.translate(c, wide, " " * len(wide))
+
+
+def by_marks(c: Column, make: Callable[[str], Column], wide: str = WIDE_MARKS, narrow: str = MARKS) -> Column:
+    """make(marks), with wide marks only for texts that hold one."""
+    return F.when(c.rlike(f"[{wide}]"), make(narrow + wide)).otherwise(make(narrow))
 
 
 def punctuation_spacing(c: Column) -> Column:
-    """No space before marks, after opening and before closing brackets and inside quotes, one after marks."""
-    return by_text(spaced)(c)
+    """No space before marks, after opening and before closing brackets and inside quotes, one after marks (T23). c is best a column of its own."""
+
+    def spaced(marks: str) -> Column:
+        uneven = rf"""{BLANK}[{_BLANK}{marks}{CLOSING}]|[{OPENING}"']{BLANK}|[{marks}][^{_BLANK}]"""
+        x = F.regexp_replace(c, rf"{BLANK}+(?=[{marks}{CLOSING}])|(?<=[{OPENING}]){BLANK}+", "")
+        x = F.regexp_replace(x, rf"""(?<![^{_BLANK}{OPENING}])(["']){BLANK}+([^"'\n]*?){BLANK}+\1(?![^{_BLANK}{marks}{CLOSING}])""", "$1$2$1")
+        x = F.regexp_replace(x, rf"""(?<=[{marks}])(?=[^{_BLANK}{marks}{CLOSING}"'])""", " ")
+        return F.when(c.rlike(uneven), F.regexp_replace(stripped(x), f"{BLANK}{{2,}}", " ")).otherwise(stripped(c))
+
+    return by_marks(c, spaced)
 
 
 def without_markdown(c: Column) -> Column:
-    """Heading, quote, list and emphasis marks of one line removed."""
-    return by_text(unmarked)(c)
+    """Heading, quote, list and emphasis marks of one line removed (T24). c is best a column of its own."""
+    x = F.regexp_replace(F.regexp_replace(c, rf"\A#{{1,6}}{BLANK}+", ""), rf"\A>{BLANK}+", "")
+    x = F.regexp_replace(F.regexp_replace(x, r"\A[-*_]{3,}\z", ""), rf"\A[-*+]{BLANK}+(?=[^{_BLANK}])", "")
+    for mark in ("*", "_"):
+        x = F.regexp_replace(x, rf"[{mark}]{{2}}([^{mark}]+?){BLANK}*[{mark}]{{2}}", "$1")
+    for mark in ("*", "_"):  # what stands alone is emphasis between words alone
+        x = F.regexp_replace(x, rf"""(?<![^{_BLANK}("'\[])[{mark}]([^{mark}\n]+)[{mark}](?![^{_BLANK},.!?;:)"'\]])""", "$1")
+    return F.when(c.rlike(r"[*_]|\A[#>+-]"), x).otherwise(c)
 
 
 RULE, ORNAMENTS = "-=_~*", "•●◆◇★☆()+"
@@ -287,10 +259,6 @@ def joined_reduplication(c: Column) -> Column:
     return F.regexp_replace(c, r"(?<=\p{L})-(?=\p{L})", " ")
 
 
-def stripped(c: Column) -> Column:
-    """Without white space of any kind at the ends; trim() knows the space alone."""
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
-
 
 def model_output(c: Column) -> Column:
     """Without thinking blocks, code fences and a label at the start."""

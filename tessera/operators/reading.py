@@ -1,220 +1,18 @@
-"""Text for readers and for speech: paragraphs of a finished chapter, numbers as words, clauses and pauses, fragments left untranslated."""
+"""Text for speech and for checks: excerpts, numbers as words, clauses and pauses, fragments left untranslated, names and titles."""
 
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Sequence
-from functools import lru_cache, reduce
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import ORNAMENTS, RULE, bounded, spaced, unmarked
-
-# --- finished chapters (T22, T27 to T31) ---
-
-LONGEST_PARAGRAPH, MERGE_BELOW, TITLE_LINES, TAIL_LINES, LONGEST_HEADING = 520, 180, 4, 12, 140
-ENDS, QUOTE = ".!?。！？…", "\"'"
-
-# What editors' remarks start with. Each phrase is a row of alternatives, "" where a word may be left out.
-NOTES = ((("ghi chú", "chú thích", "note", "notes", "lưu ý"),),)
-REMARKS = (
-    (("nhận xét", "tóm tắt", "hậu kiểm", "các thay đổi", "những thay đổi", "đã chỉnh sửa", "bản đã chỉnh", "bản biên tập", "văn bản đã biên tập", "phong cách chỉnh sửa"),),
-    (("dưới đây là", "sau đây là"), ("bản", "văn bản", "nội dung"), ("đã", ""), ("biên tập", "chỉnh sửa", "polish")),
-)
-NOISE = (
-    (("bản biên tập:", "văn bản đã biên tập:", "nội dung đã biên tập:", "bản đã chỉnh sửa:"),),
-    (("tôi", "mình", "em"), ("đã",), ("biên tập", "chỉnh sửa", "sửa", "giữ", "loại", "xóa", "chuẩn hóa")),
-    (("không", ""), ("tóm tắt", "rút gọn", "thêm tình tiết", "bỏ nội dung")),
-    (("output", "kết quả"), ("đã", ""), ("được", ""), ("biên tập", "chỉnh sửa", "polish")),
-)
-CHANGES = ((("đã", ""), ("sửa", "chỉnh", "chuẩn hóa", "loại bỏ", "xóa", "giữ nguyên", "thay", "đổi")),)
-CHANGED = ("văn phong", "câu", "từ", "lỗi", "dấu câu", "tên riêng", "thuật ngữ", "markdown", "title", "tiêu đề", "line break", "xuống dòng")
-VERSIONS = ("phiên bản chỉnh sửa", "bản chỉnh sửa", "bản dịch", "bản tiếng việt")
-CHAPTER_WORDS = ("chương", "chapter")
-SOUNDS = ("keng", "đinh", "tinh", "ting", "ầm", "rầm", "vù", "xoẹt", "két", "bốp", "chát")
-
-
-@lru_cache
-def _first_letters(phrases: tuple) -> frozenset[str]:
-    """What any of the phrases may start with."""
-    out = set()
-    for phrase in phrases:
-        for step in phrase:
-            out |= {w[0] for w in step if w}
-            if "" not in step:
-                break
-    return frozenset(out)
-
-
-def opens(line: str, phrases: tuple) -> int:
-    """How much of the line the first phrase that it starts with takes, 0 for none; words end where letters and digits do."""
-    if line[:1].lower() not in _first_letters(phrases):
-        return 0
-    low = line.lower()
-    for phrase in phrases:
-        ends = {0}
-        for step in phrase:
-            here = set()
-            for at in ends:
-                here |= {at} if "" in step else set()
-                start = at + len(low[at:]) - len(low[at:].lstrip()) if at else 0
-                for w in step:
-                    stop = start + len(w)
-                    if w and low.startswith(w, start) and not (low[stop : stop + 1].isalnum() and w[-1].isalnum()):
-                        here.add(stop)
-            ends = here
-        if ends and max(ends):
-            return max(ends)
-    return 0
-
-
-def is_remark(line: str) -> bool:
-    return bool(opens(line, NOTES) or opens(line, REMARKS))
-
-
-def is_noise(line: str) -> bool:
-    """A remark, or an account of what was changed."""
-    if is_remark(line) or opens(re.sub(r"\s+:", ":", line), NOISE):
-        return True
-    end = opens(line, CHANGES)
-    return bool(end) and any(re.search(rf"\b{w}\b", line[end : end + 150].lower()) for w in CHANGED)
-
-
-def heading(line: str) -> tuple[str, str] | None:
-    """(number, rest) of a line that starts as a chapter's heading does."""
-    m = re.match(rf"#{{0,6}}\s*(?:{'|'.join(CHAPTER_WORDS)})\s*(\d+|[ivxlcdm]+)(?![^\W_])\s*(.*)", line, re.I | re.S)
-    return (m[1], m[2]) if m else None
-
-
-def is_heading(line: str) -> bool:
-    """A heading alone: number, then nothing, a part in parentheses, or a separator and a title that is no text."""
-    found = heading(line)
-    if not found or len(line) > LONGEST_HEADING:
-        return False
-    rest = found[1]
-    named = len(rest) > 1 and rest[0] in "-–—:：.．" and not re.search(rf"[{ENDS}]\s+\S", rest[1:])
-    return not rest or named or bool(re.fullmatch(r"\(\d+\)", rest))
-
-
-def title_key(line: str) -> str:
-    """Letters and digits without accents, in one case."""
-    plain = "".join(c for c in unicodedata.normalize("NFKD", unmarked(line)) if not unicodedata.combining(c))
-    return " ".join(re.findall(r"[^\W_]+", plain.casefold()))
-
-
-def title_keys(title: str | None) -> set[str]:
-    """Keys of a title with and without its number; short ones say nothing."""
-    found = heading(title or "")
-    bare = found[1].lstrip(" -–—:：.．") if found else re.sub(r"^\d+\s*[-–—:：.．]*\s*", "", title or "")
-    return {k for k in (title_key(title or ""), title_key(bare)) if len(k) >= 3}
-
-
-def without_titles(lines: list[str], keys: set[str]) -> list[str]:
-    """Without up to TITLE_LINES headings or titles at the start."""
-    at = found = 0
-    while at < len(lines) and found < TITLE_LINES:
-        if lines[at]:
-            if not (is_heading(lines[at]) or title_keys(lines[at]) & keys):
-                break
-            found += 1
-        at += 1
-    return lines[at:]
-
-
-def without_remarks(lines: list[str]) -> list[str]:
-    """Cut at an editor's remark among the last lines; accounts of changes dropped, blank lines halved."""
-    last = max((k for k, x in enumerate(lines) if x), default=-1)
-    cut = next((k for k in range(last, max(-1, last - TAIL_LINES), -1) if opens(lines[k], REMARKS)), last + 1)
-    kept = [x for x in lines[:cut] if not x or is_remark(x) or not is_noise(x)]
-    return [x for k, x in enumerate(kept) if x or k and kept[k - 1]]
-
-
-def is_rule(line: str) -> bool:
-    """is_separator() of one line."""
-    circles = "".join(line.strip(RULE).split()).lower().replace("0", "o") == "ooo"
-    return circles or (len(line) > 2 and not line.strip(RULE)) or (len(line) <= 12 and not "".join(line.split()).strip(ORNAMENTS))
-
-
-def reader_line(line: str) -> str:
-    """A line for readers; empty where it is a remark, a separator or a heading."""
-    line = spaced(unmarked(line.strip()))
-    version = opens(line, ((VERSIONS,),))
-    line = line[version:].lstrip(" :") if version else line
-    if not line or (is_noise(line) and not opens(line, NOTES)) or is_heading(line) or is_rule(line):
-        return ""
-    found = heading(line)
-    end = re.match(rf"[^{ENDS}\n]{{0,90}}[{ENDS}]\s*", found[1]) if found else None
-    rest = found[1][end.end() :] if end else ""
-    return spaced(rest) if rest else line
-
-
-def sentences(text: str) -> list[str]:
-    """Sentences with their ends and closing quotes."""
-    return [s for s in (m.strip() for m in re.findall(rf"[^{ENDS}]+(?:[{ENDS}]+[”\"'’]*)?", text)) if s]
-
-
-def short_parts(paragraph: str, most: int = LONGEST_PARAGRAPH) -> list[str]:
-    """Sentences joined while they fit; a paragraph that fits stays as it is."""
-    if len(paragraph) <= most:
-        return [paragraph]
-    out: list[str] = []
-    for s in sentences(paragraph):
-        if out and len(out[-1]) + 1 + len(s) <= most:
-            out[-1] += " " + s
-        else:
-            out.append(s)
-    return out or [paragraph]
-
-
-def stands_alone(p: str) -> bool:
-    """Long paragraphs, speech and sounds aren't merged."""
-    quoted = p[-1] in QUOTE and any(q in p[:-1] for q in QUOTE)
-    return len(p) >= LONGEST_PARAGRAPH or p[0] in QUOTE or quoted or (p[-1] == "!" and p[:-1].lower() in SOUNDS)
-
-
-def merged(paragraphs: list[str]) -> list[str]:
-    """A quotation mark alone joins the paragraph before it; short narration joins the narration before it."""
-    out: list[str] = []
-    growing = False
-    for p in paragraphs:
-        if p in ('"', "'"):
-            if out:
-                out[-1] = spaced(out[-1] + p)
-            continue
-        alone = stands_alone(p)
-        if growing and not alone and len(p) < MERGE_BELOW and len(out[-1]) + 1 + len(p) <= LONGEST_PARAGRAPH:
-            out[-1] += " " + p
-        else:
-            out.append(p)
-        growing = not alone
-    return out
-
-
-def reader_text(content: str | None, title: str | None = None) -> str:
-    """A chapter in paragraphs for readers."""
-    text = unicodedata.normalize("NFKC", content or "").translate(str.maketrans({"“": '"', "”": '"', "‘": "'", "’": "'", " ": " ", **dict.fromkeys("​‌‍﻿")}))
-    text = re.sub(r"(?<=[^\n])\n+\s*([\"'])(?=\n|$)", r"\1", "\n".join(re.split(r"\r\n|\r|\n", text)))
-    lines = [spaced(unmarked(x.strip())) for x in text.split("\n")]
-    lines = without_remarks([reader_line(x) for x in without_remarks(without_titles(lines, title_keys(title)))])
-    out: list[str] = []
-    for block in re.split(r"\n{2,}", "\n".join(lines)):
-        paragraph = spaced(" ".join(block.split()))
-        # speech that opens after a sentence's end starts a paragraph
-        parts = re.split(rf"(?<=[{ENDS}])\s+(?=[\"'“‘])|(?<=[{ENDS}][”\"'’])\s+(?=[\"'“‘])", paragraph)
-        out += [x for part in parts if part.strip() for x in short_parts(part.strip())]
-    return "\n\n".join(merged(out))
-
-
-def formatted(content: Column, title: Column) -> Column:
-    """reader_text() as a column."""
-
-    def run(c: pd.Series, t: pd.Series) -> pd.Series:
-        return pd.Series([reader_text(x, y) for x, y in zip(c, t, strict=True)])
+from tessera.functions.text import bounded
 
-    return F.pandas_udf(run, "string")(content, title)
+# --- excerpts (T22) ---
 
 
 def truncated(c: Column, most: int) -> Column:

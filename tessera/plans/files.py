@@ -11,6 +11,7 @@ from tessera.operators import batching as B
 from tessera.operators import jobs as J
 from tessera.operators import metrics as M
 from tessera.operators import quality as Q
+from tessera.operators import reader
 from tessera.operators import reading as R
 from tessera.operators import relational as L
 from tessera.operators import stories as S
@@ -119,13 +120,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("t25_title_key", "SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS v FROM part")
 def _(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", F.pandas_udf(lambda s: s.map(R.title_key), "string")(F.concat(F.lit("## "), "p_name", F.lit("!"))).alias("v"))
+    return t.part.select("p_partkey", reader.title_key(F.concat(F.lit("## "), "p_name", F.lit("!"))).alias("v"))
 
 
 @query("t29_short_parts")
 def _(t: Tables) -> DataFrame:
-    parts = F.pandas_udf(lambda s: s.map(R.short_parts), "array<string>")
-    return t.documents.where("text IS NOT NULL").select("doc_id", F.posexplode(parts("text")).alias("place", "part"))
+    return reader.short_parts(t.documents.where("text IS NOT NULL"), "text").select("doc_id", F.posexplode("parts").alias("place", "part"))
 
 
 @query("t44_cjk_spaces", "SELECT n_nationkey, '漢字' || n_name || ' x' AS v FROM nation")

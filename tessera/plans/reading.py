@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import reader
 from tessera.operators import reading as R
 from tessera.plans.registry import Tables, query
 
@@ -37,7 +38,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("t27_t28_t30_t31_reader_text")
 def _(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", R.formatted(F.col("text"), F.col("source")).alias("v"))
+    return reader.reader_text(t.documents, "doc_id", "text", "source").select("doc_id", F.col("text").alias("v"))
 
 
 @query("t34_story_markup", r"""SELECT doc_id, trim(regexp_replace(regexp_replace(replace(replace(translate(text, '「」『』％', repeat(chr(34), 4) || '%'), '[', '. '), ']', '. '), '\.{2,}', '...', 'g'), '[\x{200B}-\x{200F}\x{FEFF}]', '', 'g')) AS v FROM (SELECT doc_id, text || ' [x]..「y」' AS text FROM documents)""")

@@ -16,7 +16,7 @@ from tessera.operators import batching as B
 from tessera.operators import jobs as J
 from tessera.operators import metrics as M
 from tessera.operators import quality as Q
-from tessera.operators import reading
+from tessera.operators import reader, reading
 from tessera.operators import relational as R
 from tessera.operators import stories
 
@@ -230,13 +230,33 @@ READER = [
 
 
 def test_reader_text(spark):
-    for content, title, want in READER:
-        assert reading.reader_text(content, title) == want
-        assert reading.reader_text(want, title) == want
-    long = reading.reader_text(" ".join(f"This is sentence {k} of a rather long paragraph." for k in range(40)))
-    assert len(long.split("\n\n")) > 2 and all(len(p) <= reading.LONGEST_PARAGRAPH for p in long.split("\n\n"))
-    d = spark.createDataFrame([(c, t) for c, t, _ in READER], "c string, t string")
-    assert [r.v for r in d.select(reading.formatted(F.col("c"), F.col("t")).alias("v")).collect()] == [w for *_, w in READER]
+    rows = [(k, c, t) for k, (c, t, _) in enumerate(READER)] + [(100 + k, w, t) for k, (_, t, w) in enumerate(READER)]
+    rows += [(200, " ".join(f"This is sentence {k} of a rather long paragraph." for k in range(40)), None), (201, "Short line here.\n\n" * 3000, None)]
+    got = {r.k: r.text for r in reader.reader_text(spark.createDataFrame(rows, "k int, c string, t string"), "k", "c", "t").collect()}
+    for k, (_, _, want) in enumerate(READER):
+        assert got[k] == want
+        # a name whose first letter is a Roman numeral reads as a chapter's number once other text follows in its line
+        assert got[100 + k] == ("Trời sáng." if want.startswith("Chương Lan") else want)
+    for k in (200, 201):
+        parts = got[k].split("\n\n")
+        assert len(parts) > 2 and all(400 < len(p) <= reader.LONGEST for p in parts[:-1]) and " ".join(parts).split() == rows[-2 if k == 200 else -1][1].split()
+
+
+def test_parts_that_fit(spark):
+    text = "x" * 300 + ". " + "y" * 100 + "! " + "z" * 600 + "? end"
+    rows = spark.createDataFrame([("short one. two",), (text,), ("",), ("." * 600,)], "x string")
+    assert [r.parts for r in reader.short_parts(rows, "x").collect()] == [["short one. two"], ["x" * 300 + ". " + "y" * 100 + "!", "z" * 600 + "?", "end"], [""], ["." * 600]]
+
+
+SPACED = [
+    ("a , b .c", "a, b. c"), ("( a ) [b ]", "(a) [b]"), ('say " hi " now', 'say "hi" now'), ("x  y\t\tz", "x y z"), ("3.5", "3. 5"), ("wait...what ?!", "wait... what?!"), (' " a\'b " ', '" a\'b "'),
+    ("。甲 ，乙", "。 甲， 乙"), ("it's ' q ', ok", "it's 'q', ok"), ("", ""), ("  ", ""), ('a"b " c " d', 'a"b "c" d'),
+]
+
+
+def test_punctuation_spacing(spark):
+    d = spark.createDataFrame(SPACED, "x string, want string").select("x", "want", X.punctuation_spacing(F.col("x")).alias("got"))
+    assert [(r.x, r.got) for r in d.collect()] == SPACED
 
 
 def test_spoken_text(spark):
