@@ -7,6 +7,7 @@ import gc
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,12 +58,27 @@ def _clean() -> None:
             return
 
 
+#: Spark's setting to remove a query's shuffle files when it ends. What is written is read from its table, never again from a shuffle.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def written(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
     """df as a table in the shared folder, in folders by a column if given: its lineage is cut, and lost executors lose nothing."""
     spark = df.sparkSession
     path = scratch(spark, what)
     w = df.write.option("compression", "zstd")
-    (w.partitionBy(by) if by else w).parquet(path)
+    with _shuffles_removed(spark):
+        (w.partitionBy(by) if by else w).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out
@@ -72,7 +88,8 @@ def bucketed(df: DataFrame, what: str, by: str, buckets: int) -> DataFrame:
     """As written(), dealt to buckets by a column: grouping by it later needs no shuffle of this table."""
     spark = df.sparkSession
     path, name = scratch(spark, what), f"tessera_{uuid.uuid4().hex}"
-    df.repartition(buckets, by).write.option("compression", "zstd").option("path", path).bucketBy(buckets, by).format("parquet").saveAsTable(name)
+    with _shuffles_removed(spark):
+        df.repartition(buckets, by).write.option("compression", "zstd").option("path", path).bucketBy(buckets, by).format("parquet").saveAsTable(name)
     out = spark.table(name)
     out._written_at, out._table = path, name
     return out
