@@ -24,12 +24,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import CHUNK_WORDS, SENT, Meeting, chunk_number, distinct, from_planes, looked_up, met, planes, received, sent, table, tallied
+from tessera.llm.chunks import SENT, Meeting, chunk_number, distinct, from_planes, looked_up, met, planes, received, sent, table, tallied
 from tessera.llm.runtime import bucketed, discard, parts_for, release, tune, written
 from tessera.llm.words import hashes, joined, mix
 
 #: Counts above are not discounted.
 FREQUENT = 5
+#: Words of a chunk, give or take a hundred documents; a task holds some 300 bytes for each.
+CHUNK_WORDS = 1 << 20
 #: Bytes of documents whose n-grams meet in one task.
 PART_BYTES = 4 << 20
 #: Stand for the end and the start of a text; words hold no white space.
@@ -380,7 +382,7 @@ def train(corpus: Corpus, *, order: int = 3, keep: bool = True) -> Model:
         meetings = {COUNTS + n: Meeting(1, _counted, lambda sums: _tally(sums[:, 0]))}
         if step["histories"]:
             meetings[WEIGHTS + n - 1] = Meeting(_STATS, _weighed(known.ds[n - 2]))
-        out = written(met(_sent(corpus, known, **step), meetings, keep), f"lm-step{n}", by="kind")
+        out = written(met(_sent(corpus, known, **step), meetings, keep), f"lm-step{n}", by="kind", clean=True)
         corpus.answers.append(out)
         model.tables.append(out)
         release(spark)
@@ -403,7 +405,7 @@ def _ask(corpus: Corpus, model: Model) -> None:
         step = {"counts": n if n <= model.order else 0, "histories": n - 1 if n > 2 else 0}
         if any(step.values()):
             asked = _sent(corpus, model.known, **step).where("keys IS NOT NULL")
-            corpus.answers.append(written(looked_up(asked, model.tables[n - 1].where("kind = 0"), 2), f"lm-answers{n}", by="kind"))
+            corpus.answers.append(written(looked_up(asked, model.tables[n - 1].where("kind = 0"), 2), f"lm-answers{n}", by="kind", clean=True))
     corpus.answered = model
 
 

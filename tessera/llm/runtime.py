@@ -7,7 +7,7 @@ import gc
 import math
 import tempfile
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,12 +72,15 @@ def _shuffles_removed(spark: SparkSession):
         spark.conf.set(CLEANUP, before)
 
 
-def written(df: DataFrame, what: str, by: str | None = None) -> DataFrame:
-    """df as a table in the shared folder, in folders by a column if given: its lineage is cut, and lost executors lose nothing."""
+def written(df: DataFrame, what: str, by: str | None = None, clean: bool = False) -> DataFrame:
+    """df as a table in the shared folder, in folders by a column if given: its lineage is cut, and lost executors lose nothing.
+
+    With clean its shuffle files are removed at once, not when Java's garbage is collected.
+    """
     spark = df.sparkSession
     path = scratch(spark, what)
     w = df.write.option("compression", "zstd")
-    with _shuffles_removed(spark):
+    with _shuffles_removed(spark) if clean else nullcontext():
         (w.partitionBy(by) if by else w).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
