@@ -38,6 +38,8 @@ DISGUISED = 0.3
 TOXIC_COST, COST, MOST_TIMES = 50.0, 50.0, 20.0
 #: Bounds of what is learnt from: documents of either label, landmarks, strings of clean documents.
 PER_CLASS, LANDMARKS, NEGATIVES = 1000, 600, 10_000
+#: Expected number of strings that are taken for insults by chance.
+CHANCE = 0.05
 THRESHOLD = 0.7
 #: Strings of a text that make its score.
 TOP = 3
@@ -193,14 +195,34 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, fl
     return w[:-1], float(w[-1])
 
 
+def by_chance(k: int, n: int, share: float) -> float:
+    """The probability that k or more of n things fall where a share of all does."""
+    if share <= 0 or k > n:
+        return 0.0
+    if share >= 1 or k <= 0:
+        return 1.0
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share))
+    total = 0.0
+    for j in range(k, n + 1):
+        total += term
+        if term < 1e-6 * total:
+            break
+        term *= (n - j) / (j + 1) * share / (1 - share)
+    return min(1.0, total)
+
+
 def witnesses(toxic: list[list[set[str]]], clean: Counter, clean_sentences: int) -> Counter:
     """Strings that explain why documents are toxic, with the number of documents each explains.
 
     toxic: for each document the strings of its sentences; clean: in how many sentences of clean documents a string occurs.
     The string found in most different sentences of documents that fewer than TOP strings explain is taken first, so what
     merely stands beside insults in copies of a text is not. What clean documents hold too counts less.
+
+    A rare word may stand in toxic sentences alone by chance. So a string must stand there so often that, were all
+    strings dealt to sentences without regard to labels, fewer than CHANCE of those looked at would: a test for each, at CHANCE by their number.
     """
     total = sum(len(d) for d in toxic)
+    share = total / max(1, total + clean_sentences)
     at: dict[str, list[tuple[int, int]]] = {}
     for k, d in enumerate(toxic):
         for sentence in d:
@@ -212,7 +234,13 @@ def witnesses(toxic: list[list[set[str]]], clean: Counter, clean_sentences: int)
     def gain(w: str) -> float:
         return len({mark for k, mark in at[w] if times[k] < TOP}) - 20 * clean[w] * total / max(1, clean_sentences)
 
-    waiting = [(-gain(w), w) for w in at if len(at[w]) > 2]
+    looked_at = [w for w in at if len(at[w]) > 2]
+
+    def significant(w: str) -> bool:
+        k = len({mark for _, mark in at[w]})
+        return by_chance(k, k + clean[w], share) * len(looked_at) < CHANCE
+
+    waiting = [(-gain(w), w) for w in looked_at if significant(w)]
     heapq.heapify(waiting)
     while waiting and -waiting[0][0] > 2:
         _, w = heapq.heappop(waiting)
