@@ -26,7 +26,9 @@ def rotate(turns: DataFrame, *, context_roles: tuple[str, ...] = ("system",), tu
 
     Turns are ordered by turn, role, text. Equal rows count once; different ones of one turn number are all
     rendered. A null or empty role is 'unknown', a null text empty, null turns form a chunk of their own that is
-    null, null conv_ids one conversation. A conversation with context roles alone gives no row.
+    null, null conv_ids one conversation. A conversation with context roles alone gives no row. An empty table gives
+    none either, other columns are ignored, and texts are rendered whole however long; a row grows with its turns' texts. Marks that
+    a text holds itself are not escaped.
     """
     role = F.when(F.trim("role") == "", None).otherwise(F.col("role"))
     t = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(role, F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).distinct()

@@ -37,7 +37,7 @@ PART_BYTES = 4 << 20
 #: Stand for the end and the start of a text; words hold no white space.
 END, START = b"\n", b"\t"
 _CHUNK = "chunk long, ids binary, known binary, learnt binary, lengths binary, hashes binary, numbers binary"
-#: Of a history: how many n-grams it begins with count 1 to FREQUENT, the sum of the shorter history's P over words seen, and whether a chunk needs bow.
+#: Of a history: how often n-grams of count 1 to FREQUENT that it begins occur, the sum of the shorter history's P over words seen, and whether a chunk needs bow.
 _STATS = FREQUENT + 2
 #: Tags of what chunks send and are answered, to which the order is added.
 COUNTS, WEIGHTS = 0, 100
@@ -173,8 +173,7 @@ class Words:
 
 def left_over(stats: np.ndarray, d: np.ndarray) -> np.ndarray:
     """Of histories, from their _STATS: what discounts leave of the counts (0: nothing), and 1 less the shorter history's P over words seen."""
-    r = np.arange(1, FREQUENT + 1)
-    left = (np.rint(stats[:, :FREQUENT]) * r * (1 - d[r])).sum(1)
+    left = (stats[:, :FREQUENT] * (1 - d[1:])).sum(1)
     return np.column_stack([left, np.maximum(1 - stats[:, FREQUENT], 1e-300)])
 
 
@@ -221,7 +220,7 @@ class Levels:
         return (count > 0) & shared
 
     def histories(self, n: int) -> np.ndarray:
-        """For each key of order n - 1 its _STATS from this chunk: n-grams by this chunk's share of their occurrences."""
+        """For each key of order n - 1 its _STATS from this chunk: occurrences here, and P of n-grams by the share of their occurrences that is here."""
         if n not in self.begun:
             t = self.t
             size = len(t.level(n - 1)[0])
@@ -230,7 +229,7 @@ class Levels:
             share = here / np.maximum(count, 1)
             out = np.zeros((size, _STATS))
             few = np.flatnonzero((count > 0) & (count <= FREQUENT))
-            out[:, :FREQUENT] = np.bincount(of[few] * FREQUENT + count[few].astype(np.int64) - 1, share[few], size * FREQUENT).reshape(size, FREQUENT)
+            out[:, :FREQUENT] = np.bincount(of[few] * FREQUENT + count[few].astype(np.int64) - 1, here[few], size * FREQUENT).reshape(size, FREQUENT)
             out[:, FREQUENT] = np.bincount(of, share * t.spread(n, self.p(n - 1)), size)
             out[:, FREQUENT + 1] = np.bincount(of[count == 0], minlength=size) > 0
             self.begun[n] = out
