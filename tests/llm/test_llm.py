@@ -688,9 +688,10 @@ def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
 
 
 def test_classifiers_on_odd_texts(spark):
-    rows = [(d, prose(30) + (" vlorpane" if d % 4 == 0 else "")) for d in range(120)]
+    rng = random.Random(77)
+    rows = [(d, prose(30, rng) + (" vlorpane" if d % 4 == 0 else "")) for d in range(120)]
     labels = spark.createDataFrame([(d, d % 2, int(d % 4 == 0)) for d, _ in rows], "doc_id long, quality int, toxic int")
-    odd_rows = [(1000, None), (1001, ""), (1002, "\n \t"), (1003, prose(100_000)), (1003, "again"), (None, "x"), (1004, "\ud83d\ude00 ... !!")]
+    odd_rows = [(1000, None), (1001, ""), (1002, "\n \t"), (1003, prose(100_000, rng)), (1003, "again"), (None, "x"), (1004, "\ud83d\ude00 ... !!")]
     docs = frame(spark, [*rows, *odd_rows])
     for op in (toxicity, quality):
         got = op.score(docs, op.train(docs, labels)).collect()
