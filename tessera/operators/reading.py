@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import bounded
+from tessera.functions.text import bounded, stripped
 
 # --- excerpts (T22) ---
 
@@ -276,3 +276,24 @@ def error_tokens(c: Column, ignored: Sequence[str] = (), case_sensitive: bool =
     if not keep_tags:
         out = F.filter(F.transform(out, lambda x: F.regexp_replace(x, "<[^>]*>?", "")), lambda x: x != "")
     return out
+
+
+# --- titles that were crawled (P21) ---
+
+# A title that is a number alone, what a model says in place of one, two sentences in a row, and hosts of sites.
+BARE_TITLE = r"(?iu)\A(?:chapter|chương)\s+\d+[\s.]*\z"
+NO_TITLE = r"(?iu)\A\((?:no text|the text|narration|văn bản)"
+SENTENCES_IN_TITLE = r"[!?]\s+\S|\.\s+[A-ZÀ-ỹ]"
+HOST_IN_TITLE = r"(?i)\b\w[\w-]+\.(?:com|net|org|vn|one|io|me|xyz)\b"
+
+
+def suspicious_title(c: Column) -> Column:
+    """No title, or none worth keeping: blank, a number alone, or a model's remark."""
+    t = stripped(F.coalesce(c, F.lit("")))
+    return (t == "") | t.rlike(BARE_TITLE) | t.rlike(NO_TITLE)
+
+
+def valid_title(c: Column) -> Column:
+    """Whether a title may replace another: 2 to 120 characters, not suspicious, no prose and no site's name."""
+    t = stripped(F.coalesce(c, F.lit("")))
+    return F.length(t).between(2, 120) & ~suspicious_title(c) & ~t.rlike(SENTENCES_IN_TITLE) & ~t.rlike(HOST_IN_TITLE)

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions import normal, scripts
 from tessera.operators import charmaps as C
+from tessera.operators import reading as R
 from tessera.operators.dictionary import found_terms
-from tessera.plans.registry import Tables, query
+from tessera.plans.registry import Tables, query, scratch
+from tessera.sources import io
 
 # A customer's orders stand for a character map: an entry for each order, named by its priority, with lines that vary with its number.
 
@@ -109,3 +111,24 @@ def _(t: Tables) -> DataFrame:
     text = F.concat("text", F.lit(" — нет 12 ² กา 한글 漢字 é!"))
     d = scripts.duration(text, F.lit("abcdefghijkl"), (F.col("doc_id") % 3).cast("double"))
     return t.documents.select("doc_id", F.round(d, 6).alias("seconds"))
+
+
+_TITLE_SQL = """CASE p_partkey % 8 WHEN 0 THEN NULL WHEN 1 THEN ' Chapter ' || p_partkey || '. ' WHEN 2 THEN '(No text) ' || p_name WHEN 3 THEN p_name || '! and more' WHEN 4 THEN p_name || '. Then' WHEN 5 THEN p_name || ' truyen1.one'
+    WHEN 6 THEN repeat(p_name, 12) ELSE p_name END"""
+
+
+@query("p21_titles", rf"""WITH t AS (SELECT p_partkey, trim(coalesce({_TITLE_SQL}, '')) AS t FROM part),
+    s AS (SELECT *, t = '' OR regexp_matches(t, '(?i)^(chapter|chương)\s+\d+[\s.]*$') OR regexp_matches(t, '(?i)^\((no text|the text|narration|văn bản)') AS suspicious FROM t)
+    SELECT p_partkey, suspicious, length(t) BETWEEN 2 AND 120 AND NOT suspicious AND NOT regexp_matches(t, '[!?]\s+\S|\.\s+[A-ZÀ-ỹ]') AND NOT regexp_matches(t, '(?i)\b\w[\w-]+\.(com|net|org|vn|one|io|me|xyz)\b') AS valid FROM s""")
+def _(t: Tables) -> DataFrame:
+    d = t.part.select("p_partkey", F.expr(_TITLE_SQL).alias("t"))
+    return d.select("p_partkey", R.suspicious_title(F.col("t")).alias("suspicious"), R.valid_title(F.col("t")).alias("valid"))
+
+
+@query("s18_language_map", "SELECT 'c' || c_custkey % 40 AS iso, 'id' || max(c_custkey) AS language_id FROM customer GROUP BY c_custkey % 40")
+def _(t: Tables) -> DataFrame:
+    """Customers as a language table, sorted by key, in one file of which the last line of a code counts."""
+    at = scratch(t.spark, "languages")
+    d = t.customer.select("c_custkey", F.concat(F.lit("id"), "c_custkey").alias("language_id"), F.col("c_name").alias("language_name"), F.concat(F.lit("c"), (F.col("c_custkey") % 40).cast("string")).alias("iso_639_3_id"), F.lit(1.5).alias("train_data_duration"))
+    io.write_tsv(d.coalesce(1).sortWithinPartitions("c_custkey").drop("c_custkey"), at)
+    return io.language_map(t.spark, at)

@@ -53,6 +53,13 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.write.option("sep", "\t").option("header", True).mode("overwrite").csv(path)
 
 
+def language_map(spark: SparkSession, path: str) -> DataFrame:
+    """iso, language_id of a TSV of language_id, language_name, iso_639_3_id, train_data_duration; of a code that repeats the last line counts."""
+    d = tsv(spark, path, "language_id string, language_name string, iso string, duration double")
+    d = d.withColumn("at", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()))
+    return d.groupBy("iso").agg(F.max_by("language_id", "at").alias("language_id"))
+
+
 def as_json_lines(df: DataFrame) -> DataFrame:
     """A JSON object for each row, null fields left out."""
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
