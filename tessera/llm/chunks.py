@@ -111,6 +111,20 @@ def from_planes(data: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(unzipped(data, "u1").reshape(size, -1).T).view(dtype).ravel()
 
 
+def framed(*parts: bytes) -> bytes:
+    """Several packed arrays as one, each after its length."""
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def unframed(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        size = int.from_bytes(data[at : at + 8], "little")
+        out.append(data[at + 8 : at + 8 + size])
+        at += 8 + size
+    return out
+
+
 def packed_keys(ascending: np.ndarray) -> bytes:
     return planes(np.diff(ascending, prepend=np.uint64(0)))
 
@@ -170,20 +184,27 @@ class Meeting:
 
     Equal keys are added up in `width` columns. answer(sums, chunks, at, columns) gives the table's columns, a row for each key, and the
     answers, a row for each that was sent: sums and the number of chunks by key, the number of the key by row sent, and what was
-    sent. tally(sums) gives numbers that are added up over all parts.
+    sent. tally(sums) gives numbers that are added up over all parts. numbered(sums, chunks) tells which keys get numbers, in their order;
+    then answers end with the key's number in its part, less that of the key before (other keys have the number of the last that has one).
     """
 
-    def __init__(self, width: int, answer, tally=None):
-        self.width, self.answer, self.tally = width, answer, tally
+    def __init__(self, width: int, answer, tally=None, numbered=None):
+        self.width, self.answer, self.tally, self.numbered = width, answer, tally, numbered
 
 
 def met(rows: DataFrame, meetings: dict[int, Meeting], keep: bool = True) -> DataFrame:
-    """BACK of the rows of SENT, by their tags. Without keep the tables' own rows are left out."""
+    """BACK of the rows of SENT, by their tags. Without keep the tables' own rows are left out.
+
+    Instead of a Meeting a tag may have a function of a part's number and its rows (chunk, keys, columns) that gives rows of BACK.
+    """
 
     def run(t: pa.Table) -> pa.Table:
         tag, part, more = t["tag"][0].as_py(), t["part"][0].as_py(), 0.0
         m, chunks, packed, columns = meetings[tag], [], [], [np.zeros(0)]
-        for chunk, keys, values in zip(*(t[c].to_pylist() for c in ("chunk", "keys", "columns")), strict=True):
+        rows = zip(*(t[c].to_pylist() for c in ("chunk", "keys", "columns")), strict=True)
+        if not isinstance(m, Meeting):
+            return pa.Table.from_batches([table(m(part, list(rows)), BACK)])
+        for chunk, keys, values in rows:
             values = from_planes(values, "<f8")
             if keys is None:
                 more = more + values
@@ -194,13 +215,18 @@ def met(rows: DataFrame, meetings: dict[int, Meeting], keep: bool = True) -> Dat
         columns = np.concatenate(columns).reshape(-1, m.width)
         keys, at = distinct(np.concatenate([np.zeros(0, np.uint64), *packed]))
         sums = np.column_stack([np.bincount(at, columns[:, i], len(keys)) for i in range(m.width)])
-        own, back = m.answer(sums, np.bincount(at, minlength=len(keys)), at, columns)
+        holding = np.bincount(at, minlength=len(keys))
+        own, back = m.answer(sums, holding, at, columns)
+        number = np.cumsum(m.numbered(sums, holding))[at] if m.numbered else None
         out, place = [], 0
         if keep:
             some = own.any(axis=1)
             out.append((0, tag, part, None, packed_keys(keys[some]), planes(own[some].ravel())))
         for chunk, mine in zip(chunks, packed, strict=True):
-            out.append((1, tag, part, chunk, None, planes(back[place : place + len(mine)].ravel())))
+            own_back = back[place : place + len(mine)]
+            if m.numbered:
+                own_back = np.column_stack([own_back, np.diff(number[place : place + len(mine)], prepend=0)])
+            out.append((1, tag, part, chunk, None, planes(own_back.ravel())))
             place += len(mine)
         if m.tally:
             out.append((2, tag, part, None, None, planes(m.tally(sums) + more)))

@@ -8,7 +8,9 @@ be discounted is counted once more, so it too leaves something.
 
 Texts become chunks of word numbers once, and stay where they are. In each step chunks meet: their sorted keys (64-bit hashes of word
 sequences) are added up in parts of a table and answered to every chunk that sent them, counts of one order with the histories of
-the order before.
+the order before. From order 3 on all n-grams of a history meet in one part, sent as the history's number and the numbers of their
+last words, each with the count that it has without its first word: so the part knows what the history leaves, and counts and weights
+come with one answer. Only histories that occur more than TOGETHER times are dealt as those of order 2, n-gram by n-gram.
 What no other chunk holds is never sent: an n-gram whose first words occur in one chunk alone is counted there, and so is such a
 history; an n-gram after a history that was never learnt has count 0. The tables' own rows are the model.
 
@@ -18,13 +20,15 @@ pair for 3 * 10^8 words. Such a pair shares its count.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.chunks import SENT, Meeting, chunk_number, distinct, from_planes, looked_up, met, planes, received, sent, table, tallied
+from tessera.llm.chunks import SENT, Meeting, chunk_number, cuts, distinct, framed, from_planes, looked_up, met, packed_keys, planes, received, sent, table, tallied, unframed, unpacked_keys
 from tessera.llm.runtime import bucketed, discard, parts_for, release, tune, written
 from tessera.llm.words import hashes, joined, mix
 
@@ -34,13 +38,15 @@ FREQUENT = 5
 CHUNK_WORDS = 1 << 20
 #: Bytes of documents whose n-grams meet in one task.
 PART_BYTES = 4 << 20
+#: How often a history occurs at most whose n-grams meet in one task.
+TOGETHER = 1 << 20
 #: Stand for the end and the start of a text; words hold no white space.
 END, START = b"\n", b"\t"
 _CHUNK = "chunk long, ids binary, known binary, learnt binary, lengths binary, hashes binary, numbers binary"
 #: Of a history: how often n-grams of count 1 to FREQUENT that it begins occur, the sum of the shorter history's P over words seen, and whether a chunk needs bow.
 _STATS = FREQUENT + 2
 #: Tags of what chunks send and are answered, to which the order is added.
-COUNTS, WEIGHTS = 0, 100
+COUNTS, WEIGHTS, GROUPS = 0, 100, 200
 _GOT = "tag int, chunk long, part int, columns binary"
 
 
@@ -186,6 +192,8 @@ class Levels:
         for tag, part, columns in zip(*(got[c].to_pylist() for c in ("tag", "part", "columns")), strict=True):
             self.got.setdefault(tag, {})[part] = columns
         self.counted, self.weighed, self.chances, self.begun = {}, {}, {}, {}
+        #: by order the numbers of keys in their parts, n-grams that meet by their histories, and what those leave
+        self.numbers, self.grouped, self.left = {}, {}, {}
 
     def counts(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """For each key of order n how often it was learnt anywhere, and whether other chunks hold it too."""
@@ -195,11 +203,76 @@ class Levels:
             asked = self.asked(n)
             alone = self.after_alone(n) if n > 1 else np.zeros(len(keys), bool)
             count[alone] = self.t.occurrences(n)[alone]
-            a = received(self.got.get(COUNTS + n, {}), keys[asked], self.m.parts, 2)
+            a = received(self.got.get(COUNTS + n, {}), keys[asked], self.m.parts, 3 if self.m.numbered(n) else 2)
             count[asked], shared[asked] = a[:, 0], (a[:, 1] > 0) | self.m.keep
+            if self.m.numbered(n):
+                self.numbers[n] = self._numbers(keys, asked, a[:, 2])
+            if self.m.together(n):
+                self._from_groups(n, count, shared)
             self.counted[n] = count, shared
         return self.counted[n]
 
+    def _numbers(self, keys: np.ndarray, asked: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each key its number in its part, and that part."""
+        number, part = np.zeros(len(steps), np.int64), np.zeros(len(steps), np.int64)
+        for p, at in cuts(keys[asked], self.m.parts):
+            number[at], part[at] = np.cumsum(steps[at]), p
+        out = np.zeros((2, len(keys)), np.int64)
+        out[:, asked] = number, part
+        return out[0], out[1]
+
+    def _groups(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Histories (keys of order n - 1) whose n-grams meet together, how many of those are here, and their keys of order n, history by history."""
+        if n not in self.grouped:
+            of = self.t.spread(n, self.t.before(n))
+            count, shared = self.counts(n - 1)
+            at = np.flatnonzero(((count > 0) & shared & ~self.frequent(n))[of])
+            both = np.sort(of[at] << 32 | at)
+            of, at = both >> 32, both & 0xFFFFFFFF
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            self.grouped[n] = of[first], np.diff(first, append=len(of)), at
+        return self.grouped[n]
+
+    def _group_slices(self, n: int, histories: np.ndarray, sizes: np.ndarray):
+        """For each part its number, its histories and their n-grams."""
+        ends = np.append(0, np.cumsum(sizes))
+        for p, h in cuts(self.t.level(n - 1)[0][histories], self.m.parts):
+            yield p, h, slice(ends[h.start], ends[h.stop])
+
+    def sent_groups(self, n: int, chunk: int) -> list[tuple]:
+        """Rows of SENT: histories, how many n-grams each has here, and of these the last word, the occurrences and the count without the first word."""
+        t = self.t
+        histories, sizes, at = self._groups(n)
+        lower = t.spread(n, self.counts(n - 1)[0][t.level(n - 1)[1]])[at]
+        number, part = self.numbers[1]
+        word = t.spread(n, (number * self.m.parts + part)[t.level(1)[1]])[at]
+        here = t.occurrences(n)[at]
+        # n-grams of order 3 were themselves counted by history, so those have no number in the part of their key
+        ids = self.numbers[2][0].astype(np.uint64) if n == 3 else t.level(n - 1)[0]
+        return [
+            (GROUPS + n, p, chunk, packed_keys(ids[histories[h]]), framed(planes(sizes[h].astype("<u4")), planes(word[g].astype("<u4")), planes(here[g].astype("<u4")), planes(lower[g].astype("<u8"))))
+            for p, h, g in self._group_slices(n, histories, sizes)
+        ]
+
+    def _from_groups(self, n: int, count: np.ndarray, shared: np.ndarray) -> None:
+        answers = self.got.get(GROUPS + n, {})
+        histories, sizes, at = self._groups(n)
+        stats, lower = np.zeros((len(histories), FREQUENT)), np.zeros(len(histories))
+        for p, h, g in self._group_slices(n, histories, sizes):
+            counts, held, some, own, low = unframed(answers[p])
+            counts = from_planes(counts, "<u4")
+            count[at[g]], shared[at[g]] = counts, from_planes(held, "?")
+            # of a history that needs no bow it is enough to know whether anything is left over
+            stats[h] = from_planes(some, "u1")[:, None] >> np.arange(FREQUENT) & 1
+            wanting = h.start + _wanting(counts, sizes[h])
+            stats[wanting], lower[wanting] = from_planes(own, "<u4").reshape(-1, FREQUENT), from_planes(low, "<f8")
+        self.left[n] = histories, stats, lower
+
+    def frequent(self, n: int) -> np.ndarray:
+        """Keys of order n - 1 whose n-grams are dealt one by one."""
+        count = self.counts(n - 1)[0]
+        return count > self.m.limit if self.m.together(n) else np.ones(len(count), bool)
+
     def _history(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """For each key of order n its history's count and whether that is shared; the start counts as learnt and shared."""
         count, shared = self.counts(n - 1)
@@ -213,11 +286,11 @@ class Levels:
         return ~self._history(n)[1]
 
     def asked(self, n: int) -> np.ndarray:
-        """Keys of order n that other chunks may hold: those with a learnt history that is shared."""
+        """Keys of order n that are sent one by one: those with a learnt history that is shared, and frequent."""
         if n == 1:
             return np.ones(len(self.t.level(1)[0]), bool)
         count, shared = self._history(n)
-        return (count > 0) & shared
+        return (count > 0) & shared & self.frequent(n)[self.t.spread(n, self.t.before(n))]
 
     def histories(self, n: int) -> np.ndarray:
         """For each key of order n - 1 its _STATS from this chunk: occurrences here, and P of n-grams by the share of their occurrences that is here."""
@@ -236,12 +309,12 @@ class Levels:
         return self.begun[n]
 
     def sent_histories(self, n: int) -> np.ndarray:
-        """Keys of order n - 1 whose weights others need or know: shared, learnt, and before something here."""
+        """Keys of order n - 1 whose weights others need or know, and that are frequent: shared, learnt, and before something here."""
         t, (count, shared) = self.t, self.counts(n - 1)
         begins = np.zeros(len(count), bool)
         before = t.before(n)
         begins[before[before >= 0]] = True
-        chosen = begins & (count > 0) & shared
+        chosen = begins & (count > 0) & shared & self.frequent(n)
         if n == 2:
             chosen[t.start] = True
         return chosen
@@ -252,7 +325,13 @@ class Levels:
             keys, _ = self.t.level(n - 1)
             left = left_over(self.histories(n), self.m.ds[n - 1])
             chosen = self.sent_histories(n)
-            left[chosen] = received(self.got.get(WEIGHTS + n, {}), keys[chosen], self.m.parts, 2)
+            if chosen.any():
+                left[chosen] = received(self.got[WEIGHTS + n], keys[chosen], self.m.parts, 2)
+            if self.m.together(n):
+                self.counts(n)
+                histories, stats, lower = self.left[n]
+                shorter = self.t.spread(n - 1, self.weights(n - 1)[1][self.t.level(n - 2)[1]])
+                left[histories] = left_over(np.column_stack([stats, lower / shorter[histories]]), self.m.ds[n - 1])
             count = self.counts(n - 1)[0].copy()
             if n == 2:
                 count[self.t.start] = self.m.starts
@@ -278,10 +357,18 @@ class Known:
     """The few numbers of a model that every chunk needs; with keep nothing is left to a chunk alone."""
 
     def __init__(self, parts: int, keep: bool):
-        self.parts, self.keep, self.words, self.starts = parts, keep, Words(0, 0, [0.0] * (FREQUENT + 1)), 0
+        self.parts, self.keep, self.words, self.starts, self.limit = parts, keep, Words(0, 0, [0.0] * (FREQUENT + 1)), 0, TOGETHER
         #: discounts by order, less one
         self.ds: list[np.ndarray] = []
 
+    def together(self, n: int) -> bool:
+        """Whether n-grams of order n meet by their history. Tables that other documents ask have them one by one."""
+        return n > 2 and not self.keep
+
+    def numbered(self, n: int) -> bool:
+        """Whether chunks are told the numbers of keys of order n."""
+        return n < 3 and not self.keep
+
 
 class Model:
     """Tables of a fitted model (rows of kind 0), by step and tag: the counts of n-grams (words are order 1) and what histories leave over."""
@@ -302,18 +389,19 @@ class Corpus:
         tune(docs.sparkSession)
         self.parts = parts_for(docs, PART_BYTES)
         learnt = F.lit(False) if learnt is None else F.coalesce(learnt, F.lit(False))
-        self.chunks = bucketed(_chunks(docs, learnt), "lm-chunks", "chunk", parts_for(docs, 2 * PART_BYTES))
+        self.buckets = parts_for(docs, 2 * PART_BYTES)
+        self.chunks = bucketed(_chunks(docs, learnt), "lm-chunks", "chunk", self.buckets)
         self.answers: list[DataFrame] = []
         #: the model whose answers these are
         self.answered: Model | None = None
 
+    @staticmethod
+    def _answered(tables: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, (t.where("kind = 1").select("tag", "chunk", "part", "columns") for t in tables))
+
     def each(self, run, schema: str) -> DataFrame:
         """run(row, answers) gives rows for each chunk; answers has a tag, part and columns. The chunks stay where they are, answers come to them."""
-        got = None
-        for a in self.answers:
-            a = a.where("kind = 1").select("tag", "chunk", "part", "columns")
-            got = a if got is None else got.unionByName(a)
-        got = self.chunks.sparkSession.createDataFrame([], _GOT) if got is None else got
+        got = self._answered(self.answers) if self.answers else self.chunks.sparkSession.createDataFrame([], _GOT)
 
         def one(t: pa.Table, a: pa.Table) -> pa.Table:
             return pa.Table.from_batches([table([r for row in t.to_pylist() for r in run(row, a)], schema)])
@@ -324,9 +412,9 @@ class Corpus:
         discard(self.chunks, *self.answers)
 
 
-def _tally(counts: np.ndarray, texts: int = 0) -> np.ndarray:
-    """Occurrences, kinds, texts, and how many kinds of count 1 to FREQUENT + 1."""
-    return np.array([counts.sum(), (counts > 0).sum(), texts, *((counts == r).sum() for r in range(1, FREQUENT + 2))], float)
+def _tally(counts: np.ndarray, limit: int, texts: int = 0) -> np.ndarray:
+    """Occurrences, kinds, texts, kinds that occur more than limit times, and how many kinds of count 1 to FREQUENT + 1."""
+    return np.array([counts.sum(), (counts > 0).sum(), texts, (counts > limit).sum(), *((counts == r).sum() for r in range(1, FREQUENT + 2))], float)
 
 
 def _sent(corpus: Corpus, model: Known, *, counts: int = 0, histories: int = 0) -> DataFrame:
@@ -342,7 +430,11 @@ def _sent(corpus: Corpus, model: Known, *, counts: int = 0, histories: int = 0)
             out += sent(WEIGHTS + histories, chunk, at.t.level(histories - 1)[0][chosen], at.histories(histories)[chosen], model.parts)
         if counts:
             asked, here = at.asked(counts), at.t.occurrences(counts)
-            out.append((COUNTS + counts, chunk % model.parts, chunk, None, planes(_tally(here[~asked], int(at.t.learnt.sum())))))
+            unsent = ~asked
+            if model.together(counts):
+                out += at.sent_groups(counts, chunk)
+                unsent[at._groups(counts)[2]] = False
+            out.append((COUNTS + counts, chunk % model.parts, chunk, None, planes(_tally(here[unsent], model.limit, int(at.t.learnt.sum())))))
             out += sent(COUNTS + counts, chunk, at.t.level(counts)[0][asked], here[asked, None].astype("<f8"), model.parts)
         return out
 
@@ -354,6 +446,11 @@ def _counted(sums: np.ndarray, chunks: np.ndarray, at: np.ndarray, columns: np.n
     return np.column_stack([sums[:, 0], sums[:, 0] > 0]), np.column_stack([sums[:, 0], chunks > 1])[at]
 
 
+def _numbered(n: int):
+    """Words are told apart by their numbers; of pairs only those that chunks share are asked for by number."""
+    return lambda sums, chunks: (chunks > 1) & (sums[:, 0] > 0) if n > 1 else chunks > 0
+
+
 def _weighed(d: np.ndarray):
     def answer(sums: np.ndarray, chunks: np.ndarray, at: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         own = left_over(sums, d)
@@ -366,27 +463,71 @@ def _weighed(d: np.ndarray):
     return answer
 
 
+def _wanting(counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which histories have an n-gram of count 0 among theirs, which follow each other: they need bow."""
+    return np.unique(np.repeat(np.arange(len(sizes)), sizes)[counts == 0])
+
+
+def _met_together(n: int, shorter: np.ndarray, limit: int):
+    """Counts of n-grams, which meet by their histories, and what these leave; shorter: the discounts of order n - 1."""
+
+    def run(part: int, rows: list[tuple]) -> list[tuple]:
+        ids = [unpacked_keys(keys) for _, keys, _ in rows]
+        sizes, words, here, lower = (list(x) for x in zip(*((from_planes(a, d).astype(np.int64) for a, d in zip(unframed(data), ("<u4", "<u4", "<u4", "<u8"), strict=True)) for _, _, data in rows), strict=True))
+        known, of = distinct(mix(np.concatenate(ids)))
+        history = np.repeat(of, np.concatenate(sizes))
+        # a bijection of history and word, so n-grams are told apart exactly
+        grams, at = distinct(mix((history << 32 | np.concatenate(words)).astype(np.uint64)))
+        total = np.bincount(at, np.concatenate(here), len(grams)).astype(np.int64)
+        held = np.bincount(at, minlength=len(grams)) > 1
+        begun, less = np.empty(len(grams), np.int64), np.empty(len(grams), np.int64)
+        begun[at], less[at] = history, np.concatenate(lower)
+        few, seen = np.flatnonzero((total > 0) & (total <= FREQUENT)), np.flatnonzero(total)
+        stats = np.bincount(begun[few] * FREQUENT + total[few] - 1, total[few], len(known) * FREQUENT).reshape(-1, FREQUENT)
+        some = ((stats > 0) << np.arange(FREQUENT)).sum(1).astype(np.uint8)
+        chances = np.bincount(begun[seen], discounted(less[seen], shorter), len(known))
+        out, h, g = [(2, COUNTS + n, part, None, None, planes(_tally(total, limit)))], 0, 0
+        for (chunk, _, _), size, word in zip(rows, sizes, words, strict=True):
+            own, mine = of[h : h + len(size)], at[g : g + len(word)]
+            wanting = own[_wanting(total[mine], size)]
+            answer = framed(planes(total[mine].astype("<u4")), planes(held[mine]), planes(some[own]), planes(stats[wanting].astype("<u4").ravel()), planes(chances[wanting]))
+            out.append((1, GROUPS + n, part, chunk, None, answer))
+            h, g = h + len(size), g + len(word)
+        return out
+
+    return run
+
+
 def train(corpus: Corpus, *, order: int = 3, keep: bool = True) -> Model:
     """Counts, discounts and weights from the learnt documents of corpus; corpus keeps its answers.
 
     What a step sends: the histories of one order, whose counts are known by then, and the counts of the next. With keep the tables are whole
-    and score other documents too; without, chunks answer themselves what no other chunk holds, and no table stays.
+    and score other documents too; without, chunks answer themselves what no other chunk holds, n-grams of order 3 on meet by their
+    histories but for the frequent ones, and no table stays.
     """
     model = Model(order, corpus.parts, keep)
-    known, spark = model.known, corpus.chunks.sparkSession
+    known, spark, frequent = model.known, corpus.chunks.sparkSession, {}
     for n in range(1, order + 2):
-        step = {"counts": n if n <= order else 0, "histories": n - 1 if n > 2 else 0}
+        step = {"counts": n if n <= order else 0, "histories": n - 1 if n > 2 and (not known.together(n - 1) or frequent[n - 2]) else 0}
         if not any(step.values()):
             break
-        meetings = {COUNTS + n: Meeting(1, _counted, lambda sums: _tally(sums[:, 0]))}
+        meetings = {COUNTS + n: Meeting(1, _counted, lambda sums: _tally(sums[:, 0], known.limit), _numbered(n) if known.numbered(n) else None)}
+        if step["counts"] and known.together(n):
+            meetings[GROUPS + n] = _met_together(n, known.ds[n - 2], known.limit)
         if step["histories"]:
             meetings[WEIGHTS + n - 1] = Meeting(_STATS, _weighed(known.ds[n - 2]))
-        out = written(met(_sent(corpus, known, **step), meetings, keep), f"lm-step{n}", by="kind", clean=True)
-        corpus.answers.append(out)
+        back = met(_sent(corpus, known, **step), meetings, keep)
+        # answers that a later step reads lie in one table, where the chunks do; those of the last counts, the most, are dealt to them only when what was sent is gone
+        if keep or n >= order:
+            out = written(back, f"lm-step{n}", by="kind", clean=True)
+            corpus.answers.append(out)
+        else:
+            out = bucketed(back, "lm-steps", "chunk", corpus.buckets, "kind", *corpus.answers)
+            corpus.answers = [out]
         model.tables.append(out)
         release(spark)
         if step["counts"]:
-            tokens, kinds, texts, *of = tallied(out, COUNTS + n, FREQUENT + 4)
+            tokens, kinds, texts, frequent[n], *of = tallied(out, COUNTS + n, FREQUENT + 5)
             known.ds.append(discounts(of))
             if n == 1:
                 known.words, known.starts = Words(int(tokens), int(kinds), of), int(texts)

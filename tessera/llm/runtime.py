@@ -87,12 +87,16 @@ def written(df: DataFrame, what: str, by: str | None = None, clean: bool = False
     return out
 
 
-def bucketed(df: DataFrame, what: str, by: str, buckets: int) -> DataFrame:
-    """As written(), dealt to buckets by a column: grouping by it later needs no shuffle of this table."""
+def bucketed(df: DataFrame, what: str, by: str, buckets: int, folders: str | None = None, to: DataFrame | None = None) -> DataFrame:
+    """As written(), dealt to buckets by a column: grouping by it later needs no shuffle of this table.
+
+    folders: by this column, if given. to: a table made so, to which df is added (a union of such tables would be shuffled); it may be read by df.
+    """
     spark = df.sparkSession
-    path, name = scratch(spark, what), f"tessera_{uuid.uuid4().hex}"
+    path, name = (scratch(spark, what), f"tessera_{uuid.uuid4().hex}") if to is None else (to._written_at, to._table)
     with _shuffles_removed(spark):
-        df.repartition(buckets, by).write.option("compression", "zstd").option("path", path).bucketBy(buckets, by).format("parquet").saveAsTable(name)
+        w = df.repartition(buckets, by).write.option("compression", "zstd").option("path", path)
+        (w.partitionBy(folders) if folders else w).bucketBy(buckets, by).format("parquet").mode("append").saveAsTable(name)
     out = spark.table(name)
     out._written_at, out._table = path, name
     return out

@@ -202,6 +202,29 @@ def test_katz_against_brute_force(spark, monkeypatch, order, size, keep):
         assert sum(brute.p(h, w) for (w,) in brute.c[1]) + brute.p(h, "no such word") == pytest.approx(1)
 
 
+@pytest.mark.parametrize(("order", "limit"), [(3, 1 << 20), (3, 6), (4, 6), (4, 0)])
+def test_katz_histories_with_their_ngrams(spark, monkeypatch, order, limit):
+    """From order 3 on weights come with the counts: histories are sent once more only where frequent ones are dealt n-gram by n-gram."""
+    monkeypatch.setattr(katz, "CHUNK_WORDS", 20)
+    monkeypatch.setattr(katz, "parts_for", lambda df, each: 5)
+    monkeypatch.setattr(katz, "TOGETHER", limit, raising=False)
+    rows = [*texts(60), *texts(60, seed=8), (500, "zzz unseen q the the", "en"), (501, "the the the", "en"), (502, "the the the", "en")]
+    rows = [(i, t, lang) for i, (_, t, lang) in enumerate(rows)]
+    corpus = katz.Corpus(frame(spark, rows).repartition(9), F.col("doc_id") % 4 != 1)
+    model = katz.train(corpus, order=order, keep=False)
+    assert len(corpus.answers) == 2 + (limit < 1 << 20)
+    last = {t for (t,) in corpus.answers[1].where("kind = 1").select("tag").distinct().collect()}
+    assert (katz.COUNTS + order in last) == (limit < 1 << 20) and (katz.GROUPS + order in last) == (limit > 0)
+    # earlier answers lie by chunk already
+    plan = corpus.chunks.groupBy("chunk").cogroup(corpus._answered(corpus.answers[:1]).groupBy("chunk")).applyInArrow(lambda a, b: a, corpus.chunks.schema)
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    brute = BruteKatz([tokens_of(t) for d, t, _ in rows if d % 4 != 1], order)
+    cache, known = brute.p, {}
+    brute.p = lambda h, w: known[h, w] if (h, w) in known else known.setdefault((h, w), cache(h, w))
+    got = {r.doc_id: r.score for r in katz.score(corpus, model).collect()}
+    assert got == {d: pytest.approx(brute.score(tokens_of(t)), rel=1e-7, abs=1e-7) for d, t, _ in rows}
+
+
 def test_katz_scores_other_documents(spark):
     rows = texts(40)
     model = katz.train(katz.Corpus(frame(spark, rows), F.lit(True)), order=2)
