@@ -79,7 +79,7 @@ class Writer:
         self.block, self.last, self.raw = io.BytesIO(), b"", 0
         self.index: list[bytes] = []
         self.keys: list[bytes] = []
-        self.codec = pa.Codec("zstd", 3)
+        self.codec = pa.Codec("zstd", 1)
 
     def add(self, key: bytes, ids: np.ndarray) -> None:
         shared = 0

@@ -11,6 +11,7 @@ KEPT_WORDS, KEPT_LENGTH = 400_000, 40
 _MARKS = ".,!?;:"
 #: From here on Python's letters may be newer than the tokenizer's.
 _RECENT = "\u0370"
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
 
 class _Known(dict):
@@ -26,7 +27,7 @@ class Encoder:
 
     A byte-level BPE never merges across the start of a " word" or a line end, nor between letters and marks after
     them, so ids of a text are those of its pieces in a row. Pieces seen before aren't encoded again; words of letters
-    go straight to the tokenizer's model. Odd texts, and tokenizers for which a probe shows otherwise, are
+    go straight to the tokenizer's model, once for all marks after them. Odd texts, and tokenizers for which a probe shows otherwise, are
     encoded as a whole.
     """
 
@@ -55,7 +56,7 @@ class Encoder:
         return self._packed(self.tok.encode(text, add_special_tokens=False).ids)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _PACKED[len(ids)](*ids) if len(ids) < 64 else struct.pack(f"<{len(ids)}I", *ids)
 
     def _pieces(self, text: str) -> bytes | None:
         """None for a text with other white space than single spaces and line ends between words."""
@@ -69,11 +70,18 @@ class Encoder:
 
     def _piece(self, before: str, word: str) -> bytes:
         core = word.rstrip(_MARKS)
-        if not core.isalpha() or max(core) >= _RECENT:
+        plain = core.isascii()
+        if not core.isalpha() or not plain and max(core) >= _RECENT:
             return self._whole(before + word)
-        shown = (self.space + core if before else core) if core.isascii() else (before + core).encode().decode("latin-1").translate(self.shown)
-        got = self._packed([t.id for t in self.model.tokenize(shown)])
-        if len(core) < len(word):
+        marked = len(core) < len(word)
+        # the same word with other marks, or without
+        got = (self.new.get(core) or self.old.get(core)) if marked and before else None
+        if got is None:
+            shown = (self.space + core if before else core) if plain else (before + core).encode().decode("latin-1").translate(self.shown)
+            got = self._packed([t.id for t in self.model.tokenize(shown)])
+            if marked and before and len(core) <= KEPT_LENGTH:
+                self.new[core] = got
+        if marked:
             end = word[len(core) :]
             if end not in self.marks:
                 if len(self.marks) > 10_000:

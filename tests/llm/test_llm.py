@@ -740,3 +740,18 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     assert dict(ids) == {d: [*x, 1] for d, x in zip(left, reference_ids(left.values()), strict=True)}
     stages = [s for s, _ in corpus_pipeline.STAGES]
     assert stages == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
+
+
+def test_words_are_encoded_once_for_all_marks():
+    e = tokens.Encoder(byte_bpe())
+    model, asked = e.model, []
+
+    class Counting:
+        def tokenize(self, shown):
+            asked.append(shown)
+            return model.tokenize(shown)
+
+    e.model = Counting()
+    text = "so zorblax, zorblax. zorblax zorblax! çelabrix; çelabrix\nzorblax, quimto"
+    assert e.encode(text) == e._whole(text)
+    assert len(asked) == 5 and len(set(asked)) == 5  # so, " zorblax", " çelabrix", zorblax after a line end, " quimto"
