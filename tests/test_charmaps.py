@@ -242,3 +242,28 @@ def test_terms_cost_one_scan(spark):
     assert took[100_000] < 20 * took[100] + 1
     d = spark.createDataFrame([(1, text)], "id long, x string")
     assert D.found_terms(d, "id", "x", spark.createDataFrame([(x,) for x in words], "term string")).agg(F.sum("n")).first()[0] == len(text.split())
+
+
+def test_terms_as_sql_counts_them(spark, tmp_path):
+    """ß and ss differ, each letter has its own lower case, and occurrences don't overlap."""
+    import duckdb
+
+    from tessera.plans import ORACLE_SQL, QUERIES
+
+    terms = ["Schließ die Tür", "SCHLIESS DIE TÜR", "a a a b", "ΟΔΟΣ x ΑΣ", "İI k l", "ǅ ﬁ ŉ", None, "  x", "x\n y z w"]
+    texts = ["schließ die tür, schliess die tür, SCHLIEẞ DIE TÜR", "a a a a a a a A A", "οδος x ας ΟΔΟΣ X ΑΣ", "İi K L, i̇I k l", "ǆ ﬁ ŉ", "", None, "   X  x", "X\n Y Z"]
+    spark.createDataFrame(list(enumerate(terms)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([*enumerate(texts), (1, texts[1])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    c = duckdb.connect()
+    for name in ("benchmark", "documents"):
+        c.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = c.sql(ORACLE_SQL["j17_terms_by_automaton"]).fetchall()
+    assert Counter(map(tuple, QUERIES["j17_terms_by_automaton"](spark, str(tmp_path)).select("doc_id", "term", "n").collect())) == Counter(want)
+    assert (0, "schließ die tür", 2) in want and (1, "a a a", 3) in want and (3, "i̇i k l", 1) not in want
+
+
+def test_lower_case_of_every_letter():
+    import duckdb
+
+    rows = duckdb.sql("SELECT chr(i::INTEGER), lower(chr(i::INTEGER)) FROM range(1, 1114112) r(i) WHERE i NOT BETWEEN 55296 AND 57343").fetchall()
+    assert [x for x, low in rows if D.lowered(x) != low] == []
