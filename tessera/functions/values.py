@@ -63,6 +63,12 @@ def length_ratio(a: Column, b: Column) -> Column:
     return size(a) / F.nullif(size(b), F.lit(0))
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """A number of at least 0, halves upwards, as DuckDB's round() does: by the product, so 0.575 gives 0.57, as 0.575 * 100 is below 57.5."""
+    x = c * 10.0**digits
+    return (F.floor(x) + F.when(x - F.floor(x) >= 0.5, 1).otherwise(0)) / 10.0**digits
+
+
 # --- JSON and maps ---
 
 

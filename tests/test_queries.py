@@ -74,6 +74,23 @@ def test_text_queries_over_whole_tables(spark, tmp_path):
         assert {r[got.columns.index(key)]: r[-1] for r in got.fetchall()} == want
 
 
+def test_length_ratios_are_rounded_as_in_sql(spark, tmp_path):
+    """Hundredths whose half is no binary number, exact halves, and texts that are null or empty."""
+    import duckdb
+
+    from tessera.plans import ORACLE_SQL, QUERIES
+
+    sizes = [(a, b) for b in (200, 240, 400) for a in range(b * 3 // 4)]
+    texts = [("x" * b, "y" * a) for a, b in sizes] + [("x " * 200, None), ("x " * 200, ""), (None, "y"), ("", "y"), ("x " * 200, "y. " * 30)]
+    rows = [(i, turn, x) for i, pair in enumerate(texts) for turn, x in enumerate(pair)]
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = {i: codes for i, _, codes in c.sql(ORACLE_SQL["q9_completeness"]).fetchall()}
+    assert {r.conv_id: r.codes for r in QUERIES["q9_completeness"](spark, str(tmp_path)).collect()} == want
+    assert want[sizes.index((138, 240))] == ["length_ratio_low:0.57<0.75"] and want[sizes.index((25, 200))] == ["length_ratio_low:0.13<0.75"]
+
+
 def test_markdown_of_every_document(spark):
     from tessera.plans import QUERIES
 
