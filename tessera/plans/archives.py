@@ -43,11 +43,9 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """Every sample with the label of its archive's label file."""
     manifest = io.shard_manifest(t.spark, _shards(t))
-    index = A.tar_index(manifest)
-    found = A.labelled(index.select("tar", "key"), A.labels_of(manifest))
-    sizes = A.samples_read(A.tar_samples(index)).select("tar", "key", F.element_at("parts", "npy").alias("npy"))
+    samples = A.samples_read(A.tar_samples(A.tar_index(manifest))).select("tar", "key", F.element_at("parts", "npy").alias("npy"))
     of = lambda name: F.get_json_object("label", f"$.{name}").alias(name)
-    return found.join(sizes, ["tar", "key"]).select("key", F.get(A.array_values(F.col("npy")), F.lit(1)).cast("int").alias("n"), of("lang"), of("source"))
+    return A.labelled(samples, A.labels_of(manifest)).select("key", F.get(A.array_values(F.col("npy")), F.lit(1)).cast("int").alias("n"), of("lang"), of("source"))
 
 
 @query("s20_s21_shard_manifest_of_tars", "SELECT count(*)::BIGINT AS items, count(DISTINCT doc_id)::BIGINT AS keys, sum(n_chars / 16.0)::DOUBLE AS seconds, true AS within FROM documents")

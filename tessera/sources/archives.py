@@ -29,6 +29,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 #: Bytes of members that a task reads, and bytes of samples sent on at once.
 SPLIT_BYTES, BATCH_BYTES = 64 << 20, 16 << 20
+#: Archives whose headers, or labels, one task reads where there are more than a few for each core.
+ARCHIVES = 64
 #: Extensions of sound files.
 SOUNDS = ("flac", "mp3", "m4a", "ogg", "opus", "wav", "wma")
 SINK = "key string, parts map<string,binary>, label string, seconds double"
@@ -170,6 +172,12 @@ def write_tar_shards(samples: DataFrame, folder: str, *, per_shard: int = 1000)
 FIRST_DOT, LAST_DOT = r"((?:.*/)?[^./][^./]*)\.([^/]*)", r"(.+)\.([^.]*)"
 
 
+def _dealt(archives: DataFrame) -> DataFrame:
+    """Archives dealt to tasks: one to each while they are few, then several, as the driver keeps an account of every task."""
+    n = archives.count()
+    return archives.repartition(max(1, min(n, max(4 * archives.sparkSession.sparkContext.defaultParallelism, -(-n // ARCHIVES)))))
+
+
 def tar_index(archives: DataFrame, *, names: str = FIRST_DOT, strict: bool = False) -> DataFrame:
     """INDEX of the samples in archives (a column tar of paths or URIs): where their members are.
 
@@ -224,8 +232,7 @@ def tar_index(archives: DataFrame, *, names: str = FIRST_DOT, strict: bool = Fal
                         rows = []
             yield _batch(rows, _INDEX_TYPES)
 
-    n = archives.count()
-    return archives.select("tar").repartition(max(1, n)).mapInArrow(run, INDEX)
+    return _dealt(archives.select("tar")).mapInArrow(run, INDEX)
 
 
 _MEMBERS = pa.list_(pa.struct([("extension", pa.string()), ("offset", pa.int64()), ("size", pa.int64())]))
@@ -316,13 +323,16 @@ def labels_of(manifest: DataFrame) -> DataFrame:
             yield _batch(rows, types)
 
     types = pa.schema([("tar", pa.string()), ("key", pa.string()), ("k", pa.int64()), ("label", pa.string())])
-    lines = manifest.select("tar", "labels").repartition(max(1, manifest.count())).mapInArrow(run, "tar string, key string, k long, label string")
+    lines = _dealt(manifest.select("tar", "labels")).mapInArrow(run, "tar string, key string, k long, label string")
     return lines.groupBy("tar", "key").agg(F.max_by("label", "k").alias("label"))
 
 
 def labelled(samples: DataFrame, labels: DataFrame) -> DataFrame:
-    """Samples with the label of their archive and key; a sample without one is an error."""
-    found = samples.join(labels, ["tar", "key"], "left")
+    """Samples with the label of their archive and key; a sample without one is an error.
+
+    There are as many labels as samples, but Spark takes a few times the manifest for their size and would broadcast them: they are merged.
+    """
+    found = samples.join(labels.hint("merge"), ["tar", "key"], "left")
     missing = F.raise_error(F.concat(F.lit("no label for "), "key", F.lit(" of "), "tar"))
     return found.withColumn("label", F.coalesce("label", missing))
 

@@ -104,6 +104,28 @@ def test_labels_keep_the_last_line_of_a_key(spark, tmp_path):
     assert {r.key: r.label for r in A.labels_of(m).collect()} == {"a": '{"id": "a", "v": 2}', "5": '{"id": 5}'}
 
 
+def test_labels_are_not_sent_through_the_driver(spark, tmp_path):
+    """Spark guesses the size of labels from that of the manifest, so no join may be left to its size check."""
+    from tessera.plans import QUERIES
+
+    rows = [(i, "x" * (i % 50), "en", f"s{i % 3}", i % 50) for i in range(900)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    d = QUERIES["j16_label_lookup"](spark, str(tmp_path))
+    assert sorted(map(tuple, d.select("key", "n", "lang", "source").collect())) == sorted((f"folder/d{i}", len(x), a, b) for i, x, a, b, _ in rows)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_tasks_take_several_of_many_archives(spark, tmp_path):
+    tars = [tar(tmp_path / f"{i}.tar", [("a.txt", b"x")]) for i in range(5)]
+    (tmp_path / "l.jsonl").write_text('{"id": "a", "v": 1}\n')
+    few, many = (spark.createDataFrame([(p, str(tmp_path / "l.jsonl")) for p in tars * n], "tar string, labels string") for n in (1, 300))
+    assert A.tar_index(few).rdd.getNumPartitions() == 5
+    found, labels = A.tar_index(many), A.labels_of(many)
+    assert found.count() == 1500 and labels.count() == 5
+    assert found.rdd.getNumPartitions() == 4 * max(spark.sparkContext.defaultParallelism, 6)
+
+
 def test_no_archives(spark):
     assert read(spark).count() == 0 and A.sample_errors(read(spark)).count() == 0
 
